@@ -21,11 +21,11 @@ class PageRead:
     rows: DataFrame
 
 
-def page_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, page, data): one JSON document per file; broken JSON raises."""
+def page_documents(spark: SparkSession, paths: str | Sequence[str], per_line: bool = False) -> DataFrame:
+    """(path, page, data): one JSON document per file (or per line); broken JSON raises."""
     return (
         spark.read.schema(PAGE_SCHEMA)
-        .option("multiLine", "true")
+        .option("multiLine", str(not per_line).lower())
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
         .json(paths)
