@@ -13,6 +13,7 @@ from orestrata.operators.conform import Cast, Missing, Text, conform
 from orestrata.operators.enrich import Link, enrich_dimension, lookup_table, with_versions
 from orestrata.operators.quality import Rule, holds
 from orestrata.plans.tables import Release, read_table
+from orestrata.session import side_by_side
 
 PROVENANCE = ("source_name", "object_id", "row_number")
 TABLES = (
@@ -120,54 +121,62 @@ def refresh(
         partition_by=["kind"],
     )
 
-    typed = type_observations(bronze, spec).withColumn("is_valid", holds(spec.observation_valid))
-    typed = run.save("typed_observations", typed, [Rule("valid_observation", "is_valid", "drop")], ["is_valid"])
-    run.save("quarantine_observations", typed.filter(~F.col("is_valid")).drop("is_valid"))
-    observations = run.save(
-        "silver_observations",
-        collapse_observations(typed.filter("is_valid")),
-        [
-            Rule("non_null_keys", "series_id IS NOT NULL AND year IS NOT NULL AND period IS NOT NULL"),
-            Rule("consistent_overlap", "value_versions = 1"),
-        ],
-    )
 
-    people = type_population(bronze, spec).withColumn("is_valid", holds(spec.population_valid))
-    people = run.save("typed_population", people, [Rule("valid_population", "is_valid", "drop")], ["is_valid"])
-    run.save("quarantine_population", people.filter(~F.col("is_valid")).drop("is_valid"))
-    population = run.save(
-        "silver_population",
-        collapse_population(people.filter("is_valid"), spec),
-        [
-            Rule("population_keys", "year IS NOT NULL AND population IS NOT NULL"),
-            Rule("consistent_population", "population_versions = 1"),
-        ],
-    )
+    def observation_tables() -> DataFrame:
+        typed = type_observations(bronze, spec).withColumn("is_valid", holds(spec.observation_valid))
+        typed = run.save("typed_observations", typed, [Rule("valid_observation", "is_valid", "drop")], ["is_valid"])
+        run.save("quarantine_observations", typed.filter(~F.col("is_valid")).drop("is_valid"))
+        return run.save(
+            "silver_observations",
+            collapse_observations(typed.filter("is_valid")),
+            [
+                Rule("non_null_keys", "series_id IS NOT NULL AND year IS NOT NULL AND period IS NOT NULL"),
+                Rule("consistent_overlap", "value_versions = 1"),
+            ],
+        )
 
-    lookups = run.save("silver_lookups", lookup_table(bronze, spec.lookups))
-    series = run.save(
-        "silver_series",
-        build_series(bronze, lookups, spec),
-        [
-            Rule("series_keys", spec.series_valid),
-            Rule("unique_series", "series_versions = 1"),
-            Rule("complete_labels", " AND ".join(f"{link.label} IS NOT NULL" for link in spec.links)),
-            Rule("unique_lookups", " AND ".join(f"{link.kind}_versions = 1" for link in spec.links)),
-        ],
-    )
+    def population_tables() -> DataFrame:
+        typed = type_population(bronze, spec).withColumn("is_valid", holds(spec.population_valid))
+        typed = run.save("typed_population", typed, [Rule("valid_population", "is_valid", "drop")], ["is_valid"])
+        run.save("quarantine_population", typed.filter(~F.col("is_valid")).drop("is_valid"))
+        return run.save(
+            "silver_population",
+            collapse_population(typed.filter("is_valid"), spec),
+            [
+                Rule("population_keys", "year IS NOT NULL AND population IS NOT NULL"),
+                Rule("consistent_population", "population_versions = 1"),
+            ],
+        )
+
+    def series_tables() -> DataFrame:
+        lookups = run.save("silver_lookups", lookup_table(bronze, spec.lookups))
+        return run.save(
+            "silver_series",
+            build_series(bronze, lookups, spec),
+            [
+                Rule("series_keys", spec.series_valid),
+                Rule("unique_series", "series_versions = 1"),
+                Rule("complete_labels", " AND ".join(f"{link.label} IS NOT NULL" for link in spec.links)),
+                Rule("unique_lookups", " AND ".join(f"{link.kind}_versions = 1" for link in spec.links)),
+            ],
+        )
+
+    observations, population, series = side_by_side(spark, observation_tables, population_tables, series_tables)
 
     years = spec.last_year - spec.first_year + 1
-    run.save(
-        "gold_population_stats",
-        answer_stats(population, spec),
-        [Rule("full_coverage", f"year_count = {years} AND start_year = {spec.first_year} AND end_year = {spec.last_year}")],
-    )
-    run.save(
-        "gold_best_year",
-        answer_best_year(observations, series, spec),
-        [Rule("human_readable_series", "series_label IS NOT NULL")],
+    coverage = f"year_count = {years} AND start_year = {spec.first_year} AND end_year = {spec.last_year}"
+    side_by_side(
+        spark,
+        lambda: run.save(
+            "gold_population_stats", answer_stats(population, spec), [Rule("full_coverage", coverage)]
+        ),
+        lambda: run.save(
+            "gold_best_year",
+            answer_best_year(observations, series, spec),
+            [Rule("human_readable_series", "series_label IS NOT NULL")],
+        ),
+        lambda: run.save("gold_series_population", answer_alignment(observations, population, spec)),
     )
-    run.save("gold_series_population", answer_alignment(observations, population, spec))
     run.publish()
     return run
 

@@ -73,7 +73,7 @@ def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame)
     sales = orders.select(
         F.col("o_custkey").alias("series"),
         F.year("o_orderdate").alias("year"),
-        F.format_string("Q%02d", F.quarter("o_orderdate")).alias("period"),
+        F.concat(F.lit("Q0"), F.quarter("o_orderdate")).alias("period"),
         value.alias("value"),
     )
     quarterly = sales.groupBy("series", "year", "period").agg(F.sum("value").alias("value"))

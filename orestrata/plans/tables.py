@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from orestrata.operators.quality import Rule, enforce, measure, metric_columns
+from orestrata.session import literal_rows
 
 RELEASES_SCHEMA = "release STRING, published_at STRING"
 METRICS_SCHEMA = "dataset STRING, rule STRING, action STRING, total BIGINT, failed BIGINT"
@@ -52,9 +53,10 @@ class Release:
         return stored
 
     def publish(self) -> None:
-        self.spark.createDataFrame(self.metrics, METRICS_SCHEMA).coalesce(1).write.parquet(self.path("quality_metrics"))
-        entry = [(self.name, datetime.now(timezone.utc).isoformat())]
-        self.spark.createDataFrame(entry, RELEASES_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/releases")
+        metrics = [tuple(m[f] for f in ("dataset", "rule", "action", "total", "failed")) for m in self.metrics]
+        literal_rows(self.spark, metrics, METRICS_SCHEMA).write.parquet(self.path("quality_metrics"))
+        entry = (self.name, datetime.now(timezone.utc).isoformat())
+        literal_rows(self.spark, [entry], RELEASES_SCHEMA).write.mode("append").parquet(f"{self.root}/releases")
 
 
 def current_release(spark: SparkSession, root: str) -> str | None:

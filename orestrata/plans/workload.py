@@ -232,7 +232,7 @@ def _order_points(spark, sf_dir):
     return _t(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("custkey"),
         F.year("o_orderdate").alias("year"),
-        F.format_string("Q%02d", F.quarter("o_orderdate")).alias("period"),
+        F.concat(F.lit("Q0"), F.quarter("o_orderdate")).alias("period"),
         F.col("o_totalprice").cast("decimal(14,2)").alias("price"),
         "o_orderstatus",
         "o_orderpriority",

@@ -4,7 +4,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job of this library wants. Anything sized to a cluster (memory, executors,
 # initial shuffle partitions) is left to the submitter.
@@ -48,12 +54,29 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(spark: SparkSession, df, label: str, partition_by: tuple[str, ...] = ()):
+def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: reuse without recomputation,
     and lineage that survives lost executors."""
     path = scratch(spark, label)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a frame of literals: no Python workers are started for them."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    records = [
+        F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, fields, strict=True)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*records)))
+
+
+def side_by_side(spark: SparkSession, *branches: Callable[[], object]) -> list:
+    """Submit independent branches at once, so that small jobs share the cluster instead of queueing.
+    All are waited for; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(branches)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(branch)) for branch in branches]
+    return [r.result() for r in running]

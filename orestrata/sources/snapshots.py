@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.operators.quality import Rule, check
-from orestrata.session import staged
+from orestrata.session import literal_rows, staged
 from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift, kind_of
 from orestrata.sources.delimited import number_rows, read_delimited, require_headers
 from orestrata.sources.inventory import WHOLE_FILE_LIMIT, content_inventory, listing
@@ -107,7 +107,7 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return literal_rows(spark, [], schema)
 
 
 def commits(spark: SparkSession, store: str) -> DataFrame:
@@ -202,7 +202,7 @@ def ingest(
     rows.write.mode("overwrite").parquet(f"{store}/inventory/snapshot_id={batch}")
     commit = (batch, datetime.now(timezone.utc).isoformat(), sum(counts.values()) - counts["deleted"],
               counts["added"], counts["changed"], counts["unchanged"], counts["deleted"])
-    spark.createDataFrame([commit], COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{store}/commits")
+    literal_rows(spark, [commit], COMMITS_SCHEMA).write.mode("append").parquet(f"{store}/commits")
     return IngestResult(True, batch, counts, _named(gone))
 
 
