@@ -121,7 +121,6 @@ def refresh(
         partition_by=["kind"],
     )
 
-
     def observation_tables() -> DataFrame:
         typed = type_observations(bronze, spec).withColumn("is_valid", holds(spec.observation_valid))
         typed = run.save("typed_observations", typed, [Rule("valid_observation", "is_valid", "drop")], ["is_valid"])

@@ -1,7 +1,6 @@
 """Managed tables: written in dependency order, checked while written, published together."""
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -9,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from orestrata.operators.quality import Rule, enforce, measure, metric_columns
-from orestrata.session import literal_rows
+from orestrata.session import literal_rows, time_ordered_id
 
 RELEASES_SCHEMA = "release STRING, published_at STRING"
 METRICS_SCHEMA = "dataset STRING, rule STRING, action STRING, total BIGINT, failed BIGINT"
@@ -23,7 +22,7 @@ class Release:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.name = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ") + "_" + uuid.uuid4().hex[:8]
+        self.name = time_ordered_id()
         self.metrics: list[dict] = []
 
     def path(self, table: str) -> str:

@@ -2,8 +2,8 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
-
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -54,6 +54,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def time_ordered_id() -> str:
+    """Unique text that sorts by creation time (nanoseconds since 1970 in 20 digits)."""
+    return f"{time.time_ns():020d}-{uuid.uuid4()}"
+
+
 def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: reuse without recomputation,
     and lineage that survives lost executors."""

@@ -162,8 +162,9 @@ def number_rows(df: DataFrame, file: str = "object_id", block: str = "block", se
     """Consecutive ``row_number`` from 1 within each file, in file order, without sorting any file.
 
     ``seq`` counts up by one inside a split, so a row's number is its distance from the split's first
-    row plus the rows of the earlier splits. Only one record per split is windowed. ``df`` must be
-    stored (``seq`` may not be drawn anew between the two reads).
+    row plus the rows of the earlier splits. Only one record per split is windowed and, while that
+    fits, broadcast, so the rows themselves are not shuffled. ``df`` must be stored: ``seq`` may not
+    be drawn anew between the two reads.
     """
     splits = df.groupBy(file, block).agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(
@@ -171,7 +172,7 @@ def number_rows(df: DataFrame, file: str = "object_id", block: str = "block", se
     ) - F.col("_rows")
     starts = splits.select(file, block, "_first", before.alias("_before"))
     return (
-        df.join(starts, [file, block])
+        df.join(broadcast_within(starts), [file, block])
         .withColumn("row_number", F.col("_before") + F.col(seq) - F.col("_first") + 1)
         .drop("_before", "_first", block, seq)
     )

@@ -1,14 +1,19 @@
 """Inventory of landed files: name, size, digests and the first line, in one read of the content."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orestrata.functions.digests import content_digest, object_id
 from orestrata.functions.urls import percent_decoded
 
-# binaryFile holds a file in one row, and a row's binary value ends below 2 GiB.
-WHOLE_FILE_LIMIT = 1 << 30
+# binaryFile holds a file in one row of one task, together with a copy for the second digest.
+WHOLE_FILE_LIMIT = 256 << 20
+
+# The lower 33 bits of a monotonically increasing id count the rows of a partition.
+_ROW_MASK = (1 << 33) - 1
 
 
 def _location() -> Column:
@@ -20,76 +25,139 @@ def _file_name() -> Column:
     return percent_decoded(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
 
 
-def listing(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, location, source_name, bytes, modified): column pruning keeps the content unread."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select(
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+
+
+def _attributes() -> list[Column]:
+    return [
         F.col("_metadata.file_path").alias("path"),
         _location().alias("location"),
         _file_name().alias("source_name"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),
+    ]
+
+
+def _empty_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The files without a byte: Spark lists them but leaves them out of every scan, so they are what
+    the file index (held by the driver in any case) names beyond the scan."""
+    files = _files(spark, folder)
+    # the index writes file:///a where the scan writes file:/a
+    paths = [(re.sub(r"^(\w+):///", r"\1:/", path),) for path in files.inputFiles()]
+    named = spark.createDataFrame(paths, "path STRING")
+    return named.join(files.select(F.col("_metadata.file_path").alias("path")), "path", "left_anti").select(
+        "path",
+        percent_decoded(F.col("path")).alias("location"),
+        percent_decoded(F.element_at(F.split("path", "/"), -1)).alias("source_name"),
+        F.lit(0).cast("bigint").alias("bytes"),
+        F.lit(None).cast("timestamp").alias("modified"),
     )
 
 
+def _extent(spark: SparkSession, folder: str) -> tuple[bool, int]:
+    """Are there empty files, and how large is the largest one?"""
+    files = _files(spark, folder)
+    seen = files.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("largest")).first()
+    return len(files.inputFiles()) > seen["n"], seen["largest"] or 0
+
+
+def listing(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, location, source_name, bytes, modified): column pruning keeps the content unread."""
+    files = _files(spark, folder).select(*_attributes())
+    has_empty, _ = _extent(spark, folder)
+    return files.unionByName(_empty_files(spark, folder)) if has_empty else files
+
+
 def content_inventory(spark: SparkSession, folder: str, whole_file_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
     """One row per file: (path, location, source_name, bytes, modified, sha256, object_id, header).
 
     Files up to ``whole_file_limit`` are hashed by their bytes. A larger file would sit in a single
-    task, so it is read in splits and identified by the sums of its lines' hashes, its line count and
-    its size; the identity is prefixed ``lines:`` and changes whenever a line does.
+    task, so it is read in splits and identified by its numbered lines, see :func:`_large_files`.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     first_line = F.substring_index(F.col("content").cast("string"), "\n", 1)
-    small = files.filter(F.col("length") <= whole_file_limit).select(
-        F.col("_metadata.file_path").alias("path"),
-        _location().alias("location"),
-        _file_name().alias("source_name"),
-        F.col("length").alias("bytes"),
-        F.col("modificationTime").alias("modified"),
-        content_digest(F.col("content")).alias("sha256"),
-        object_id(_file_name(), F.col("content")).alias("object_id"),
-        F.try_validate_utf8(F.rtrim(first_line, F.lit("\r"))).alias("header"),
+    out = (
+        _files(spark, folder)
+        .filter(F.col("length") <= whole_file_limit)
+        .select(
+            *_attributes(),
+            content_digest(F.col("content")).alias("sha256"),
+            object_id(_file_name(), F.col("content")).alias("object_id"),
+            F.try_validate_utf8(F.rtrim(first_line, F.lit("\r"))).alias("header"),
+        )
     )
-    if listing(spark, folder).filter(F.col("bytes") > whole_file_limit).isEmpty():
-        return small
-    return small.unionByName(_large_files(spark, folder, whole_file_limit))
+    has_empty, largest = _extent(spark, folder)
+    if has_empty:
+        nothing = F.lit("").cast("binary")
+        out = out.unionByName(
+            _empty_files(spark, folder).select(
+                "*",
+                content_digest(nothing).alias("sha256"),
+                object_id(F.col("source_name"), nothing).alias("object_id"),
+                F.lit("").alias("header"),
+            )
+        )
+    if largest > whole_file_limit:
+        out = out.unionByName(_large_files(spark, folder, whole_file_limit))
+    return out
 
 
 def _large_files(spark: SparkSession, folder: str, whole_file_limit: int) -> DataFrame:
+    """Identities of large files, prefixed ``lines:``, in one read and without sorting a file.
+
+    The identity is built from the file's size, its line count and, for two hashes h of a line, the
+    sums of h and of h * line number. A changed, added, lost or moved line changes it; how the file
+    was split does not: with the number of a line being its distance from the split's first line plus
+    the lines before the split, the sum follows from three sums per split.
+    """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(folder)
+        .filter(F.col("_metadata.file_size") > whole_file_limit)
         .select(
             "value",
             F.col("_metadata.file_path").alias("path"),
             _location().alias("location"),
-        _location().alias("location"),
             _file_name().alias("source_name"),
             F.col("_metadata.file_size").alias("bytes"),
             F.col("_metadata.file_modification_time").alias("modified"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)).alias("seq"),
         )
-        .filter(F.col("bytes") > whole_file_limit)
     )
-
-    def total(seed: int) -> Column:
-        return F.sum(F.xxhash64(F.lit(seed), F.col("value")).cast("decimal(28,0)")).cast("string")
-
-    per_file = lines.groupBy("path", "location", "source_name", "bytes", "modified").agg(
-        F.concat_ws("/", F.count(F.lit(1)).cast("string"), total(1), total(2), total(3)).alias("_lines"),
-        F.min_by("value", F.struct("block", "seq")).alias("header"),
+    file = ["path", "location", "source_name", "bytes", "modified"]
+    seeds = (1, 2)
+
+    def line_hash(seed: int) -> Column:
+        # 31 bits, so that the weighted sums stay far below 38 digits
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("value")), 33).cast("decimal(38,0)")
+
+    number = F.col("seq").cast("decimal(20,0)")
+    splits = lines.groupBy(*file, "block").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("seq").alias("first"),
+        F.min_by("value", "seq").alias("top"),
+        *[F.sum(line_hash(s)).alias(f"plain_{s}") for s in seeds],
+        *[F.sum((line_hash(s) * number).cast("decimal(38,0)")).alias(f"moment_{s}") for s in seeds],
+    )
+    earlier = Window.partitionBy(*file).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offset = (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("offset")
+    numbered = splits.select("*", offset)
+
+    def weighted(seed: int) -> Column:
+        shifted = F.col(f"plain_{seed}") * F.col("offset").cast("decimal(20,0)")
+        return F.sum((F.col(f"moment_{seed}") + shifted.cast("decimal(38,0)")).cast("decimal(38,0)"))
+
+    sums = [F.sum(f"plain_{s}").cast("string") for s in seeds] + [weighted(s).cast("string") for s in seeds]
+    per_file = numbered.groupBy(*file).agg(
+        F.concat_ws("/", F.sum("rows").cast("string"), *sums).alias("_lines"),
+        F.min_by("top", "block").alias("header"),
     )
-    identity = F.concat(F.lit("lines:"), F.sha2(F.concat_ws("/", F.col("bytes").cast("string"), "_lines"), 256))
-    named = F.concat_ws("\u0000", "source_name", F.col("bytes").cast("string"), "_lines")
+    identity = F.concat_ws("/", F.col("bytes").cast("string"), "_lines")
+    named = F.concat_ws("\u0000", "source_name", identity)
     return per_file.select(
-        "path",
-        "location",
-        "source_name",
-        "bytes",
-        "modified",
-        identity.alias("sha256"),
+        *file,
+        F.concat(F.lit("lines:"), F.sha2(identity, 256)).alias("sha256"),
         F.concat(F.lit("lines:"), F.sha2(named, 256)).alias("object_id"),
         F.try_validate_utf8("header").alias("header"),
     )

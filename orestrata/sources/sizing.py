@@ -4,8 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# 64 MB of row data; an executor holds a few times that once it is a hash table.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# 256 MB of row data (headers of about a million files); an executor holds up to twice that as a
+# hash table.
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

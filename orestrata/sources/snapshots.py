@@ -11,7 +11,6 @@ Readers start from ``commits``, so a run that stops half-way leaves nothing visi
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -21,12 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.operators.quality import Rule, check
-from orestrata.session import literal_rows, staged
+from orestrata.session import literal_rows, staged, time_ordered_id
 from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift, kind_of
 from orestrata.sources.delimited import number_rows, read_delimited, require_headers
 from orestrata.sources.inventory import WHOLE_FILE_LIMIT, content_inventory, listing
 from orestrata.sources.json_pages import page_documents, parse_pages, require_pages
-from orestrata.sources.records import active_records
 from orestrata.sources.sizing import broadcast_within
 
 INVENTORY_SCHEMA = (
@@ -134,14 +132,30 @@ def stored_objects(spark: SparkSession, store: str) -> DataFrame:
 
 
 def snapshot_records(spark: SparkSession, store: str, snapshot_id: str | None = None) -> DataFrame:
-    """The record envelopes of a snapshot (default: the newest)."""
+    """The record envelopes of a snapshot (default: the newest).
+
+    Batches with an active object are picked by partition, then the objects in them that were
+    replaced or deleted since are taken out. Both sides grow with the number of runs and of revised
+    files, not with the data, so they stay small enough to be broadcast long after a list of all
+    active objects would have forced a shuffle of the records.
+    """
     snapshot_id = snapshot_id or latest_snapshot(spark, store)
+    registry = _table(spark, f"{store}/objects", OBJECTS_SCHEMA).select("batch", "object_id")
+    wanted = inventory_at(spark, store, snapshot_id).select("object_id", F.lit(True).alias("_wanted"))
+    current = registry.groupBy("object_id").agg(F.max("batch").alias("_newest"))
+    objects = (
+        registry.join(current, "object_id")
+        .join(wanted.distinct(), "object_id", "left")
+        .select("batch", "object_id", (F.col("_wanted").isNotNull() & (F.col("batch") == F.col("_newest"))).alias("active"))
+    )
+    objects = staged(spark, objects, "objects")
+    batches = objects.filter("active").select("batch").distinct()
+    stale = objects.filter(~F.col("active")).join(batches, "batch", "left_semi").select("batch", "object_id").distinct()
     records = _table(spark, f"{store}/records", RECORDS_SCHEMA)
-    active = active_records(stored_objects(spark, store), inventory_at(spark, store, snapshot_id))
-    side = broadcast_within(active.select("batch", "object_id"))
-    # batch is a partition column: its values in the small side prune the scan at run time
-    return records.join(side, ["batch", "object_id"], "left_semi").select(
-        "object_id", "source_name", "kind", "row_number", "fields"
+    return (
+        records.join(broadcast_within(batches), "batch", "left_semi")
+        .join(broadcast_within(stale), ["batch", "object_id"], "left_anti")
+        .select("object_id", "source_name", "kind", "row_number", "fields")
     )
 
 
@@ -185,7 +199,7 @@ def ingest(
     known = known.join(_missing_rows(spark, store, known).select("object_id"), "object_id", "left_anti")
     todo = write_once(new.filter(F.col("kind").isNotNull()), known, "object_id", "sha256")
     todo = staged(spark, todo, "todo")
-    batch = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ") + "_" + uuid.uuid4().hex[:8]
+    batch = time_ordered_id()
     if not todo.isEmpty():
         _store_objects(spark, landing, store, batch, todo, files, pages)
         _require_unmoved(spark, landing, new)
@@ -244,6 +258,11 @@ def _store_objects(spark, landing, store, batch, todo, files, pages) -> None:
         documents = page_documents(spark, _paths(mine, landing)).join(broadcast_within(ids), "path")
         read = parse_pages(documents, contract, keep=("source_name", "object_id"))
         require_pages(read.pages)
+        found = read.pages.groupBy("object_id").agg(F.count(F.lit(1)).alias("_documents"))
+        odd = mine.join(found, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
+        names = [r.source_name for r in odd.limit(20).collect()]
+        if names:
+            raise SchemaDrift("not one JSON document: " + ", ".join(names))
         rows = read.rows.withColumn("kind", F.lit(contract.kind))
         rows.select("object_id", "source_name", "kind", "row_number", "fields").write.mode("append").partitionBy(
             "kind"

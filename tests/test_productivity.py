@@ -145,9 +145,12 @@ def test_rerun_change_delete_and_repair(spark, landing, tmp_path):
         ("pr.data.2.New", HEADER + "PRS30006032\t2013\tQ01\n", "wrong field count"),
         ("pr.data.2.New", HEADER + "PRS30006032\t2013\tQ01\t1\t\tmore\n", "wrong field count"),
         ("pr.data.2.New", HEADER, "empty table"),
+        ("pr.data.0.Current", "", "missing columns"),
         ("pr.data.2.New", HEADER + 'PRS30006032\t2013\tQ01\t"1\t\n', "open quote"),
         ("pr.data.2.New", HEADER.replace("\n", "\tyear\n") + "a\t1\tb\tc\td\te\n", "repeated column"),
         ("population.json", population_page(total=99), "partial page"),
+        ("population.json", "", "not one JSON document"),
+        ("population.json", f"[{population_page()}, {population_page()}]", "not one JSON document"),
         ("population.json", json.dumps({"data": []}), "no data"),
         ("population.json", json.dumps({"data": [{"Year": 1}]}), "missing keys"),
     ],
