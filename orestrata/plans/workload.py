@@ -26,7 +26,7 @@ from orestrata.sources.delimited import number_rows, read_delimited, require_hea
 from orestrata.sources.inventory import content_inventory
 from orestrata.sources.json_pages import page_documents, parse_pages, require_pages
 from orestrata.sources.links import discover_links
-from orestrata.sources.records import active_records, latest_inventory, read_records
+from orestrata.sources.records import active_records, latest_inventory, read_manifests, read_records
 from orestrata.sources.snapshots import diff_inventory, ingest, snapshot_records, write_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -446,6 +446,30 @@ def newest_manifest(spark, sf_dir):
     return latest_inventory(manifests, order="doc_id", keep=["lang"])
 
 
+@query(
+    """SELECT DISTINCT 'run-' || (SELECT max(year(o_orderdate)) FROM orders) AS snapshot_id, 'orders/' || o_custkey AS source_name,
+              sha256(CAST(o_custkey AS VARCHAR)) AS object_id
+       FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"""
+)
+def manifest_scan(spark, sf_dir):
+    """A manifest per year, listing the customers with orders, through the JSON format."""
+    folder = scratch(spark, "manifests")
+    customer = F.col("o_custkey").cast("string")
+    entry = F.struct(
+        F.concat(F.lit("orders/"), customer).alias("source_name"),
+        F.sha2(customer, 256).alias("object_id"),
+        F.lit("orders").alias("kind"),
+    )
+    buyers = _t(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_custkey").distinct()
+    # manifests are bounded here as well: a share of the customers per document
+    share = F.pmod(F.xxhash64("o_custkey"), F.lit(1 << 20)).alias("share")
+    manifests = buyers.groupBy("year", share).agg(F.collect_list(entry).alias("files"))
+    manifests.select(
+        F.concat(F.lit("run-"), F.col("year")).alias("snapshot_id"), F.lit("").alias("committed_at"), "files"
+    ).write.json(folder)
+    return latest_inventory(read_manifests(spark, folder)).select("snapshot_id", "source_name", "object_id")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')")
 def active_lines(spark, sf_dir):
     open_orders = _t(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O")
@@ -514,6 +538,34 @@ def ingested_orders(spark, sf_dir):
     return _typed_orders(snapshot_records(spark, store))
 
 
+def _land(orders, folder):
+    orders.select(*ORDER_COLUMNS).withColumn("o_orderdate", F.col("o_orderdate").cast("string")).write.option(
+        "header", "true"
+    ).option("sep", "\t").mode("overwrite").csv(folder)
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(14,2)) +
+              CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS DECIMAL(14,2)) AS o_totalprice, o_orderdate, o_orderpriority
+       FROM orders WHERE o_orderstatus <> 'P'"""
+)
+def revised_orders(spark, sf_dir):
+    """Two publications: closed orders stay, open ones are revised, pending ones are withdrawn."""
+    landing, store = scratch(spark, "landing"), scratch(spark, "store")
+    files = (FileContract("orders", r"part-.*\.csv", ORDER_COLUMNS, may_be_empty=True),)
+    price = F.col("o_totalprice").cast("decimal(14,2)")
+    orders = _t(spark, sf_dir, "orders").withColumn("o_totalprice", price)
+    status = F.col("o_orderstatus")
+    for name in ("F", "O", "P"):
+        _land(orders.filter(status == name), f"{landing}/{name}")
+    ingest(spark, landing, store, files)
+    # overwriting replaces the files: new names are added, the old ones deleted
+    _land(orders.filter(status == "O").withColumn("o_totalprice", price + 1), f"{landing}/O")
+    _land(orders.limit(0), f"{landing}/P")
+    ingest(spark, landing, store, files)
+    return _typed_orders(snapshot_records(spark, store))
+
+
 ORDER_PAGES = PageContract(
     "orders",
     r".*",
@@ -533,10 +585,9 @@ def paged_orders(spark, sf_dir):
         F.col("o_custkey").alias("Customer"),
         F.col("o_totalprice").cast("decimal(14,2)").alias("Price"),
     )
-    # the key range of a page bounds its size: at most 500 orders
-    pages = _t(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 500).alias("_page")).agg(
-        F.collect_list(row).alias("data")
-    )
+    # rows are dealt to pages by a number no two of them share, so a page holds at most 500 whatever the keys
+    dealt = _t(spark, sf_dir, "orders").withColumn("_page", F.floor(F.monotonically_increasing_id() / 500))
+    pages = dealt.groupBy("_page").agg(F.collect_list(row).alias("data"))
     total = F.struct(F.size("data").cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("offset"))
     pages.select(total.alias("page"), "data").write.json(folder)
     read = parse_pages(page_documents(spark, folder, per_line=True), ORDER_PAGES)

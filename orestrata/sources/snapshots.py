@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.operators.quality import Rule, check
-from orestrata.session import literal_rows, staged, time_ordered_id
+from orestrata.session import literal_rows, side_by_side, staged, time_ordered_id
 from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift, kind_of
 from orestrata.sources.delimited import number_rows, read_delimited, require_headers
 from orestrata.sources.inventory import WHOLE_FILE_LIMIT, content_inventory, listing
@@ -160,10 +160,21 @@ def snapshot_records(spark: SparkSession, store: str, snapshot_id: str | None =
 
 
 def _missing_rows(spark: SparkSession, store: str, objects: DataFrame) -> DataFrame:
-    """Objects whose stored rows have gone; only the dictionary-encoded ids are read."""
+    """Objects of ``objects`` whose stored rows have gone.
+
+    Row counts per batch come from the file footers; only where they differ from the registry are
+    the object ids themselves read.
+    """
     records = _table(spark, f"{store}/records", RECORDS_SCHEMA)
-    present = records.select("batch", "object_id").distinct()
-    return objects.filter(F.col("n_rows") > 0).join(present, ["batch", "object_id"], "left_anti")
+    stated = objects.groupBy("batch").agg(F.sum("n_rows").alias("_stated"))
+    found = records.groupBy("batch").agg(F.count(F.lit(1)).alias("_found"))
+    damaged = stated.join(found, "batch", "left").filter(F.col("_stated") != F.coalesce("_found", F.lit(0)))
+    damaged = staged(spark, damaged.select("batch"), "damaged")
+    if damaged.isEmpty():
+        return objects.limit(0)
+    present = records.join(broadcast_within(damaged), "batch", "left_semi").select("batch", "object_id").distinct()
+    doubtful = objects.filter(F.col("n_rows") > 0).join(damaged, "batch", "left_semi")
+    return doubtful.join(present, ["batch", "object_id"], "left_anti")
 
 
 # --- ingest -----------------------------------------------------------------------------------
@@ -184,21 +195,27 @@ def ingest(
         "kind", kind_of(F.col("source_name"), [*files, *pages])
     )
     new = staged(spark, found, "inventory")
-    check(
-        new.groupBy("source_name").agg(F.count(F.lit(1)).alias("copies")),
-        [Rule("one file per name", "copies = 1")],
-        "landing",
+    one_per_name = Rule("one file per name", "copies = 1")
+    _, status = side_by_side(
+        spark,
+        lambda: check(
+            new.groupBy("source_name").agg(F.count(F.lit(1)).alias("copies")), [one_per_name], "landing"
+        ),
+        lambda: staged(spark, diff_inventory(old, new), "diff"),
     )
-    status = staged(spark, diff_inventory(old, new), "diff")
+
+    def missing_objects() -> DataFrame:
+        known = stored_objects(spark, store)
+        known = known.join(_missing_rows(spark, store, known).select("object_id"), "object_id", "left_anti")
+        wanted = new.filter(F.col("kind").isNotNull())
+        return staged(spark, write_once(wanted, known, "object_id", "sha256"), "todo")
+
+    per_status, todo = side_by_side(spark, lambda: status.groupBy("status").count().collect(), missing_objects)
     counts = dict.fromkeys(("added", "changed", "unchanged", "deleted"), 0)
-    counts |= {r["status"]: r["count"] for r in status.groupBy("status").count().collect()}
+    counts |= {r["status"]: r["count"] for r in per_status}
     if not sum(counts.values()) - counts["deleted"]:
         raise SchemaDrift("nothing has landed; refusing to read it as a mass deletion")
 
-    known = stored_objects(spark, store)
-    known = known.join(_missing_rows(spark, store, known).select("object_id"), "object_id", "left_anti")
-    todo = write_once(new.filter(F.col("kind").isNotNull()), known, "object_id", "sha256")
-    todo = staged(spark, todo, "todo")
     batch = time_ordered_id()
     if not todo.isEmpty():
         _store_objects(spark, landing, store, batch, todo, files, pages)
@@ -226,6 +243,7 @@ def _named(gone: DataFrame) -> list[str]:
 
 
 def _paths(todo: DataFrame, landing: str) -> str | list[str]:
+    """What to read for the objects of ``todo``; empty if there are none."""
     some = [r.location for r in todo.select("location").limit(PATHS_LIMIT + 1).collect()]
     return some if len(some) <= PATHS_LIMIT else landing
 
@@ -233,43 +251,16 @@ def _paths(todo: DataFrame, landing: str) -> str | list[str]:
 def _store_objects(spark, landing, store, batch, todo, files, pages) -> None:
     """Parse the objects of ``todo``, check every contract, then append rows and registry."""
     target = f"{store}/records/batch={batch}"
-    delimited = todo.filter(F.col("kind").isin(*[c.kind for c in files])) if files else todo.limit(0)
-    if not delimited.isEmpty():
-        read = read_delimited(spark, _paths(delimited, landing), delimited, files)
-        require_headers(read.headers)
-        parsed = staged(spark, read.lines, "lines")
-        bad = parsed.filter(F.col("problem").isNotNull()).limit(20).collect()
-        if bad:
-            raise SchemaDrift("; ".join(f"{r.source_name}: {r.problem}: {r.bad_line[:80]!r}" for r in bad))
-        must = [c.kind for c in files if not c.may_be_empty]
-        empty = delimited.filter(F.col("kind").isin(*must)).join(
-            parsed.select("object_id").distinct(), "object_id", "left_anti"
-        )
-        names = [r.source_name for r in empty.limit(20).collect()]
-        if names:
-            raise SchemaDrift("empty tables: " + ", ".join(names))
-        rows = number_rows(parsed.drop("bad_line", "problem"))
-        rows.select("object_id", "source_name", "kind", "row_number", "fields").write.partitionBy("kind").parquet(target)
-    for contract in pages:
-        mine = todo.filter(F.col("kind") == contract.kind)
-        if mine.isEmpty():
-            continue
-        ids = mine.select("path", "object_id", "source_name")
-        documents = page_documents(spark, _paths(mine, landing)).join(broadcast_within(ids), "path")
-        read = parse_pages(documents, contract, keep=("source_name", "object_id"))
-        require_pages(read.pages)
-        found = read.pages.groupBy("object_id").agg(F.count(F.lit(1)).alias("_documents"))
-        odd = mine.join(found, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
-        names = [r.source_name for r in odd.limit(20).collect()]
-        if names:
-            raise SchemaDrift("not one JSON document: " + ", ".join(names))
-        rows = read.rows.withColumn("kind", F.lit(contract.kind))
-        rows.select("object_id", "source_name", "kind", "row_number", "fields").write.mode("append").partitionBy(
-            "kind"
-        ).parquet(target)
-    written = _table(spark, f"{store}/records", RECORDS_SCHEMA).filter(F.col("batch") == batch)
-    sizes = written.groupBy("object_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    todo.join(sizes, "object_id", "left").select(
+    sizes = [
+        _store_delimited(spark, landing, target, todo.filter(F.col("kind").isin(*[c.kind for c in files])), files)
+        if files
+        else None
+    ]
+    sizes += [_store_pages(spark, landing, target, todo.filter(F.col("kind") == c.kind), c) for c in pages]
+    rows = literal_rows(spark, [], "object_id STRING, n_rows BIGINT")
+    for part in sizes:
+        rows = rows if part is None else rows.unionByName(part)
+    todo.join(rows, "object_id", "left").select(
         F.lit(batch).alias("batch"),
         "object_id",
         "source_name",
@@ -279,6 +270,56 @@ def _store_objects(spark, landing, store, batch, todo, files, pages) -> None:
     ).write.mode("append").parquet(f"{store}/objects")
 
 
+def _store_delimited(spark, landing, target, objects, files) -> DataFrame | None:
+    """Append the rows of delimited objects -> (object_id, n_rows)."""
+    paths = _paths(objects, landing)
+    if not paths:
+        return None
+    read = read_delimited(spark, paths, objects, files)
+    require_headers(read.headers)
+    parsed = staged(spark, read.lines, "lines")
+    per_object = parsed.groupBy("object_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("problem").isNotNull()).alias("bad_lines")
+    )
+    per_object = staged(spark, per_object, "sizes")
+    filled = F.col("kind").isin(*[c.kind for c in files if not c.may_be_empty])
+    odd = objects.join(per_object, "object_id", "left").filter(
+        (F.col("bad_lines") > 0) | (filled & F.col("n_rows").isNull())
+    )
+    odd = odd.select("source_name", "bad_lines").limit(20).collect()
+    if any(r.bad_lines for r in odd):
+        bad = parsed.filter(F.col("problem").isNotNull()).limit(20).collect()
+        raise SchemaDrift("; ".join(f"{r.source_name}: {r.problem}: {r.bad_line[:80]!r}" for r in bad))
+    if odd:
+        raise SchemaDrift("empty tables: " + ", ".join(r.source_name for r in odd))
+    _append_rows(number_rows(parsed.drop("bad_line", "problem")), target)
+    return per_object.select("object_id", "n_rows")
+
+
+def _store_pages(spark, landing, target, objects, contract) -> DataFrame | None:
+    """Append the rows of paged JSON objects -> (object_id, n_rows)."""
+    paths = _paths(objects, landing)
+    if not paths:
+        return None
+    ids = objects.select("path", "object_id", "source_name")
+    documents = page_documents(spark, paths).join(broadcast_within(ids), "path")
+    read = parse_pages(documents, contract, keep=("source_name", "object_id"))
+    found = staged(spark, read.pages.drop("page"), "pages")
+    require_pages(found)
+    copies = found.groupBy("object_id").agg(F.count(F.lit(1)).alias("_documents"))
+    odd = objects.join(copies, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
+    names = [r.source_name for r in odd.limit(20).collect()]
+    if names:
+        raise SchemaDrift("not one JSON document: " + ", ".join(names))
+    _append_rows(read.rows.withColumn("kind", F.lit(contract.kind)), target)
+    return found.select("object_id", F.col("n_rows").cast("bigint").alias("n_rows"))
+
+
+def _append_rows(rows: DataFrame, target: str) -> None:
+    envelope = rows.select("object_id", "source_name", "kind", "row_number", "fields")
+    envelope.write.mode("append").partitionBy("kind").parquet(target)
+
+
 def _require_unmoved(spark: SparkSession, landing: str, inventory: DataFrame) -> None:
     """A listing taken after parsing must equal the one the digests were taken from."""
     columns = ["path", "bytes", "modified"]
