@@ -44,6 +44,7 @@ def parsed_headers(inventory: DataFrame, contracts: Sequence[FileContract], sepa
         .withColumn(
             "problem",
             F.when(strip(first).rlike(r"(?i)\A<(!doctype html|html)"), F.lit("HTML instead of data"))
+            .when(~F.col("is_utf8"), F.lit("invalid UTF-8"))
             .when(F.size("_missing") > 0, F.concat(F.lit("missing columns: "), F.array_join("_missing", ", ")))
             .when(F.size(F.array_distinct("columns")) != F.size("columns"), F.lit("repeated column name")),
         )
@@ -121,8 +122,7 @@ def read_delimited(
     width = F.size("columns")
     surplus = F.slice(F.col("_cells"), width + 1, F.greatest(F.size("_cells") - width, F.lit(0)))
     problem = (
-        F.when(~F.is_valid_utf8("line"), F.lit("invalid UTF-8"))
-        .when(_open_quote(F.col("line"), separator), F.lit("open quote"))
+        F.when(_open_quote(F.col("line"), separator), F.lit("open quote"))
         .when(F.size("_cells") < width, F.lit("wrong field count"))
         .when(F.exists(surplus, lambda c: c != ""), F.lit("wrong field count"))
     )

@@ -70,7 +70,7 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def content_inventory(spark: SparkSession, folder: str, whole_file_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """One row per file: (path, location, source_name, bytes, modified, sha256, object_id, header).
+    """One row per file: (path, location, source_name, bytes, modified, sha256, object_id, header, is_utf8).
 
     Files up to ``whole_file_limit`` are hashed by their bytes. A larger file would sit in a single
     task, so it is read in splits and identified by its numbered lines, see :func:`_large_files`.
@@ -84,6 +84,7 @@ def content_inventory(spark: SparkSession, folder: str, whole_file_limit: int =
             content_digest(F.col("content")).alias("sha256"),
             object_id(_file_name(), F.col("content")).alias("object_id"),
             F.try_validate_utf8(F.rtrim(first_line, F.lit("\r"))).alias("header"),
+            F.is_valid_utf8(F.col("content").cast("string")).alias("is_utf8"),
         )
     )
     has_empty, largest = _extent(spark, folder)
@@ -95,6 +96,7 @@ def content_inventory(spark: SparkSession, folder: str, whole_file_limit: int =
                 content_digest(nothing).alias("sha256"),
                 object_id(F.col("source_name"), nothing).alias("object_id"),
                 F.lit("").alias("header"),
+                F.lit(True).alias("is_utf8"),
             )
         )
     if largest > whole_file_limit:
@@ -137,6 +139,7 @@ def _large_files(spark: SparkSession, folder: str, whole_file_limit: int) -> Dat
         F.count(F.lit(1)).alias("rows"),
         F.min("seq").alias("first"),
         F.min_by("value", "seq").alias("top"),
+        F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
         *[F.sum(line_hash(s)).alias(f"plain_{s}") for s in seeds],
         *[F.sum((line_hash(s) * number).cast("decimal(38,0)")).alias(f"moment_{s}") for s in seeds],
     )
@@ -152,6 +155,7 @@ def _large_files(spark: SparkSession, folder: str, whole_file_limit: int) -> Dat
     per_file = numbered.groupBy(*file).agg(
         F.concat_ws("/", F.sum("rows").cast("string"), *sums).alias("_lines"),
         F.min_by("top", "block").alias("header"),
+        F.bool_and("is_utf8").alias("is_utf8"),
     )
     identity = F.concat_ws("/", F.col("bytes").cast("string"), "_lines")
     named = F.concat_ws("\u0000", "source_name", identity)
@@ -160,4 +164,5 @@ def _large_files(spark: SparkSession, folder: str, whole_file_limit: int) -> Dat
         F.concat(F.lit("lines:"), F.sha2(identity, 256)).alias("sha256"),
         F.concat(F.lit("lines:"), F.sha2(named, 256)).alias("object_id"),
         F.try_validate_utf8("header").alias("header"),
+        "is_utf8",
     )

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -37,3 +38,12 @@ def frame(spark, tmp_path):
         return spark.read.schema(schema).json(str(path))
 
     return make
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    """The smallest driver tables; tests on them are skipped where they are not mounted."""
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    return folder

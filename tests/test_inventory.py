@@ -43,6 +43,7 @@ def test_digests_match_hashlib(spark, tmp_path):
         assert found[name].sha256 == hashlib.sha256(body).hexdigest()
         assert found[name].object_id == hashlib.sha256(name.encode() + b"\0" + body).hexdigest()
         assert found[name].bytes == len(body)
+        assert found[name].is_utf8 == (name != "raw.bin")
     assert {r.source_name for r in listing(spark, str(folder)).collect()} == set(bodies)
 
 
@@ -76,6 +77,13 @@ def test_large_file_identity(spark, tmp_path, small_splits):
     assert renamed[0] == first[0] and renamed[1] != first[1]
 
 
+@pytest.mark.parametrize("limit", [10, 10_000])
+def test_invalid_text_is_noticed(spark, tmp_path, limit):
+    folder = write(tmp_path / "landing", "good", LINES[:50])
+    (tmp_path / "landing" / "bad").write_bytes(b"key\tvalue\na\t1\nb\t\xff\n")
+    assert {r.source_name: r.is_utf8 for r in content_inventory(spark, folder, limit).collect()} == {"good": True, "bad": False}
+
+
 def content_splits(spark, folder):
     return spark.read.text(folder).select("_metadata.file_block_start").distinct().count()
 
