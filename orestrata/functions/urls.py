@@ -4,9 +4,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed patterns of HTML and RFC 3986.
+# Fixed patterns of HTML and RFC 3986. Repeated groups are possessive: the matcher then loops instead
+# of recursing once per repetition.
 _INVISIBLE = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
-_ANCHOR = r"""(?is)<a(\s(?:"[^"]*"|'[^']*'|[^'">]++)*)>"""
+_ANCHOR = r"""(?is)<a(\s(?:"[^"]*"|'[^']*'|[^'">]++)*+)>"""
 _ATTRIBUTE = r"""(?s)([^\s=>"'/]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?"""
 _URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 

@@ -15,7 +15,8 @@ from orestrata.sources.sizing import broadcast_within
 # the malformed-record column.
 _NO_SEPARATOR = "\u0001"
 
-_QUOTED = r'"[^"]*(?:""[^"]*)*"'
+# Possessive, so that a cell with very many doubled quotes is matched in a loop, not by recursion.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,7 @@ def _cells(line: Column, separator: str) -> Column:
         raw,
         lambda c: F.when(
             c.startswith('"'),
-            F.replace(F.regexp_replace(c, r'(?s)\A"([^"]*(?:""[^"]*)*)"(.*)\z', "$1$2"), F.lit('""'), F.lit('"')),
+            F.replace(F.regexp_replace(c, r'(?s)\A"([^"]*+(?:""[^"]*+)*+)"(.*)\z', "$1$2"), F.lit('""'), F.lit('"')),
         ).otherwise(c),
     )
     return F.when(line.contains('"'), quoted).otherwise(plain)

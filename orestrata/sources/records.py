@@ -35,10 +35,10 @@ def latest_inventory(
     manifests: DataFrame, order: str = "snapshot_id", files: str = "files", keep: Sequence[str] = ("committed_at",)
 ) -> DataFrame:
     """The newest manifest's files as rows. Only the ordering column is aggregated; the wide file
-    arrays are neither sorted nor moved."""
-    newest = manifests.agg(F.max(order).alias(order))  # one row
+    arrays are neither sorted nor moved, and the newest id reaches the scan as a filter."""
+    newest = manifests.agg(F.max(order)).scalar()
     return (
-        manifests.join(F.broadcast(newest), order, "left_semi")
+        manifests.filter(F.col(order) == newest)
         .select(order, *keep, F.explode(files).alias("_file"))
         .select(order, *keep, "_file.*")
     )

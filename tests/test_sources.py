@@ -182,3 +182,11 @@ def test_page_problems(spark, tmp_path, page, problem):
     read = parse_pages(page_documents(spark, str(tmp_path)), PAGE)
     assert read.pages.first()["problem"] == problem
     assert read.rows.count() == (problem is None)
+
+
+def test_very_long_tags_and_cells(spark, tmp_path):
+    tag = F.concat(F.lit("<a "), F.repeat(F.lit('x="y" '), 20_000), F.lit('href="u">'))
+    assert spark.range(1).select(anchor_hrefs(tag)).first()[0] == ["u"]
+    cell = 'x""y' * 20_000
+    (row,) = parse(spark, tmp_path, f'key\tvalue\na\t"{cell}"\n').lines.collect()
+    assert row.problem is None and row.fields["value"] == 'x"y' * 20_000
