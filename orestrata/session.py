@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # tables are partitioned by kind and by validity: a few open files per task instead of a sort
+    "spark.sql.maxConcurrentOutputFileWriters": "12",
 }
 
 

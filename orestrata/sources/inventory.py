@@ -59,7 +59,8 @@ def _extent(spark: SparkSession, folder: str) -> tuple[bool, int]:
     """Are there empty files, and how large is the largest one?"""
     files = _files(spark, folder)
     seen = files.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("largest")).first()
-    return len(files.inputFiles()) > seen["n"], seen["largest"] or 0
+    # the length of the JVM's array: inputFiles() would fetch a million names one by one
+    return len(files._jdf.inputFiles()) > seen["n"], seen["largest"] or 0
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
