@@ -6,8 +6,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The ASCII white space characters, the separators up to U+001F, NEL and NBSP.
-WHITESPACE = " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\xa0"
+# The white space characters of Unicode and the four ASCII separators.
+WHITESPACE = (
+    " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Spellings of "no value" in the source files.
 MISSING_MARKERS = ("", "-")

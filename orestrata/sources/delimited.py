@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orestrata.functions.text import strip
+from orestrata.functions.text import WHITESPACE, strip
 from orestrata.sources.contracts import FileContract, SchemaDrift, kind_of
 from orestrata.sources.sizing import broadcast_within
 
@@ -30,7 +30,7 @@ class DelimitedRead:
 
 def parsed_headers(inventory: DataFrame, contracts: Sequence[FileContract], separator: str = "\t") -> DataFrame:
     """(path, source_name, object_id, kind, columns, problem) for the files that have a contract."""
-    first = F.regexp_replace(F.coalesce("header", F.lit("")), "^﻿", "")
+    first = F.regexp_replace(F.coalesce("header", F.lit("")), "^\ufeff", "")
     columns = F.transform(_cells(first, separator), lambda c: F.lower(strip(c)))
     kind = kind_of(F.col("source_name"), contracts)
     required = F.lit(None).cast("array<string>")
@@ -76,7 +76,15 @@ def _literal(separator: str) -> str:
     return {"\t": r"\t", "|": r"\|", "^": r"\^"}.get(separator, separator)
 
 
-def data_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def _is_blank(line: Column, separator: str) -> Column:
+    """Nothing but white space and separators; a quoted cell without content counts as nothing."""
+    space = rf"[{WHITESPACE}&&[^{_literal(separator)}]]*+"
+    cell = rf'(?:"[{WHITESPACE}]*+")?+{space}'
+    hollow = line.rlike(rf"\A{cell}(?:{_literal(separator)}{cell})*+\z")
+    return F.when(line.contains('"'), hollow).otherwise(F.btrim(line, F.lit(WHITESPACE + separator)) == "")
+
+
+def data_lines(spark: SparkSession, paths: str | Sequence[str], separator: str = "\t") -> DataFrame:
     """(path, block, seq, line) of all non-blank lines below each file's first line.
 
     The CSV source is used as a line reader: it splits large files, skips blank lines and leaves out
@@ -95,7 +103,7 @@ def data_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .csv(paths)
         .select("*", "_metadata")
-        .filter(strip(line) != "")
+        .filter(~_is_blank(line, separator))
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
@@ -119,7 +127,7 @@ def read_delimited(
     """
     headers = parsed_headers(inventory, contracts, separator)
     side = headers.filter(F.col("problem").isNull()).select("path", "source_name", "object_id", "kind", "columns")
-    lines = data_lines(spark, paths).join(broadcast_within(side), "path")
+    lines = data_lines(spark, paths, separator).join(broadcast_within(side), "path")
     width = F.size("columns")
     surplus = F.slice(F.col("_cells"), width + 1, F.greatest(F.size("_cells") - width, F.lit(0)))
     problem = (

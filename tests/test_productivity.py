@@ -51,7 +51,7 @@ def landing(tmp_path):
     (folder / "pr.class").write_text("class_code\tclass_text\n6\tEmployees\n")
     (folder / "pr.measure").write_text("measure_code\tmeasure_text\n03\tHours worked\n")
     (folder / "pr.duration").write_text("duration_code\tduration_text\n2\t% change quarter ago\n")
-    (folder / "pr.seasonal").write_text("﻿Seasonal_code\tSeasonal_text\nS\tSeasonally adjusted\n", encoding="utf-8")
+    (folder / "pr.seasonal").write_text("\ufeffSeasonal_code\tSeasonal_text\nS\tSeasonally adjusted\n", encoding="utf-8")
     (folder / "pr.period").write_text("period\tperiod_abbr\tperiod_name\nQ01\tQTR1\t1st quarter\n")
     (folder / "pr.footnote").write_text("footnote_code\tfootnote_text\n")
     (folder / "pr.txt").write_bytes(b"documentation \xff\xfe kept as it is")

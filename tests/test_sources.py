@@ -95,14 +95,14 @@ def parse(spark, tmp_path, text, name="points"):
     "line",
     [
         "a\t1", " a \t 1 ", "a\t1\t\t\t", "\t", 'a\t"1"', 'a\t"x\ty"', 'a\t"say ""x"" now"', 'a\tb"c', '"a"b\tc', 'a\t"" "', "a\t ",
-        "a\u0001b\tc", 'x"\t"y"',
+        "a\u0001b\tc", 'x"\t"y"', '""\t""', '""', '" "\t"" ', '""""\t', ' ""\t', "\u2003a\u3000\t\u00a0", "\u2003\t\u3000",
     ],
 )
 def test_cells_agree_with_the_standard_library(spark, tmp_path, line):
     expected = next(csv.reader(io.StringIO(line), delimiter="\t"))
     expected = expected + [""] * (2 - len(expected))
     (row,) = parse(spark, tmp_path, f"key\tvalue\nfirst\tline\n{line}\n").lines.filter("fields['key'] <> 'first' OR problem IS NOT NULL").collect() or [None]
-    if not line.strip():
+    if not any(cell.strip() for cell in expected):
         assert row is None
         return
     assert row.problem is None
@@ -110,7 +110,7 @@ def test_cells_agree_with_the_standard_library(spark, tmp_path, line):
 
 
 def test_header_rules(spark, tmp_path):
-    body = "﻿ Key \tVALUE\tExtra\r\na\t1\tx\r\n\r\nb\t2\ty\r\n"
+    body = "\ufeff Key \tVALUE\tExtra\r\na\t1\tx\r\n\r\nb\t2\ty\r\n"
     read = parse(spark, tmp_path, body)
     require_headers(read.headers)
     assert read.headers.first()["columns"] == ["key", "value", "extra"]
