@@ -18,18 +18,24 @@ def collapse_overlaps(
     """Per key: the largest value, the number of different values, and sorted sets of evidence.
 
     Versions are counted on the typed value, so 1.0 and 1.00 agree; with ``null_is_version`` a NULL
-    beside a number is a conflict. The distinct count makes Spark group by key + value first, with
-    map-side combining, so the copies of a hot key are folded per task and its values are spread over
-    all reducers before anything is grouped by the bare key. (Counting with a collected set would
-    save an exchange but hold every value of a key in one buffer.)
+    beside a number is a conflict.
+
+    Distinct (key, value) and distinct (key, evidence) rows are made first, by hash aggregation with
+    map-side combining: the copies of a hot key are folded per task and its values spread over all
+    reducers, each of which then hands on one row for the key. Versions are a plain count of those
+    rows, so no buffer ever holds a key's values, and only the small evidence rows meet a set. ``df``
+    is read twice, each time with the columns of its half only.
     """
-    number = F.count_distinct(F.col(value))
-    if null_is_version:
-        number = number + F.max(F.col(value).isNull().cast("bigint"))
-    return df.groupBy(*keys).agg(
+    version = F.lit(1) if null_is_version else F.when(F.col(value).isNotNull(), F.lit(1))
+    seen = df.select(*keys, value).distinct().withColumn("_version", version)
+    names = list(evidence or {})
+    if evidence:
+        proofs = df.select(*keys, *[F.col(source).alias(name) for name, source in evidence.items()]).distinct()
+        seen = seen.unionByName(proofs, allowMissingColumns=True)
+    return seen.groupBy(*keys).agg(
         F.max(value).alias(value),
-        number.alias(versions),
-        *[F.sort_array(F.collect_set(source)).alias(name) for name, source in (evidence or {}).items()],
+        F.count("_version").alias(versions),
+        *[F.sort_array(F.collect_set(name)).alias(name) for name in names],
     )
 
 
