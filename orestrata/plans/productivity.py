@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orestrata.functions.text import joined_label, prefixed_unless_missing
 from orestrata.operators.conform import Cast, Missing, Text

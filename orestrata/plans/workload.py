@@ -12,7 +12,7 @@ from orestrata.functions.urls import origin
 from orestrata.operators.answers import align_left, best_period, latest_per_key, period_stats
 from orestrata.operators.collapse import collapse_lookups, collapse_overlaps, duplicate_keys, universe
 from orestrata.operators.compare import keyed_diff, row_diff
-from orestrata.operators.conform import Cast, Missing, Text, conform, from_columns, from_json
+from orestrata.operators.conform import Cast, Missing, Text, conform, from_json
 from orestrata.operators.enrich import Link, enrich_dimension, lookup_table, with_versions
 from orestrata.operators.quality import Rule, keep_valid, measure, quarantine
 from orestrata.plans import orders_medallion
