@@ -1,7 +1,6 @@
 """Session settings and the shared scratch folder."""
 from __future__ import annotations
 
-import tempfile
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -37,18 +36,10 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can see, as named by the cluster in spark.checkpoint.dir.
-
-    Only a local master may go without one; there a temporary folder is made and remembered.
-    """
+    """The folder every executor can see, as named by the cluster in spark.checkpoint.dir; where that is unset,
+    one below the session's warehouse, which executors share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="orestrata-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
