@@ -2,12 +2,30 @@
 from __future__ import annotations
 
 from orestrata.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from orestrata.llm.fingerprints import op2_imatch
 from orestrata.llm.mixing import OP8_SQL, op8_curriculum_mix
+from orestrata.llm.ngram_join import op7_ngram_join
+from orestrata.llm.packing import op4_packing
+from orestrata.llm.pii import op6_personal_data
+from orestrata.llm.quality import op5_quality
 from orestrata.llm.sharding import op10_byte_shards
+from orestrata.llm.token_counts import op9_token_counts
+from orestrata.llm.token_files import op3_token_files
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_exact_dedup, op8_curriculum_mix, op10_byte_shards)
+    for f in (
+        op1_exact_dedup,
+        op2_imatch,
+        op3_token_files,
+        op4_packing,
+        op5_quality,
+        op6_personal_data,
+        op7_ngram_join,
+        op8_curriculum_mix,
+        op9_token_counts,
+        op10_byte_shards,
+    )
 }
 
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op8_curriculum_mix": OP8_SQL}
