@@ -20,22 +20,22 @@ def collapse_overlaps(
     Versions are counted on the typed value, so 1.0 and 1.00 agree; with ``null_is_version`` a NULL
     beside a number is a conflict.
 
-    Distinct (key, value) and distinct (key, evidence) rows are made first, by hash aggregation with
-    map-side combining: the copies of a hot key are folded per task and its values spread over all
-    reducers, each of which then hands on one row for the key. Versions are a plain count of those
-    rows, so no buffer ever holds a key's values, and only the small evidence rows meet a set. ``df``
-    is read twice, each time with the columns of its half only.
+    ``df`` is read once. Distinct (key, value, evidence) rows are made first, by hash aggregation with map-side
+    combining: the copies of a hot key are folded per task. They are dealt by key and value, so that a hot key's values are
+    spread over all reducers; there the evidence of each value becomes a set, and only one row per value goes on to its
+    key. Versions are a plain count of those rows, so no buffer ever holds a key's values; what a key's evidence
+    set holds is its different sets of evidence, which the result has to name anyway.
     """
     version = F.lit(1) if null_is_version else F.when(F.col(value).isNotNull(), F.lit(1))
-    seen = df.select(*keys, value).distinct().withColumn("_version", version)
     names = list(evidence or {})
-    if evidence:
-        proofs = df.select(*keys, *[F.col(source).alias(name) for name, source in evidence.items()]).distinct()
-        seen = seen.unionByName(proofs, allowMissingColumns=True)
-    return seen.groupBy(*keys).agg(
+    rows = df.select(*keys, value, *[F.col(source).alias(name) for name, source in (evidence or {}).items()]).distinct()
+    by_value = rows.groupBy(*keys, value).agg(
+        F.first(version).alias("_version"), *[F.collect_set(name).alias(name) for name in names]
+    ) if names else rows.withColumn("_version", version)
+    return by_value.groupBy(*keys).agg(
         F.max(value).alias(value),
         F.count("_version").alias(versions),
-        *[F.sort_array(F.collect_set(name)).alias(name) for name in names],
+        *[F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.sort_array(name))))).alias(name) for name in names],
     )
 
 

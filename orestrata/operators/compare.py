@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,29 +27,45 @@ def _close(a: Column, b: Column, kind: T.DataType, rtol: float, atol: float) ->
     return a.eqNullSafe(b)
 
 
+def _comparable(column: str, kind: T.DataType) -> Column:
+    """Maps as sorted entries, which can be ordered and compared."""
+    cell = F.col(column)
+    return F.sort_array(F.map_entries(cell)) if isinstance(kind, T.MapType) else cell
+
+
 def keyed_diff(
     left: DataFrame, right: DataFrame, keys: Sequence[str], rtol: float = 1e-9, atol: float = 1e-6
 ) -> DataFrame:
     """Keys that do not agree -> (keys, problem).
 
-    problem: ``duplicate_key``, ``only_left``, ``only_right`` or ``values``. Numbers agree within
-    the tolerance, everything else exactly; NULL agrees with NULL. Both sides are reduced to one row
-    per key by one aggregation over their union.
+    problem: ``only_left``, ``only_right``, ``copies`` (another number of rows) or ``values``. Numbers agree within
+    the tolerance, everything else exactly; NULL agrees with NULL. A key may stand on several rows: the n-th of one
+    side, ordered by the other columns, is compared with the n-th of the other. One shuffle by key serves the
+    numbering and the comparison. Columns may be of any type that can be ordered, and maps.
     """
     others = [c for c in left.columns if c not in keys]
     kinds = {f.name: f.dataType for f in left.schema.fields}
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.lit(name).alias("_side"), *others)
+        return df.select(*keys, F.lit(name).alias("_side"), *[_comparable(c, kinds[c]).alias(c) for c in others])
 
-    both = side(left, "left").unionByName(side(right, "right"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_side", *others))
+    copies = Window.partitionBy(*keys)
+    both = (
+        side(left, "left").unionByName(side(right, "right"))
+        .withColumn("_n_left", F.count_if(F.col("_side") == "left").over(copies))
+        .withColumn("_n_right", F.count_if(F.col("_side") == "right").over(copies))
+        .withColumn("_at", nth)
+        # the left rows come first
+        .withColumn("_at", F.col("_at") - F.when(F.col("_side") == "right", F.col("_n_left")).otherwise(F.lit(0)))
+    )
 
     def pick(name: str, column: str) -> Column:
         return F.max(F.when(F.col("_side") == name, F.col(column)))
 
-    wide = both.groupBy(*keys).agg(
-        F.count_if(F.col("_side") == "left").alias("_n_left"),
-        F.count_if(F.col("_side") == "right").alias("_n_right"),
+    wide = both.groupBy(*keys, "_at").agg(
+        F.first("_n_left").alias("_n_left"),
+        F.first("_n_right").alias("_n_right"),
         *[pick(s, c).alias(f"_{s}_{i}") for s in ("left", "right") for i, c in enumerate(others)],
     )
     same = F.lit(True)
@@ -58,7 +74,8 @@ def keyed_diff(
     problem = (
         F.when(F.col("_n_right") == 0, F.lit("only_left"))
         .when(F.col("_n_left") == 0, F.lit("only_right"))
-        .when((F.col("_n_left") > 1) | (F.col("_n_right") > 1), F.lit("duplicate_key"))
+        .when(F.col("_n_left") != F.col("_n_right"), F.lit("copies"))
         .when(~same, F.lit("values"))
     )
-    return wide.select(*keys, problem.alias("problem")).filter(F.col("problem").isNotNull())
+    found = wide.select(*keys, problem.alias("problem")).filter(F.col("problem").isNotNull())
+    return found.groupBy(*keys).agg(F.first("problem").alias("problem"))

@@ -43,8 +43,9 @@ def from_map(column: str = "fields") -> Callable[[str], Column]:
 
 
 def from_json(column: str) -> Callable[[str], Column]:
-    """Cells live in a JSON object held as text."""
-    return lambda key: F.get_json_object(column, f"$.{key}")
+    """Cells live in a JSON object held as text, which is parsed once to a map; keys may hold any character."""
+    cells = F.from_json(F.col(column), "MAP<STRING, STRING>")
+    return lambda key: cells[key]
 
 
 def from_columns() -> Callable[[str], Column]:

@@ -34,6 +34,11 @@ def all_hold(rules: Sequence[Rule]) -> Column:
     return out
 
 
+def broken(rules: Sequence[Rule]) -> Column:
+    """ARRAY<STRING>: the names of the rules that a row breaks."""
+    return F.array_compact(F.array(*[F.when(~holds(r.condition), F.lit(r.name)) for r in rules]))
+
+
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows on which every rule holds."""
     return df.filter(all_hold(rules))

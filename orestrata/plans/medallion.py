@@ -11,8 +11,8 @@ from orestrata.operators.answers import align_left, best_period, period_stats
 from orestrata.operators.collapse import collapse_overlaps, duplicate_keys, universe
 from orestrata.operators.conform import Cast, Missing, Text, conform
 from orestrata.operators.enrich import Link, enrich_dimension, lookup_table, with_versions
-from orestrata.operators.quality import Rule, holds
-from orestrata.plans.tables import Release, read_table
+from orestrata.operators.quality import Rule, keep_valid
+from orestrata.plans.tables import Release, Tables
 from orestrata.session import side_by_side
 
 PROVENANCE = ("source_name", "object_id", "row_number")
@@ -33,12 +33,12 @@ class MedallionSpec:
     """Everything that differs between two series collections."""
 
     observations: Sequence[Text | Cast | Missing]
-    observation_valid: str
+    observation_rules: Sequence[Rule]
     population: Sequence[Text | Cast | Missing]
-    population_valid: str
+    population_rules: Sequence[Rule]
     population_scope: str
     series_columns: Sequence[str]
-    series_valid: str
+    series_rule: Rule
     lookups: dict[str, tuple[str, str]]
     links: Sequence[Link]
     label: Callable[[], Column]
@@ -102,14 +102,22 @@ def answer_alignment(observations: DataFrame, population: DataFrame, spec: Medal
 
 
 def refresh(
-    spark: SparkSession, records: DataFrame, spec: MedallionSpec, out: str, inventory: DataFrame | None = None
+    spark: SparkSession,
+    records: DataFrame,
+    spec: MedallionSpec,
+    out: str,
+    inventory: DataFrame | None = None,
+    enforced: bool = True,
 ) -> Release:
     """Recompute all tables from the active record envelopes and publish them as one release.
 
-    Each envelope is read once per role and typed once: the typed rows are stored split by validity,
-    so quarantine and silver are two partitions of one pass and complements by construction.
+    Typed rows are not stored: silver collapses the valid ones straight from bronze, and the pass that counts the rules
+    keeps only what breaks one, with the names of the broken rules. A rule that is NULL is broken, so the two are
+    complements. Silver is sorted by key within its files, so that row-group statistics find single series.
+
+    ``enforced=False`` publishes in spite of broken rules, with their counts: a report on what would be refused.
     """
-    run = Release(spark, out)
+    run = Release(spark, out, enforced)
     if inventory is not None:
         run.save(
             "bronze_manifest", inventory, [Rule("manifest_keys", "snapshot_id IS NOT NULL AND object_id IS NOT NULL")]
@@ -122,12 +130,11 @@ def refresh(
     )
 
     def observation_tables() -> DataFrame:
-        typed = type_observations(bronze, spec).withColumn("is_valid", holds(spec.observation_valid))
-        typed = run.save("typed_observations", typed, [Rule("valid_observation", "is_valid", "drop")], ["is_valid"])
-        run.save("quarantine_observations", typed.filter(~F.col("is_valid")).drop("is_valid"))
+        typed = type_observations(bronze, spec)
+        run.set_aside("quarantine_observations", typed, "typed_observations", spec.observation_rules)
         return run.save(
             "silver_observations",
-            collapse_observations(typed.filter("is_valid")),
+            collapse_observations(keep_valid(typed, spec.observation_rules)).sortWithinPartitions("series_id", "year", "period"),
             [
                 Rule("non_null_keys", "series_id IS NOT NULL AND year IS NOT NULL AND period IS NOT NULL"),
                 Rule("consistent_overlap", "value_versions = 1"),
@@ -135,12 +142,11 @@ def refresh(
         )
 
     def population_tables() -> DataFrame:
-        typed = type_population(bronze, spec).withColumn("is_valid", holds(spec.population_valid))
-        typed = run.save("typed_population", typed, [Rule("valid_population", "is_valid", "drop")], ["is_valid"])
-        run.save("quarantine_population", typed.filter(~F.col("is_valid")).drop("is_valid"))
+        typed = type_population(bronze, spec)
+        run.set_aside("quarantine_population", typed, "typed_population", spec.population_rules)
         return run.save(
             "silver_population",
-            collapse_population(typed.filter("is_valid"), spec),
+            collapse_population(keep_valid(typed, spec.population_rules), spec),
             [
                 Rule("population_keys", "year IS NOT NULL AND population IS NOT NULL"),
                 Rule("consistent_population", "population_versions = 1"),
@@ -153,7 +159,7 @@ def refresh(
             "silver_series",
             build_series(bronze, lookups, spec),
             [
-                Rule("series_keys", spec.series_valid),
+                spec.series_rule,
                 Rule("unique_series", "series_versions = 1"),
                 Rule("complete_labels", " AND ".join(f"{link.label} IS NOT NULL" for link in spec.links)),
                 Rule("unique_lookups", " AND ".join(f"{link.kind}_versions = 1" for link in spec.links)),
@@ -180,9 +186,9 @@ def refresh(
     return run
 
 
-def acceptance(spark: SparkSession, out: str, spec: MedallionSpec) -> DataFrame:
-    """One row per acceptance check of the current release: (check, observed, expected, passed)."""
-    t = {name: read_table(spark, out, name) for name in TABLES}
+def acceptance(tables: Tables, spec: MedallionSpec) -> DataFrame:
+    """One row per acceptance check of a release: (check, observed, expected, passed)."""
+    t = {name: tables.read(name) for name in TABLES}
     observations, population = t["silver_observations"], t["silver_population"]
     covered = F.col("year").between(spec.first_year, spec.last_year)
     point = (F.col("series_id") == spec.point_series) & (F.col("period") == spec.point_period)

@@ -10,27 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.functions.text import joined_label, prefixed_unless_missing
-from orestrata.operators.conform import Cast, Missing, Text
+from orestrata.operators.conform import Cast, Text
 from orestrata.operators.enrich import Link
+from orestrata.plans.conventions import OBSERVATION_CELLS, matches, observation_rules, population_rules
 from orestrata.plans.medallion import MedallionSpec
 
-SERIES_ID = r"series_id RLIKE r'\A[0-9]+\z'"
+SERIES_ID = "[0-9]+"
 
 SPEC = MedallionSpec(
-    observations=(
-        Text("series_id"),
-        Text("year_text", key="year"),
-        Text("period"),
-        Text("value_text", key="value"),
-        Text("footnote_codes"),
-        Cast("year", of="year_text", to="int"),
-        Cast("value", of="value_text", to="decimal(24,6)"),
-        Missing("missing_value", of="value_text"),
-    ),
-    observation_valid=(
-        f"{SERIES_ID} AND year >= 1900 AND year <= 2200 "
-        "AND period IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05') AND (missing_value OR value IS NOT NULL)"
-    ),
+    observations=OBSERVATION_CELLS,
+    observation_rules=observation_rules(SERIES_ID),
     population=(
         Text("year"),
         Text("nation"),
@@ -39,10 +28,10 @@ SPEC = MedallionSpec(
         Cast("population_decimal", of="population", to="decimal(24,6)"),
         Cast("population", of="population_decimal", to="bigint"),
     ),
-    population_valid="nation IS NOT NULL AND population > 0 AND population = population_decimal",
+    population_rules=population_rules(),
     population_scope="nation = 'ALL'",
     series_columns=("series_id", "nation_code", "segment_code", "base_year"),
-    series_valid=SERIES_ID,
+    series_rule=matches("series_keys", "series_id", SERIES_ID, "fail"),
     lookups={"nation": ("nation_code", "nation_name"), "segment": ("segment_code", "segment_text")},
     links=(Link("nation", "nation_code", "nation_name"), Link("segment", "segment_code", "segment_text")),
     label=lambda: joined_label(
@@ -67,8 +56,13 @@ def _records(df: DataFrame, kind: str, source: Column, cells: dict[str, Column])
     )
 
 
-def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """The record envelopes of all sources, derived from the three tables."""
+def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame, damaged: bool = False) -> DataFrame:
+    """The record envelopes of all sources, derived from the three tables.
+
+    ``damaged`` spoils cells by a rule on their keys, so that each quality rule meets rows that break it: values that
+    are no number, periods and years out of range, series ids with letters, figures that differ between overlapping
+    sources, series with two descriptions, without a known nation or without any, populations that are not whole.
+    """
     value = F.col("o_totalprice").cast("decimal(14,2)")
     sales = orders.select(
         F.col("o_custkey").alias("series"),
@@ -84,18 +78,33 @@ def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame)
     )
     annual = quarterly.groupBy("series", "year").agg(F.lit("Q05").alias("period"), F.sum("value").alias("value"))
     points = quarterly.unionByName(annual).withColumn("source", F.explode(sources))
+    series_id, year, period, shown = F.col("series").cast("string"), F.col("year").cast("string"), F.col("period"), F.col("value").cast("string")
+    last = F.col("series") % 10
+    if damaged:
+        shown = F.when((last == 1) & (period == "Q02"), F.lit("n/a")).when(
+            (last == 2) & (F.col("source") == "orders.0.Current"), (F.col("value") + 1).cast("string")
+        ).otherwise(shown)
+        period = F.when((last == 3) & (period == "Q03"), F.lit("Q13")).otherwise(period)
+        year = F.when((last == 4) & (F.col("year") == 1997), F.lit("19970")).otherwise(year)
+        series_id = F.when((last == 5) & (F.col("period") == "Q04"), F.concat(series_id, F.lit("X"))).otherwise(series_id)
     observations = _records(
         points,
         "observations",
         F.col("source"),
         {
-            "series_id": F.concat(F.lit(" "), F.col("series")),
-            "year": F.col("year"),
-            "period": F.col("period"),
-            "value": F.col("value"),
+            "series_id": F.concat(F.lit(" "), series_id),
+            "year": year,
+            "period": period,
+            "value": shown,
             "footnote_codes": F.lit(""),
         },
     )
+    if damaged:
+        tail = F.col("c_custkey") % 10
+        twice = F.when(tail == 6, F.array(F.lit(0), F.lit(1))).when(tail == 7, F.array()).otherwise(F.array(F.lit(0)))
+        customer = customer.withColumn("_again", F.explode(twice.cast("array<int>"))).withColumn(
+            "c_acctbal", F.when(F.col("_again") == 1, -F.col("c_acctbal")).otherwise(F.col("c_acctbal"))
+        ).withColumn("c_nationkey", F.when(tail == 8, F.lit(-1)).otherwise(F.col("c_nationkey")))
     series = _records(
         customer,
         "series",
@@ -120,7 +129,11 @@ def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame)
         sales.groupBy("year").agg(F.count(F.lit(1)).alias("n")),
         "population",
         F.lit("orders.json"),
-        {"year": F.col("year"), "nation": F.lit("ALL"), "population": F.concat(F.col("n"), F.lit(".0"))},
+        {
+            "year": F.col("year"),
+            "nation": F.lit("ALL"),
+            "population": F.concat(F.col("n"), F.when(F.lit(damaged) & (F.col("year") == 1997), F.lit(".5")).otherwise(F.lit(".0"))),
+        },
     )
     out = observations
     for part in (series, nations, segments, population):
@@ -128,8 +141,8 @@ def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame)
     return out
 
 
-def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_records(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    return published_records(table("orders"), table("customer"), table("nation"))
+    return published_records(table("orders"), table("customer"), table("nation"), damaged)

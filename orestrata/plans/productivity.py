@@ -4,11 +4,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orestrata.functions.text import joined_label, prefixed_unless_missing
-from orestrata.operators.conform import Cast, Missing, Text
+from orestrata.operators.conform import Cast, Text
 from orestrata.operators.enrich import Link
+from orestrata.plans.conventions import OBSERVATION_CELLS, matches, observation_rules, population_rules
 from orestrata.plans.exports import export_csv, export_provenance, export_summary
 from orestrata.plans.medallion import TABLES, MedallionSpec, acceptance, refresh
-from orestrata.plans.tables import Release, current_release, read_table, register_views
+from orestrata.plans.tables import Release, Tables
 from orestrata.plans.twins import ANSWERS, parity
 from orestrata.sources.contracts import FileContract, PageContract
 from orestrata.sources.snapshots import (
@@ -62,23 +63,11 @@ PAGES = (
         defaults=(("nation_id", ""),),
     ),
 )
-SERIES_ID = r"series_id RLIKE r'\APR[SU][0-9]{8}\z'"
+SERIES_ID = "PR[SU][0-9]{8}"
 
 SPEC = MedallionSpec(
-    observations=(
-        Text("series_id"),
-        Text("year_text", key="year", trim=False),
-        Text("period"),
-        Text("value_text", key="value"),
-        Text("footnote_codes"),
-        Cast("year", of="year_text", to="int"),
-        Cast("value", of="value_text", to="decimal(24,6)"),
-        Missing("missing_value", of="value_text"),
-    ),
-    observation_valid=(
-        f"{SERIES_ID} AND year >= 1900 AND year <= 2200 "
-        "AND period IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05') AND (missing_value OR value IS NOT NULL)"
-    ),
+    observations=OBSERVATION_CELLS,
+    observation_rules=observation_rules(SERIES_ID),
     population=(
         Text("year", trim=False),
         Text("nation", trim=False),
@@ -88,10 +77,7 @@ SPEC = MedallionSpec(
         Cast("population_decimal", of="population", to="decimal(24,6)"),
         Cast("population", of="population_decimal", to="bigint"),
     ),
-    population_valid=(
-        "nation IS NOT NULL AND year >= 1900 AND year <= 2200 "
-        "AND population IS NOT NULL AND population > 0 AND population = population_decimal"
-    ),
+    population_rules=population_rules(),
     population_scope="nation = 'United States' AND nation_id IN ('01000US', '')",
     series_columns=(
         "series_id",
@@ -102,7 +88,7 @@ SPEC = MedallionSpec(
         "seasonal",
         "base_year",
     ),
-    series_valid=SERIES_ID,
+    series_rule=matches("series_keys", "series_id", SERIES_ID, "fail"),
     lookups={
         "sector": ("sector_code", "sector_name"),
         "class": ("class_code", "class_text"),
@@ -146,10 +132,11 @@ def refresh_tables(spark: SparkSession, store: str, out: str) -> Release:
 
 def validate(spark: SparkSession, out: str) -> DataFrame:
     """Acceptance checks plus, per answer, the differences of the SQL form to both other forms."""
-    register_views(spark, out, ["silver_observations", "silver_population", "silver_series"])
-    checks = acceptance(spark, out, SPEC)
+    tables = Tables(spark, out)
+    tables.register(["silver_observations", "silver_population", "silver_series"])
+    checks = acceptance(tables, SPEC)
     for table in ANSWERS:
-        for name, stored in (("dataframe", None), ("stored", read_table(spark, out, table))):
+        for name, stored in (("dataframe", None), ("stored", tables.read(table))):
             differences = parity(spark, table, SPEC, stored).groupBy().count()
             checks = checks.unionByName(
                 differences.selectExpr(
@@ -163,9 +150,10 @@ def export(spark: SparkSession, store: str, out: str, target: str) -> None:
     """The three answers as CSV, a summary and the source provenance as JSON."""
     snapshot = latest_snapshot(spark, store)
     inventory = inventory_at(spark, store, snapshot)
+    tables = Tables(spark, out)
     for table, (_, keys) in ANSWERS.items():
-        export_csv(read_table(spark, out, table), f"{target}/{table}", keys)
-    facts = {"spark": spark.version, "snapshot_id": snapshot, "release": current_release(spark, out)}
-    counts = [("source_files", inventory), *[(name, read_table(spark, out, name)) for name in TABLES]]
+        export_csv(tables.read(table), f"{target}/{table}", keys)
+    facts = {"spark": spark.version, "snapshot_id": snapshot, "release": tables.release}
+    counts = [("source_files", inventory), *[(name, tables.read(name)) for name in TABLES]]
     export_summary(counts, facts, f"{target}/summary")
     export_provenance(inventory, f"{target}/provenance")

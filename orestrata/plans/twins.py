@@ -4,7 +4,6 @@ from __future__ import annotations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orestrata.operators.compare import keyed_diff
 from orestrata.plans.medallion import MedallionSpec, answer_alignment, answer_best_year, answer_stats
@@ -27,7 +26,7 @@ def sql_answer(spark: SparkSession, table: str, spec: MedallionSpec) -> DataFram
     """The SQL form over the views silver_observations, silver_population and silver_series."""
     args = {
         "gold_population_stats": {"first_year": spec.first_year, "last_year": spec.last_year},
-        "gold_best_year": {"quarters": F.array(*[F.lit(q) for q in spec.quarters])},
+        "gold_best_year": {f"q{n}": quarter for n, quarter in enumerate(spec.quarters, 1)},
         "gold_series_population": {"series": spec.point_series, "period": spec.point_period},
     }
     return run_sql_file(spark, ANSWERS[table][0], args[table])

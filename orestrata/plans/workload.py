@@ -18,14 +18,14 @@ from orestrata.operators.quality import Rule, keep_valid, measure, quarantine
 from orestrata.plans import orders_medallion
 from orestrata.plans.exports import export_csv, export_summary
 from orestrata.plans.medallion import acceptance, refresh, report
-from orestrata.plans.tables import read_table, register_views
+from orestrata.plans.tables import Tables, read_table
 from orestrata.plans.twins import parity, sql_answer
 from orestrata.session import scratch, staged
 from orestrata.sources.contracts import FileContract, PageContract
-from orestrata.sources.delimited import number_rows, read_delimited, require_headers
+from orestrata.sources.delimited import number_rows, read_delimited, require_headers, require_lines
 from orestrata.sources.inventory import content_inventory
 from orestrata.sources.json_pages import page_documents, parse_pages, require_pages
-from orestrata.sources.links import discover_links
+from orestrata.sources.links import listing_of
 from orestrata.sources.records import active_records, latest_inventory, read_manifests, read_records
 from orestrata.sources.snapshots import diff_inventory, ingest, snapshot_records, write_once
 
@@ -131,7 +131,8 @@ def collapsed_lines(spark, sf_dir):
          FROM lineitem GROUP BY l_orderkey, l_linenumber) GROUP BY value_versions"""
 )
 def conflict_profile(spark, sf_dir):
-    return _collapsed_lines(spark, sf_dir).groupBy("value_versions").agg(F.count(F.lit(1)).alias("n_keys"))
+    lines = _t(spark, sf_dir, "lineitem").withColumn("value", F.col("l_quantity").cast("decimal(24,6)"))
+    return collapse_overlaps(lines, ["l_orderkey", "l_linenumber"], "value").groupBy("value_versions").agg(F.count(F.lit(1)).alias("n_keys"))
 
 
 @query(
@@ -483,8 +484,9 @@ _ORDERS = """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS D
                     o_orderdate, o_orderpriority FROM orders"""
 
 
-def _landed_orders(spark, sf_dir):
-    """The order table as headed tab-separated files, padded as agencies pad them."""
+def _landed_orders(spark, sf_dir, numbered=False):
+    """The order table as headed tab-separated files, padded as agencies pad them; ``numbered`` adds each row's place in
+    its file."""
     folder = scratch(spark, "landing")
     orders = _t(spark, sf_dir, "orders").select(
         F.lpad(F.col("o_orderkey").cast("string"), 12, " ").alias("O_ORDERKEY "),
@@ -495,6 +497,9 @@ def _landed_orders(spark, sf_dir):
         "o_orderpriority",
         F.lit("").alias("note"),
     )
+    if numbered:
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+        orders = orders.select(*orders.columns[:-1], place.alias("nth"), "note")
     orders.write.option("header", "true").option("sep", "\t").option("ignoreLeadingWhiteSpace", "false").option(
         "ignoreTrailingWhiteSpace", "false"
     ).option("emptyValue", "").csv(folder)
@@ -513,21 +518,23 @@ def delimited_orders(spark, sf_dir):
     inventory = staged(spark, content_inventory(spark, folder), "inventory")
     read = read_delimited(spark, folder, inventory, ORDER_FILES)
     require_headers(read.headers)
-    return _typed_orders(read.lines.filter(F.col("problem").isNull()))
+    lines = staged(spark, read.lines, "lines")
+    require_lines(lines)
+    return _typed_orders(lines)
 
 
-@query("SELECT count(*) AS n_rows, count(*) AS n_numbers, CAST(count(*) AS BIGINT) AS last_numbers FROM orders")
+@query("SELECT o_orderkey, TRUE AS numbered FROM orders")
 def numbered_orders(spark, sf_dir):
-    folder = _landed_orders(spark, sf_dir)
+    """Each order with whether its row number is the one it was written with (the file's rows are sorted by number)."""
+    folder = _landed_orders(spark, sf_dir, numbered=True)
     inventory = staged(spark, content_inventory(spark, folder), "inventory")
-    lines = staged(spark, read_delimited(spark, folder, inventory, ORDER_FILES).lines, "lines")
-    files = number_rows(lines).groupBy("object_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("row_number").alias("n_numbers"),
-        F.max("row_number").alias("last"),
-    )
-    return files.agg(
-        F.sum("n_rows").alias("n_rows"), F.sum("n_numbers").alias("n_numbers"), F.sum("last").alias("last_numbers")
+    files = (FileContract("orders", r"part-.*\.csv", (*ORDER_COLUMNS, "nth")),)
+    lines = staged(spark, read_delimited(spark, folder, inventory, files).lines, "lines")
+    require_lines(lines)
+    rows = number_rows(lines)
+    return rows.select(
+        F.trim(F.col("fields")["o_orderkey"]).cast("bigint").alias("o_orderkey"),
+        (F.col("fields")["nth"].cast("bigint") == F.col("row_number")).alias("numbered"),
     )
 
 
@@ -604,6 +611,31 @@ def paged_orders(spark, sf_dir):
     return conform(read.rows, spec)
 
 
+@query(
+    """SELECT 'orders' AS kind, o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(14,2)) AS o_totalprice FROM orders
+       UNION ALL SELECT 'paged', o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(14,2)) FROM orders"""
+)
+def ingested_pages(spark, sf_dir):
+    """Orders landed as delimited files and as JSON pages, taken in by one ingest."""
+    landing, store = scratch(spark, "landing"), scratch(spark, "store")
+    orders = _t(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(14,2)"))
+    _land(orders, f"{landing}/lines")
+    row = F.struct(
+        F.col("o_orderkey").alias("Key"), F.col("o_custkey").alias("Customer"), F.col("o_totalprice").alias("Price")
+    )
+    # a page per file: as many rows as the rows' running number puts together
+    dealt = orders.withColumn("_page", F.floor(F.monotonically_increasing_id() / 20_000))
+    pages = dealt.groupBy("_page").agg(F.collect_list(row).alias("data"))
+    total = F.struct(F.size("data").cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("offset"))
+    pages.select("_page", total.alias("page"), "data").write.option("maxRecordsPerFile", 1).json(f"{landing}/pages")
+    files = (FileContract("orders", r"part-.*\.csv", ORDER_COLUMNS),)
+    paged = PageContract("paged", r"part-.*\.json", ORDER_PAGES.required, ORDER_PAGES.columns, ORDER_PAGES.defaults)
+    ingest(spark, landing, store, files, (paged,))
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "decimal(14,2)"}
+    spec = [Text(c) for c in types] + [Cast(c, of=c, to=kind) for c, kind in types.items()]
+    return conform(snapshot_records(spark, store), spec, keep=["kind"])
+
+
 @query("SELECT 'orders/' || o_custkey AS source_name, CAST(o_orderkey AS VARCHAR) AS okey, o_orderstatus AS status, o_orderkey AS row_number FROM orders")
 def record_scan(spark, sf_dir):
     folder = scratch(spark, "records")
@@ -623,13 +655,14 @@ def record_scan(spark, sf_dir):
     """WITH parts AS (
          SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS origin,
                 unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)
+       SELECT *, CAST(row_number() OVER (PARTITION BY page_id ORDER BY name) AS INTEGER) AS place FROM (
        SELECT DISTINCT page_id, substr(href, 2) AS name, origin || href AS url FROM parts
        WHERE href LIKE '/%' AND substr(href, 2) <> '' AND substr(href, 2) NOT LIKE '%/%' AND substr(href, 2) NOT LIKE '.%'
-         AND href NOT LIKE '%?%' AND href NOT LIKE '%#%' AND href NOT LIKE '%\\%'"""
+         AND href NOT LIKE '%?%' AND href NOT LIKE '%#%' AND href NOT LIKE '%\\%')"""
 )
 def discovered_links(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages")
-    return discover_links(pages, origin(F.col("url")), keep=("page_id",))
+    return listing_of(pages, origin(F.col("url")), "page_id")
 
 
 # --- exports and the whole graph ---------------------------------------------------------------------
@@ -681,8 +714,7 @@ def medallion(spark, sf_dir):
 
 @query(_MEDALLION_BEST)
 def best_year_sql(spark, sf_dir):
-    out = _order_release(spark, sf_dir)
-    register_views(spark, out, ["silver_observations", "silver_population", "silver_series"])
+    Tables(spark, _order_release(spark, sf_dir)).register(["silver_observations", "silver_population", "silver_series"])
     return _rounded_value(sql_answer(spark, "gold_best_year", orders_medallion.SPEC))
 
 
@@ -695,11 +727,11 @@ def best_year_sql(spark, sf_dir):
        UNION ALL SELECT 'gold_series_population', 'different', 0"""
 )
 def answer_parity(spark, sf_dir):
-    out = _order_release(spark, sf_dir)
-    register_views(spark, out, ["silver_observations", "silver_population", "silver_series"])
+    tables = Tables(spark, _order_release(spark, sf_dir))
+    tables.register(["silver_observations", "silver_population", "silver_series"])
     lines = None
     for name in ("gold_best_year", "gold_population_stats", "gold_series_population"):
-        stored = read_table(spark, out, name)
+        stored = tables.read(name)
         for measure_name, df in (("compared", stored), ("different", parity(spark, name, orders_medallion.SPEC, stored))):
             line = df.agg(F.count(F.lit(1)).alias("n")).select(
                 F.lit(name).alias("answer"), F.lit(measure_name).alias("measure"), "n"
@@ -709,10 +741,111 @@ def answer_parity(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES ('aligned_rows', (SELECT count(DISTINCT year(o_orderdate)) FROM orders WHERE o_custkey = 1 AND quarter(o_orderdate) = 1)),
+    """SELECT *, TRUE AS passed FROM (VALUES
+         ('aligned_rows', (SELECT count(DISTINCT year(o_orderdate)) FROM orders WHERE o_custkey = 1 AND quarter(o_orderdate) = 1)),
          ('complete_universe', (SELECT count(*) FROM customer)), ('covered_years', 5), ('quarantined_observations', 0),
          ('quarantined_population', 0), ('repeated_observation_keys', 0), ('repeated_population_keys', 0)) v("check", observed)"""
 )
 def medallion_acceptance(spark, sf_dir):
-    out = _order_release(spark, sf_dir)
-    return acceptance(spark, out, orders_medallion.SPEC).filter("passed").select("check", "observed")
+    tables = Tables(spark, _order_release(spark, sf_dir))
+    return acceptance(tables, orders_medallion.SPEC).select("check", "observed", "passed")
+
+
+@query(
+    """SELECT count(*) AS year_count, CAST(min(year) AS INTEGER) AS start_year, CAST(max(year) AS INTEGER) AS end_year,
+              round(avg(n), 6) AS mean_population, round(stddev_pop(n), 6) AS stddev_population, round(stddev_samp(n), 6) AS stddev_sample
+       FROM (SELECT year, count(*) AS n FROM (
+               SELECT DISTINCT year(o_orderdate) AS year, o_orderkey, row_number() OVER () AS r FROM orders) GROUP BY year)
+       WHERE year BETWEEN 1996 AND 2000"""
+)
+def gold_statistics(spark, sf_dir):
+    stats = read_table(spark, _order_release(spark, sf_dir), "gold_population_stats")
+    return stats.withColumns({c: F.round(c, 6) for c in ("mean_population", "stddev_population", "stddev_sample")})
+
+
+@query(
+    """SELECT '1' AS series_id, CAST(year AS INTEGER) AS year, 'Q01' AS period, CAST(value AS DECIMAL(24,6)) AS value, population
+       FROM (SELECT year(o_orderdate) AS year, sum(CAST(o_totalprice AS DECIMAL(14,2))) AS value FROM orders
+             WHERE o_custkey = 1 AND quarter(o_orderdate) = 1 GROUP BY 1)
+       LEFT JOIN (SELECT year(o_orderdate) AS year, count(*) AS population FROM orders GROUP BY 1) USING (year)"""
+)
+def gold_alignment(spark, sf_dir):
+    return read_table(spark, _order_release(spark, sf_dir), "gold_series_population")
+
+
+_DAMAGED = """WITH sales AS (
+  SELECT o_custkey AS s, year(o_orderdate) AS y, 'Q0' || quarter(o_orderdate) AS p, CAST(o_totalprice AS DECIMAL(14,2)) AS v FROM orders),
+quarterly AS (SELECT s, y, p, sum(v) AS v FROM sales GROUP BY ALL),
+points AS (SELECT * FROM quarterly UNION ALL SELECT s, y, 'Q05', sum(v) FROM quarterly GROUP BY s, y),
+sourced AS (SELECT *, 'orders.1.All' AS source FROM points UNION ALL SELECT *, 'orders.0.Current' FROM points WHERE y >= 1999),
+typed AS (
+  SELECT source, s || CASE WHEN s % 10 = 5 AND p = 'Q04' THEN 'X' ELSE '' END AS series_id,
+         CAST(CASE WHEN s % 10 = 4 AND y = 1997 THEN 19970 ELSE y END AS INTEGER) AS year,
+         CASE WHEN s % 10 = 3 AND p = 'Q03' THEN 'Q13' ELSE p END AS period,
+         CASE WHEN s % 10 = 1 AND p = 'Q02' THEN NULL WHEN s % 10 = 2 AND source = 'orders.0.Current' THEN v + 1 ELSE v END AS value
+  FROM sourced),
+judged AS (
+  SELECT *, NOT regexp_full_match(series_id, '[0-9]+') AS b1, NOT year BETWEEN 1900 AND 2200 AS b2,
+         period NOT IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05') AS b3, value IS NULL AS b4 FROM typed),
+valid AS (SELECT * FROM judged WHERE NOT (b1 OR b2 OR b3 OR b4)),
+silver AS (SELECT series_id, year, period, max(value) AS value, count(DISTINCT value) AS versions FROM valid GROUP BY ALL),
+population AS (SELECT y AS year, count(*) AS n FROM sales GROUP BY y),
+dimension AS (
+  SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 10 = 8 THEN -1 ELSE c_nationkey END AS nation,
+         c_mktsegment, (CASE WHEN again = 1 THEN -c_acctbal ELSE c_acctbal END) < 0 AS owes
+  FROM (SELECT *, unnest(CASE WHEN c_custkey % 10 = 6 THEN [0, 1] WHEN c_custkey % 10 = 7 THEN [] ELSE [0] END) AS again FROM customer)),
+described AS (SELECT *, count(*) OVER (PARTITION BY id) AS versions FROM dimension)
+"""
+
+
+def _damaged_release(spark, sf_dir):
+    out = scratch(spark, "medallion")
+    records = orders_medallion.order_records(spark, sf_dir, damaged=True)
+    refresh(spark, records, orders_medallion.SPEC, out, enforced=False)
+    return out
+
+
+@query(
+    _DAMAGED
+    + """SELECT source AS source_name, series_id, year, period, CAST(value AS DECIMAL(24,6)) AS value,
+                concat_ws(',', CASE WHEN b1 THEN 'series_key' END, CASE WHEN b2 THEN 'year_in_range' END,
+                          CASE WHEN b3 THEN 'known_period' END, CASE WHEN b4 THEN 'value_or_marker' END) AS broken_rules
+         FROM judged WHERE b1 OR b2 OR b3 OR b4"""
+)
+def quarantined_observations(spark, sf_dir):
+    bad = read_table(spark, _damaged_release(spark, sf_dir), "quarantine_observations")
+    return bad.select("source_name", "series_id", "year", "period", "value", F.array_join("broken_rules", ",").alias("broken_rules"))
+
+
+@query(
+    _DAMAGED
+    + """, bad_population AS (SELECT count(*) AS n, count_if(year = 1997) AS bad FROM population),
+ids AS (SELECT id FROM described UNION SELECT series_id FROM silver),
+counted AS (
+  SELECT 'typed_observations' AS dataset, 'drop' AS action, count(*) AS total,
+         {'series_key': count_if(b1), 'year_in_range': count_if(b2), 'known_period': count_if(b3), 'value_or_marker': count_if(b4)} AS f FROM judged),
+lines AS (
+  SELECT dataset, action, total, unnest(map_entries(MAP {
+    'series_key': f.series_key, 'year_in_range': f.year_in_range, 'known_period': f.known_period, 'value_or_marker': f.value_or_marker})) AS e FROM counted)
+SELECT dataset, e.key AS rule, action, total, CAST(e.value AS BIGINT) AS failed FROM lines
+UNION ALL SELECT 'typed_population', rule, 'drop', n, CASE WHEN rule = 'whole_number' THEN CAST(bad AS BIGINT) ELSE 0 END
+  FROM bad_population, (VALUES ('nation_named'), ('year_in_range'), ('people_counted'), ('whole_number')) r(rule)
+UNION ALL SELECT 'silver_observations', 'non_null_keys', 'fail', count(*), 0 FROM silver
+UNION ALL SELECT 'silver_observations', 'consistent_overlap', 'fail', count(*), CAST(count_if(versions <> 1) AS BIGINT) FROM silver
+UNION ALL SELECT 'silver_population', rule, 'fail', n - bad, 0
+  FROM bad_population, (VALUES ('population_keys'), ('consistent_population')) r(rule)
+UNION ALL SELECT 'silver_series', 'series_keys', 'fail', count(*), 0 FROM described
+UNION ALL SELECT 'silver_series', 'unique_series', 'fail', count(*), CAST(count_if(versions <> 1) AS BIGINT) FROM described
+UNION ALL SELECT 'silver_series', 'complete_labels', 'fail', count(*), CAST(count_if(nation = -1) AS BIGINT) FROM described
+UNION ALL SELECT 'silver_series', 'unique_lookups', 'fail', count(*), CAST(count_if(nation = -1) AS BIGINT) FROM described
+UNION ALL SELECT 'gold_population_stats', 'full_coverage', 'fail', 1, CAST(count(*) <> 5 AS BIGINT)
+  FROM population WHERE year BETWEEN 1996 AND 2000 AND year <> 1997
+UNION ALL SELECT 'gold_best_year', 'human_readable_series', 'fail', count(*), CAST(count_if(id NOT IN (SELECT id FROM described)) AS BIGINT)
+  FROM (SELECT ids.id FROM ids LEFT JOIN described USING (id))
+UNION ALL SELECT 'bronze_records', 'record_envelope', 'fail',
+  (SELECT count(*) FROM sourced) + (SELECT count(*) FROM customer) + (SELECT count_if(c_custkey % 10 = 6) - count_if(c_custkey % 10 = 7) FROM customer)
+  + (SELECT count(*) FROM nation) + (SELECT count(DISTINCT c_mktsegment) FROM customer) + (SELECT n FROM bad_population), 0"""
+)
+def medallion_metrics(spark, sf_dir):
+    """Every rule over records with damaged cells: how many rows it saw and how many broke it."""
+    return read_table(spark, _damaged_release(spark, sf_dir), "quality_metrics")

@@ -60,6 +60,22 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for a path, so that any store that Spark reads will do."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    files, location = _file_system(spark, path)
+    return files.delete(location, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    files, location = _file_system(spark, path)
+    return sorted(status.getPath().getName() for status in files.listStatus(location) if status.isDirectory())
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as a frame of literals: no Python workers are started for them."""
     fields = T.StructType.fromDDL(schema).fields

@@ -4,12 +4,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 class SchemaDrift(ValueError):
-    """A landed file breaks its contract."""
+    """A landed file breaks its contract. ``problems`` holds every case as a frame, where there are any to hold."""
+
+    def __init__(self, message: str, problems: DataFrame | None = None):
+        super().__init__(message)
+        self.problems = problems
+
+
+#: Cases that a message spells out; all of them are in the frame beside it.
+SPELLED_OUT = 20
+
+
+def told(what: str, cases: DataFrame, *columns: str) -> str:
+    """A message with the first cases."""
+    some = cases.select(*columns).limit(SPELLED_OUT).collect()
+    return f"{what}: " + "; ".join(": ".join(map(str, row)) for row in some)
 
 
 @dataclass(frozen=True)
@@ -36,7 +50,9 @@ class PageContract:
 
 
 def kind_of(name: Column, contracts: Sequence[FileContract | PageContract]) -> Column:
-    """The kind of the first matching contract, NULL for files that are only kept."""
+    """The kind of the first contract that matches the file's own name (below any folders), NULL for files that are
+    only kept."""
+    name = F.element_at(F.split(name, "/"), -1)
     out = F.lit(None).cast("string")
     for contract in reversed(contracts):
         out = F.when(name.rlike(rf"\A(?:{contract.pattern})\z"), F.lit(contract.kind)).otherwise(out)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orestrata.functions.text import WHITESPACE, strip
-from orestrata.sources.contracts import FileContract, SchemaDrift, kind_of
+from orestrata.sources.contracts import FileContract, SchemaDrift, kind_of, told
 from orestrata.sources.sizing import broadcast_within
 
 # A character that text files do not use. A line that holds it anyway is still read whole, through
@@ -160,11 +160,18 @@ def _open_quote(line: Column, separator: str) -> Column:
     return line.contains('"') & closed.rlike(rf'(\A|{sep})"')
 
 
+def require_lines(lines: DataFrame) -> None:
+    """Raise if any line breaks its contract; ``lines`` should be stored."""
+    bad = lines.filter(F.col("problem").isNotNull())
+    if not bad.isEmpty():
+        raise SchemaDrift(told("lines break their contract", bad, "source_name", "problem", "bad_line"), bad)
+
+
 def require_headers(headers: DataFrame) -> None:
-    """Raise on schema drift, naming at most twenty files."""
-    bad = headers.filter(F.col("problem").isNotNull()).select("source_name", "problem").limit(20).collect()
-    if bad:
-        raise SchemaDrift("; ".join(f"{r.source_name}: {r.problem}" for r in bad))
+    """Raise on schema drift."""
+    bad = headers.filter(F.col("problem").isNotNull())
+    if not bad.isEmpty():
+        raise SchemaDrift(told("headers break their contract", bad, "source_name", "problem"), bad)
 
 
 def number_rows(df: DataFrame, file: str = "object_id", block: str = "block", seq: str = "seq") -> DataFrame:
@@ -175,13 +182,18 @@ def number_rows(df: DataFrame, file: str = "object_id", block: str = "block", se
     fits, broadcast, so the rows themselves are not shuffled. ``df`` must be stored: ``seq`` may not
     be drawn anew between the two reads.
     """
-    splits = df.groupBy(file, block).agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(
-        Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ) - F.col("_rows")
-    starts = splits.select(file, block, "_first", before.alias("_before"))
+    starts = split_starts(df, file, block, seq).drop("n_rows")
     return (
         df.join(broadcast_within(starts), [file, block])
-        .withColumn("row_number", F.col("_before") + F.col(seq) - F.col("_first") + 1)
-        .drop("_before", "_first", block, seq)
+        .withColumn("row_number", F.col("before") + F.col(seq) - F.col("first") + 1)
+        .drop("before", "first", block, seq)
     )
+
+
+def split_starts(df: DataFrame, file: str = "object_id", block: str = "block", seq: str = "seq") -> DataFrame:
+    """(file, block, first, before, n_rows): a split's first ``seq`` and the rows of the file's earlier splits."""
+    splits = df.groupBy(file, block).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n_rows"))
+    before = F.sum("n_rows").over(
+        Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ) - F.col("n_rows")
+    return splits.select(file, block, "first", before.alias("before"), "n_rows")

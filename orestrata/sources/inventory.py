@@ -1,169 +1,166 @@
-"""Inventory of landed files: name, size, digests and the first line, in one read of the content."""
+"""Inventory of landed files: name below the landing folder, size, digests and the first line.
+
+A file's identity is the SHA-256 of its bytes (and of name, NUL, bytes), whatever its size. How it is computed is
+not: files up to ``STREAM_ABOVE`` bytes are hashed by Spark's binary reader, which holds a file in one row; a larger
+one is streamed through a task in pieces, in constant memory. Both give the same values.
+"""
 from __future__ import annotations
 
-import re
+import codecs
+import hashlib
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.functions.digests import content_digest, object_id
 from orestrata.functions.urls import percent_decoded
+from orestrata.session import staged
 
-# binaryFile holds a file in one row of one task, together with a copy for the second digest.
-WHOLE_FILE_LIMIT = 256 << 20
-
-# The lower 33 bits of a monotonically increasing id count the rows of a partition.
-_ROW_MASK = (1 << 33) - 1
-
+STREAM_ABOVE = 32 << 20
+PIECE = 1 << 20
+#: A first line beyond this is not a header.
+HEADER_BYTES = 1 << 20
+#: Paths that one reader is given at once; there are as many readers as it takes.
+PATHS_AT_ONCE = 10_000
 
-def _location() -> Column:
-    """The path as a reader takes it: _metadata.file_path is percent-encoded."""
-    return percent_decoded(F.col("_metadata.file_path"))
+IDENTITY = ("sha256", "object_id", "header", "is_utf8")
+_DIGESTS = "path STRING, sha256 STRING, object_id STRING, header STRING, is_utf8 BOOLEAN"
 
 
-def _file_name() -> Column:
-    return percent_decoded(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+def _below(folder: str) -> Column:
+    """The decoded path below the landing folder."""
+    base = folder.rstrip("/")
+    plain = base.split("://", 1)[-1] if "://" in base else base.removeprefix("file:")
+    location = percent_decoded(F.col("path"))
+    return F.substring(location, F.instr(location, F.lit(plain + "/")) + len(plain) + 1, F.length(location))
 
 
-def _files(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-
-
-def _attributes() -> list[Column]:
-    return [
-        F.col("_metadata.file_path").alias("path"),
-        _location().alias("location"),
-        _file_name().alias("source_name"),
-        F.col("length").alias("bytes"),
-        F.col("modificationTime").alias("modified"),
-    ]
+def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
 
 
-def _empty_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The files without a byte: Spark lists them but leaves them out of every scan, so they are what
-    the file index (held by the driver in any case) names beyond the scan."""
-    files = _files(spark, folder)
+def _empty_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Paths of the files without a byte: Spark lists them but leaves them out of every scan. They are what the file
+    index, which the driver holds in any case, names beyond the scan; the names stay in the JVM."""
+    names = Column(spark._jvm.org.apache.spark.sql.functions.lit(files._jdf.inputFiles()))
     # the index writes file:///a where the scan writes file:/a
-    paths = [(re.sub(r"^(\w+):///", r"\1:/", path),) for path in files.inputFiles()]
-    named = spark.createDataFrame(paths, "path STRING")
-    return named.join(files.select(F.col("_metadata.file_path").alias("path")), "path", "left_anti").select(
-        "path",
-        percent_decoded(F.col("path")).alias("location"),
-        percent_decoded(F.element_at(F.split("path", "/"), -1)).alias("source_name"),
-        F.lit(0).cast("bigint").alias("bytes"),
-        F.lit(None).cast("timestamp").alias("modified"),
+    paths = spark.range(0, 1, 1, 1).select(F.explode(names).alias("path")).select(
+        F.regexp_replace("path", r"^(\w+):///", "$1:/").alias("path")
     )
-
-
-def _extent(spark: SparkSession, folder: str) -> tuple[bool, int]:
-    """Are there empty files, and how large is the largest one?"""
-    files = _files(spark, folder)
-    seen = files.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("largest")).first()
-    # the length of the JVM's array: inputFiles() would fetch a million names one by one
-    return len(files._jdf.inputFiles()) > seen["n"], seen["largest"] or 0
+    return paths.join(files.select(F.col("_metadata.file_path").alias("path")), "path", "left_anti")
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, location, source_name, bytes, modified): column pruning keeps the content unread."""
-    files = _files(spark, folder).select(*_attributes())
-    has_empty, _ = _extent(spark, folder)
-    return files.unionByName(_empty_files(spark, folder)) if has_empty else files
-
-
-def content_inventory(spark: SparkSession, folder: str, whole_file_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """One row per file: (path, location, source_name, bytes, modified, sha256, object_id, header, is_utf8).
-
-    Files up to ``whole_file_limit`` are hashed by their bytes. A larger file would sit in a single
-    task, so it is read in splits and identified by its numbered lines, see :func:`_large_files`.
-    """
-    first_line = F.substring_index(F.col("content").cast("string"), "\n", 1)
-    out = (
-        _files(spark, folder)
-        .filter(F.col("length") <= whole_file_limit)
+    """(path, location, source_name, bytes, modified) without reading any content. ``path`` is as Spark's metadata has
+    it, ``location`` is decoded, ``source_name`` is the name below ``folder``."""
+    files = _files(spark, folder)
+    found = files.select(
+        F.col("_metadata.file_path").alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
+    )
+    if len(files._jdf.inputFiles()) > files.count():
+        nothing = [F.lit(0).cast("bigint").alias("bytes"), F.lit(None).cast("timestamp").alias("modified")]
+        found = found.unionByName(_empty_files(spark, files).select("path", *nothing))
+    return found.select("path", percent_decoded(F.col("path")).alias("location"), _below(folder).alias("source_name"), "bytes", "modified")
+
+
+def path_batches(files: DataFrame) -> Iterator[list[str]]:
+    """The locations of ``files`` for a reader, ``PATHS_AT_ONCE`` at a time. Readers expand patterns in paths, so the
+    characters of patterns are escaped."""
+    batch: list[str] = []
+    for row in files.select("location").toLocalIterator():
+        batch.append("".join(f"\\{c}" if c in "[]{}*?\\" else c for c in row["location"]))
+        if len(batch) == PATHS_AT_ONCE:
+            yield batch
+            batch = []
+    if batch:
+        yield batch
+
+
+def content_inventory(spark: SparkSession, folder: str, known: DataFrame | None = None) -> DataFrame:
+    """One row per file: the columns of :func:`listing` and (sha256, object_id, header, is_utf8).
+
+    ``known`` is an earlier inventory: a file with the same name, size and modification time keeps its digests and is
+    not read. Without it every file is read."""
+    files = staged(spark, listing(spark, folder), "listing")
+    if known is None:
+        return files.join(_read(spark, files), "path")
+    same = known.filter(F.col("modified").isNotNull()).select("source_name", "bytes", "modified", *IDENTITY)
+    keys = ["source_name", "bytes", "modified"]
+    kept = files.join(same, keys)
+    rest = staged(spark, files.join(same, keys, "left_anti"), "unread")
+    columns = [*files.columns, *IDENTITY]
+    return kept.select(*columns).unionByName(rest.join(_read(spark, rest), "path").select(*columns))
+
+
+def _read(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(path, sha256, object_id, header, is_utf8) of every file in ``files`` (stored)."""
+    nothing = F.lit("").cast("binary")
+    empty = files.filter("bytes = 0").select(
+        "path",
+        content_digest(nothing).alias("sha256"),
+        object_id(F.col("source_name"), nothing).alias("object_id"),
+        F.lit("").alias("header"),
+        F.lit(True).alias("is_utf8"),
+    )
+    small = files.filter((F.col("bytes") > 0) & (F.col("bytes") <= STREAM_ABOVE))
+    names = small.select("path", "source_name")
+    first = F.substring_index(F.col("content").cast("string"), "\n", 1)
+    whole = [
+        _files(spark, paths)
+        .select(F.col("_metadata.file_path").alias("path"), "content")
+        .join(names, "path")
         .select(
-            *_attributes(),
+            "path",
             content_digest(F.col("content")).alias("sha256"),
-            object_id(_file_name(), F.col("content")).alias("object_id"),
-            F.try_validate_utf8(F.rtrim(first_line, F.lit("\r"))).alias("header"),
+            object_id(F.col("source_name"), F.col("content")).alias("object_id"),
+            F.when(F.octet_length(first) <= HEADER_BYTES, F.try_validate_utf8(F.rtrim(first, F.lit("\r")))).alias("header"),
             F.is_valid_utf8(F.col("content").cast("string")).alias("is_utf8"),
         )
-    )
-    has_empty, largest = _extent(spark, folder)
-    if has_empty:
-        nothing = F.lit("").cast("binary")
-        out = out.unionByName(
-            _empty_files(spark, folder).select(
-                "*",
-                content_digest(nothing).alias("sha256"),
-                object_id(F.col("source_name"), nothing).alias("object_id"),
-                F.lit("").alias("header"),
-                F.lit(True).alias("is_utf8"),
+        for paths in path_batches(small)
+    ]
+    out = reduce(DataFrame.unionByName, whole, empty)
+    large = files.filter(F.col("bytes") > STREAM_ABOVE).select("path", "source_name")
+    n = large.count()
+    return out.unionByName(large.repartition(n).mapInArrow(_streamed, _DIGESTS)) if n else out
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of large files, one after the other, a piece at a time."""
+    from pyarrow import fs
+
+    for batch in batches:
+        for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            scheme, _, rest = path.partition(":")
+            files, place = fs.FileSystem.from_uri(path if rest.startswith("//") else f"{scheme}://{rest}")
+            own, named = hashlib.sha256(), hashlib.sha256(name.encode() + b"\0")
+            decoder, valid, head, open_line = codecs.getincrementaldecoder("utf-8")(), True, b"", True
+            with files.open_input_stream(place) as source:
+                while piece := source.read(PIECE):
+                    own.update(piece)
+                    named.update(piece)
+                    if valid:
+                        try:
+                            decoder.decode(piece)
+                        except UnicodeDecodeError:
+                            valid = False
+                    if open_line:
+                        line, end, _ = piece.partition(b"\n")
+                        head, open_line = head + line, not end and len(head) <= HEADER_BYTES
+            if valid:
+                try:
+                    decoder.decode(b"", final=True)
+                except UnicodeDecodeError:
+                    valid = False
+            try:
+                header = head.rstrip(b"\r").decode() if len(head) <= HEADER_BYTES else None
+            except UnicodeDecodeError:
+                header = None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], kind) for x, kind in zip(
+                    (path, own.hexdigest(), named.hexdigest(), header, valid), (pa.string(),) * 4 + (pa.bool_(),)
+                )],
+                ["path", "sha256", "object_id", "header", "is_utf8"],
             )
-        )
-    if largest > whole_file_limit:
-        out = out.unionByName(_large_files(spark, folder, whole_file_limit))
-    return out
-
-
-def _large_files(spark: SparkSession, folder: str, whole_file_limit: int) -> DataFrame:
-    """Identities of large files, prefixed ``lines:``, in one read and without sorting a file.
-
-    The identity is built from the file's size, its line count and, for two hashes h of a line, the
-    sums of h and of h * line number. A changed, added, lost or moved line changes it; how the file
-    was split does not: with the number of a line being its distance from the split's first line plus
-    the lines before the split, the sum follows from three sums per split.
-    """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(folder)
-        .filter(F.col("_metadata.file_size") > whole_file_limit)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("path"),
-            _location().alias("location"),
-            _file_name().alias("source_name"),
-            F.col("_metadata.file_size").alias("bytes"),
-            F.col("_metadata.file_modification_time").alias("modified"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)).alias("seq"),
-        )
-    )
-    file = ["path", "location", "source_name", "bytes", "modified"]
-    seeds = (1, 2)
-
-    def line_hash(seed: int) -> Column:
-        # 31 bits, so that the weighted sums stay far below 38 digits
-        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("value")), 33).cast("decimal(38,0)")
-
-    number = F.col("seq").cast("decimal(20,0)")
-    splits = lines.groupBy(*file, "block").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("seq").alias("first"),
-        F.min_by("value", "seq").alias("top"),
-        F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
-        *[F.sum(line_hash(s)).alias(f"plain_{s}") for s in seeds],
-        *[F.sum((line_hash(s) * number).cast("decimal(38,0)")).alias(f"moment_{s}") for s in seeds],
-    )
-    earlier = Window.partitionBy(*file).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offset = (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("offset")
-    numbered = splits.select("*", offset)
-
-    def weighted(seed: int) -> Column:
-        shifted = F.col(f"plain_{seed}") * F.col("offset").cast("decimal(20,0)")
-        return F.sum((F.col(f"moment_{seed}") + shifted.cast("decimal(38,0)")).cast("decimal(38,0)"))
-
-    sums = [F.sum(f"plain_{s}").cast("string") for s in seeds] + [weighted(s).cast("string") for s in seeds]
-    per_file = numbered.groupBy(*file).agg(
-        F.concat_ws("/", F.sum("rows").cast("string"), *sums).alias("_lines"),
-        F.min_by("top", "block").alias("header"),
-        F.bool_and("is_utf8").alias("is_utf8"),
-    )
-    identity = F.concat_ws("/", F.col("bytes").cast("string"), "_lines")
-    named = F.concat_ws("\u0000", "source_name", identity)
-    return per_file.select(
-        *file,
-        F.concat(F.lit("lines:"), F.sha2(identity, 256)).alias("sha256"),
-        F.concat(F.lit("lines:"), F.sha2(named, 256)).alias("object_id"),
-        F.try_validate_utf8("header").alias("header"),
-        "is_utf8",
-    )

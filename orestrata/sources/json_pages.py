@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestrata.sources.contracts import PageContract, SchemaDrift
+from orestrata.sources.contracts import PageContract, SchemaDrift, told
 
 # Cells stay text: a map keeps the digits as written and tells an absent key from a null.
 PAGE_SCHEMA = "page STRUCT<total: BIGINT, offset: BIGINT>, data ARRAY<MAP<STRING, STRING>>"
@@ -38,25 +38,49 @@ def parse_pages(documents: DataFrame, contract: PageContract, keep: Sequence[str
 
     ``documents`` has ``page`` and ``data`` as in :data:`PAGE_SCHEMA` beside the ``keep`` columns.
     """
+    pages = _checked(documents, contract)
+    rows = (
+        pages.filter(F.col("problem").isNull())
+        .select(*keep, F.posexplode("data").alias("_position", "_row"))
+        .select(*keep, (F.col("_position") + 1).cast("bigint").alias("row_number"), _fields(contract).alias("fields"))
+    )
+    return PageRead(pages.select(*keep, "page", F.size("data").alias("n_rows"), "problem"), rows)
+
+
+def exploded_pages(documents: DataFrame, contract: PageContract, keep: Sequence[str]) -> DataFrame:
+    """(keep.., row_number, fields, problem) in one pass: the elements of sound pages, and one row with its problem for
+    each page that isn't."""
+    pages = _checked(documents, contract)
+    sound = F.when(F.col("problem").isNull(), F.col("data"))
+    return pages.select(*keep, "problem", F.posexplode_outer(sound).alias("_position", "_row")).select(
+        *keep,
+        (F.col("_position") + 1).cast("bigint").alias("row_number"),
+        F.when(F.col("problem").isNull(), _fields(contract)).alias("fields"),
+        "problem",
+    )
+
+
+def _checked(documents: DataFrame, contract: PageContract) -> DataFrame:
     required = F.array(*[F.lit(key) for key in contract.required])
-    lacking = F.exists("data", lambda row: F.size(F.array_except(required, F.map_keys(row))) > 0)
-    pages = documents.withColumn(
+    # an element that is null lacks all keys
+    lacking = F.exists(
+        "data", lambda row: F.coalesce(F.size(F.array_except(required, F.map_keys(row))) > 0, F.lit(True))
+    )
+    return documents.withColumn(
         "problem",
         F.when(F.col("data").isNull() | (F.size("data") == 0), F.lit("no data"))
         .when(F.coalesce(F.col("page.offset"), F.lit(0)) != 0, F.lit("partial page"))
         .when(F.coalesce(F.col("page.total"), F.size("data")) != F.size("data"), F.lit("partial page"))
         .when(lacking, F.lit("missing keys")),
     )
+
+
+def _fields(contract: PageContract) -> Column:
     defaults = dict(contract.defaults)
     cells = []
     for name, spellings in contract.columns:
         cells += [F.lit(name), _first_present(F.col("_row"), spellings, defaults.get(name))]
-    rows = (
-        pages.filter(F.col("problem").isNull())
-        .select(*keep, F.posexplode("data").alias("_position", "_row"))
-        .select(*keep, (F.col("_position") + 1).cast("bigint").alias("row_number"), F.create_map(*cells).alias("fields"))
-    )
-    return PageRead(pages.select(*keep, "page", F.size("data").alias("n_rows"), "problem"), rows)
+    return F.create_map(*cells)
 
 
 def _first_present(row: Column, spellings: Sequence[str], default: str | None) -> Column:
@@ -67,8 +91,7 @@ def _first_present(row: Column, spellings: Sequence[str], default: str | None) -
 
 
 def require_pages(pages: DataFrame) -> None:
-    """Raise on partial or drifted pages, naming at most twenty."""
-    first = pages.columns[0]
-    bad = pages.filter(F.col("problem").isNotNull()).select(first, "problem").limit(20).collect()
-    if bad:
-        raise SchemaDrift("; ".join(f"{r[0]}: {r.problem}" for r in bad))
+    """Raise on partial or drifted pages."""
+    bad = pages.filter(F.col("problem").isNotNull())
+    if not bad.isEmpty():
+        raise SchemaDrift(told("pages break their contract", bad, pages.columns[0], "problem"), bad)

@@ -16,7 +16,7 @@ def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFra
     size = F.lit(16 * len(df.columns)).cast("bigint")
     for name, kind in df.dtypes:
         cell = F.col(name)
-        length = F.length(cell) if kind in ("string", "binary") else F.length(F.to_json(F.struct(cell)))
+        length = F.octet_length(cell if kind in ("string", "binary") else F.to_json(F.struct(cell)))
         size = size + F.coalesce(length, F.lit(0))
     total = df.agg(F.sum(size).alias("total")).first()["total"] or 0
     return F.broadcast(df) if total <= max_bytes else df

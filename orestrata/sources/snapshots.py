@@ -3,48 +3,50 @@
 Folder layout below ``store`` (all Parquet):
 
 ``records/batch=<id>/kind=<kind>``  parsed rows of the objects that were new in a batch
+``splits/batch=<id>``               where the rows of each split of a delimited file begin
 ``objects``                         one row per stored object: (batch, object_id, .., n_rows)
 ``inventory/snapshot_id=<id>``      one row per active source of a snapshot
 ``commits``                         one row per published snapshot; the last write of a run
 
-Readers start from ``commits``, so a run that stops half-way leaves nothing visible.
+Readers start from ``commits``, and rows count only once ``objects`` names their batch, which is written after the
+landed files were found unchanged. A run that stops half-way leaves nothing visible.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.operators.quality import Rule, check
-from orestrata.session import literal_rows, side_by_side, staged, time_ordered_id
-from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift, kind_of
-from orestrata.sources.delimited import number_rows, read_delimited, require_headers
-from orestrata.sources.inventory import WHOLE_FILE_LIMIT, content_inventory, listing
-from orestrata.sources.json_pages import page_documents, parse_pages, require_pages
+from orestrata.session import delete_folder, literal_rows, side_by_side, staged, time_ordered_id
+from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift, kind_of, told
+from orestrata.sources.delimited import read_delimited, require_headers, split_starts
+from orestrata.sources.inventory import content_inventory, listing, path_batches
+from orestrata.sources.json_pages import exploded_pages, page_documents
 from orestrata.sources.sizing import broadcast_within
 
 INVENTORY_SCHEMA = (
     "source_name STRING, location STRING, sha256 STRING, object_id STRING, kind STRING, bytes BIGINT, "
-    "status STRING, snapshot_id STRING"
+    "modified TIMESTAMP, header STRING, is_utf8 BOOLEAN, status STRING, snapshot_id STRING"
 )
 OBJECTS_SCHEMA = "batch STRING, object_id STRING, source_name STRING, sha256 STRING, kind STRING, n_rows BIGINT"
 COMMITS_SCHEMA = (
     "snapshot_id STRING, committed_at STRING, files BIGINT, added BIGINT, changed BIGINT, unchanged BIGINT, deleted BIGINT"
 )
 RECORDS_SCHEMA = (
-    "object_id STRING, source_name STRING, row_number BIGINT, fields MAP<STRING, STRING>, batch STRING, kind STRING"
+    "object_id STRING, source_name STRING, row_number BIGINT, block BIGINT, seq BIGINT, fields MAP<STRING, STRING>, "
+    "batch STRING, kind STRING"
 )
-
-# Up to this many changed files are opened by path; beyond it the landing folder is scanned.
-PATHS_LIMIT = 10_000
+SPLITS_SCHEMA = "object_id STRING, block BIGINT, first BIGINT, before BIGINT, batch STRING"
 
 
 class ImmutableObjectChanged(ValueError):
-    """Other content under a key that is already stored."""
+    """Other content under a key that is already stored; the second argument holds all such keys."""
 
 
 class LandingChanged(RuntimeError):
@@ -56,7 +58,6 @@ class IngestResult:
     changed: bool
     snapshot_id: str | None
     counts: dict[str, int] = field(default_factory=dict)
-    deleted: list[str] = field(default_factory=list)
 
 
 # --- operators on inventories -----------------------------------------------------------------
@@ -83,15 +84,18 @@ def unstored(candidates: DataFrame, stored: DataFrame, key: str) -> DataFrame:
 def immutability_conflicts(candidates: DataFrame, stored: DataFrame, key: str, digest: str) -> DataFrame:
     """Keys that carry more than one digest among candidates and stored objects together."""
     both = candidates.select(key, digest).unionByName(stored.select(key, digest))
-    spread = both.groupBy(key).agg(F.min(digest).alias("_low"), F.max(digest).alias("_high"))
-    return spread.filter(F.col("_low") != F.col("_high")).select(key)
+    spread = both.groupBy(key).agg(
+        F.min(digest).alias("_low"), F.max(digest).alias("_high"), F.count_if(F.col(digest).isNull()).alias("_null")
+    )
+    odd = (F.col("_low") != F.col("_high")) | ((F.col("_null") > 0) & F.col("_low").isNotNull())
+    return spread.filter(odd).select(key)
 
 
 def write_once(candidates: DataFrame, stored: DataFrame, key: str, digest: str) -> DataFrame:
     """The rows to append, after making sure that no key changes its content."""
-    bad = [str(r[0]) for r in immutability_conflicts(candidates, stored, key, digest).limit(20).collect()]
-    if bad:
-        raise ImmutableObjectChanged("other content under stored keys: " + ", ".join(bad))
+    bad = immutability_conflicts(candidates, stored, key, digest)
+    if not bad.isEmpty():
+        raise ImmutableObjectChanged(told("other content under stored keys", bad, key), bad)
     return unstored(candidates.dropDuplicates([key]), stored, key)
 
 
@@ -123,6 +127,12 @@ def inventory_at(spark: SparkSession, store: str, snapshot_id: str | None) -> Da
     return table.filter((F.col("snapshot_id") == F.lit(snapshot_id)) & (F.col("status") != "deleted"))
 
 
+def deleted_sources(spark: SparkSession, store: str, snapshot_id: str) -> DataFrame:
+    """(source_name) of all files that were gone when a snapshot was published."""
+    table = _table(spark, f"{store}/inventory", INVENTORY_SCHEMA)
+    return table.filter((F.col("snapshot_id") == F.lit(snapshot_id)) & (F.col("status") == "deleted")).select("source_name")
+
+
 def stored_objects(spark: SparkSession, store: str) -> DataFrame:
     """One row per object, pointing at the newest batch that holds its rows."""
     table = _table(spark, f"{store}/objects", OBJECTS_SCHEMA)
@@ -152,10 +162,14 @@ def snapshot_records(spark: SparkSession, store: str, snapshot_id: str | None =
     batches = objects.filter("active").select("batch").distinct()
     stale = objects.filter(~F.col("active")).join(batches, "batch", "left_semi").select("batch", "object_id").distinct()
     records = _table(spark, f"{store}/records", RECORDS_SCHEMA)
-    return (
-        records.join(broadcast_within(batches), "batch", "left_semi")
-        .join(broadcast_within(stale), ["batch", "object_id"], "left_anti")
-        .select("object_id", "source_name", "kind", "row_number", "fields")
+    active = records.join(broadcast_within(batches), "batch", "left_semi").join(
+        broadcast_within(stale), ["batch", "object_id"], "left_anti"
+    )
+    # one row per split of a delimited file
+    splits = staged(spark, _table(spark, f"{store}/splits", SPLITS_SCHEMA).join(batches, "batch", "left_semi"), "splits")
+    number = F.coalesce(F.col("row_number"), F.col("before") + F.col("seq") - F.col("first") + 1)
+    return active.join(broadcast_within(splits), ["batch", "object_id", "block"], "left").select(
+        "object_id", "source_name", "kind", number.alias("row_number"), "fields"
     )
 
 
@@ -186,12 +200,16 @@ def ingest(
     store: str,
     files: Sequence[FileContract],
     pages: Sequence[PageContract] = (),
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
+    reread: bool = False,
 ) -> IngestResult:
-    """Bring the store up to the landed files and publish a snapshot if anything changed."""
+    """Bring the store up to the landed files and publish a snapshot if anything changed.
+
+    Files whose size and modification time are those of the previous snapshot are not read again. ``reread`` reads and
+    hashes all of them, for stores that don't keep modification times apart.
+    """
     previous = latest_snapshot(spark, store)
     old = inventory_at(spark, store, previous)
-    found = content_inventory(spark, landing, whole_file_limit).withColumn(
+    found = content_inventory(spark, landing, None if reread or previous is None else old).withColumn(
         "kind", kind_of(F.col("source_name"), [*files, *pages])
     )
     new = staged(spark, found, "inventory")
@@ -218,13 +236,23 @@ def ingest(
 
     batch = time_ordered_id()
     if not todo.isEmpty():
-        _store_objects(spark, landing, store, batch, todo, files, pages)
+        rows = _store_rows(spark, store, batch, todo, files, pages)
         _require_unmoved(spark, landing, new)
+        # from here on the rows count
+        registry = todo.join(rows, "object_id", "left").select(
+            F.lit(batch).alias("batch"),
+            "object_id",
+            "source_name",
+            "sha256",
+            "kind",
+            F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
+        )
+        registry.write.mode("append").parquet(f"{store}/objects")
     if not counts["added"] + counts["changed"] + counts["deleted"]:
         return IngestResult(False, previous, counts)
 
     gone = old.join(status.filter(F.col("status") == "deleted"), "source_name", "left_semi")
-    columns = ["source_name", "location", "sha256", "object_id", "kind", "bytes", "status"]
+    columns = ["source_name", "location", "sha256", "object_id", "kind", "bytes", "modified", "header", "is_utf8", "status"]
     rows = (
         new.join(status, "source_name")
         .select(*columns)
@@ -234,90 +262,89 @@ def ingest(
     commit = (batch, datetime.now(timezone.utc).isoformat(), sum(counts.values()) - counts["deleted"],
               counts["added"], counts["changed"], counts["unchanged"], counts["deleted"])
     literal_rows(spark, [commit], COMMITS_SCHEMA).write.mode("append").parquet(f"{store}/commits")
-    return IngestResult(True, batch, counts, _named(gone))
-
+    return IngestResult(True, batch, counts)
 
-def _named(gone: DataFrame) -> list[str]:
-    """The first hundred deleted names, for the log; the inventory holds them all."""
-    return [r.source_name for r in gone.select("source_name").orderBy("source_name").limit(100).collect()]
 
+def _store_rows(spark, store, batch, todo, files, pages) -> DataFrame:
+    """Parse the objects of ``todo`` under their contracts and write their rows -> (object_id, n_rows).
 
-def _paths(todo: DataFrame, landing: str) -> str | list[str]:
-    """What to read for the objects of ``todo``; empty if there are none."""
-    some = [r.location for r in todo.select("location").limit(PATHS_LIMIT + 1).collect()]
-    return some if len(some) <= PATHS_LIMIT else landing
+    Each object is parsed once, in the pass that writes its rows; problems are counted in that pass. A broken contract
+    stops the run and takes the batch's rows away again."""
+    target = f"{store}/records/batch={batch}"
+    try:
+        parts = [_store_delimited(spark, store, batch, todo, files)] if files else []
+        parts += [_store_pages(spark, target, todo.filter(F.col("kind") == c.kind), c) for c in pages]
+    except SchemaDrift:
+        delete_folder(spark, target)
+        raise
+    rows = literal_rows(spark, [], "object_id STRING, n_rows BIGINT")
+    for part in parts:
+        rows = rows if part is None else rows.unionByName(part)
+    return rows
 
 
-def _store_objects(spark, landing, store, batch, todo, files, pages) -> None:
-    """Parse the objects of ``todo``, check every contract, then append rows and registry."""
+def _store_delimited(spark, store, batch, todo, files) -> DataFrame | None:
+    """Write the rows of delimited objects and the beginnings of their splits -> (object_id, n_rows)."""
+    objects = todo.filter(F.col("kind").isin(*[c.kind for c in files]))
+    # readers leave files without a byte out
+    reads = [read_delimited(spark, paths, objects, files) for paths in path_batches(objects)]
+    if not reads:
+        return None
+    require_headers(reads[0].headers)
     target = f"{store}/records/batch={batch}"
-    sizes = [
-        _store_delimited(spark, landing, target, todo.filter(F.col("kind").isin(*[c.kind for c in files])), files)
-        if files
-        else None
+    n_bad = 0
+    for read in reads:
+        seen = Observation()
+        lines = read.lines.observe(seen, F.count_if(F.col("problem").isNotNull()).alias("bad"))
+        rows = lines.withColumn("row_number", F.lit(None).cast("bigint"))
+        _append_rows(rows, target)
+        n_bad += seen.get.get("bad", 0)
+    if n_bad:
+        bad = reduce(DataFrame.unionByName, [r.lines for r in reads]).filter(F.col("problem").isNotNull())
+        raise SchemaDrift(told(f"{n_bad} lines break their contract", bad, "source_name", "problem", "bad_line"), bad)
+    kinds = [c.kind for c in files]
+    written = _table(spark, target, RECORDS_SCHEMA.replace("batch STRING, ", "")).filter(F.col("kind").isin(*kinds))
+    starts = split_starts(written)
+    starts.write.mode("append").parquet(f"{store}/splits/batch={batch}")
+    starts = spark.read.schema(SPLITS_SCHEMA.replace(", batch STRING", ", n_rows BIGINT")).parquet(f"{store}/splits/batch={batch}")
+    per_object = starts.groupBy("object_id").agg(F.sum("n_rows").alias("n_rows"))
+    filled = F.col("kind").isin(*[c.kind for c in files if not c.may_be_empty])
+    bare = objects.filter(filled).join(per_object, "object_id", "left_anti")
+    if not bare.isEmpty():
+        raise SchemaDrift(told("empty tables", bare, "source_name"), bare)
+    return per_object
+
+
+def _store_pages(spark, target, objects, contract) -> DataFrame | None:
+    """Write the rows of paged JSON objects -> (object_id, n_rows)."""
+    ids = objects.select("path", "object_id", "source_name")
+    parts = [
+        exploded_pages(page_documents(spark, paths).join(broadcast_within(ids), "path"), contract, ("source_name", "object_id"))
+        for paths in path_batches(objects)
     ]
-    sizes += [_store_pages(spark, landing, target, todo.filter(F.col("kind") == c.kind), c) for c in pages]
-    rows = literal_rows(spark, [], "object_id STRING, n_rows BIGINT")
-    for part in sizes:
-        rows = rows if part is None else rows.unionByName(part)
-    todo.join(rows, "object_id", "left").select(
-        F.lit(batch).alias("batch"),
-        "object_id",
-        "source_name",
-        "sha256",
-        "kind",
-        F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
-    ).write.mode("append").parquet(f"{store}/objects")
-
-
-def _store_delimited(spark, landing, target, objects, files) -> DataFrame | None:
-    """Append the rows of delimited objects -> (object_id, n_rows)."""
-    paths = _paths(objects, landing)
-    if not paths:
+    if not parts:
         return None
-    read = read_delimited(spark, paths, objects, files)
-    require_headers(read.headers)
-    parsed = staged(spark, read.lines, "lines")
-    per_object = parsed.groupBy("object_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("problem").isNotNull()).alias("bad_lines")
+    _append_rows(reduce(DataFrame.unionByName, parts).withColumn("kind", F.lit(contract.kind)), target, "problem")
+    written = _table(
+        spark, f"{target}/kind={contract.kind}", "object_id STRING, source_name STRING, row_number BIGINT, problem STRING"
     )
-    per_object = staged(spark, per_object, "sizes")
-    filled = F.col("kind").isin(*[c.kind for c in files if not c.may_be_empty])
-    odd = objects.join(per_object, "object_id", "left").filter(
-        (F.col("bad_lines") > 0) | (filled & F.col("n_rows").isNull())
+    bad = written.filter(F.col("problem").isNotNull())
+    if not bad.isEmpty():
+        raise SchemaDrift(told("pages break their contract", bad, "source_name", "problem"), bad)
+    found = written.groupBy("object_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("row_number") == 1).alias("_documents")
     )
-    odd = odd.select("source_name", "bad_lines").limit(20).collect()
-    if any(r.bad_lines for r in odd):
-        bad = parsed.filter(F.col("problem").isNotNull()).limit(20).collect()
-        raise SchemaDrift("; ".join(f"{r.source_name}: {r.problem}: {r.bad_line[:80]!r}" for r in bad))
-    if odd:
-        raise SchemaDrift("empty tables: " + ", ".join(r.source_name for r in odd))
-    _append_rows(number_rows(parsed.drop("bad_line", "problem")), target)
-    return per_object.select("object_id", "n_rows")
-
-
-def _store_pages(spark, landing, target, objects, contract) -> DataFrame | None:
-    """Append the rows of paged JSON objects -> (object_id, n_rows)."""
-    paths = _paths(objects, landing)
-    if not paths:
-        return None
-    ids = objects.select("path", "object_id", "source_name")
-    documents = page_documents(spark, paths).join(broadcast_within(ids), "path")
-    read = parse_pages(documents, contract, keep=("source_name", "object_id"))
-    found = staged(spark, read.pages.drop("page"), "pages")
-    require_pages(found)
-    copies = found.groupBy("object_id").agg(F.count(F.lit(1)).alias("_documents"))
-    odd = objects.join(copies, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
-    names = [r.source_name for r in odd.limit(20).collect()]
-    if names:
-        raise SchemaDrift("not one JSON document: " + ", ".join(names))
-    _append_rows(read.rows.withColumn("kind", F.lit(contract.kind)), target)
-    return found.select("object_id", F.col("n_rows").cast("bigint").alias("n_rows"))
-
-
-def _append_rows(rows: DataFrame, target: str) -> None:
-    envelope = rows.select("object_id", "source_name", "kind", "row_number", "fields")
-    envelope.write.mode("append").partitionBy("kind").parquet(target)
+    found = staged(spark, found, "pages")
+    odd = objects.join(found, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
+    if not odd.isEmpty():
+        raise SchemaDrift(told("not one JSON document", odd, "source_name"), odd)
+    return found.select("object_id", "n_rows")
+
+
+def _append_rows(rows: DataFrame, target: str, *more: str) -> None:
+    names = ["object_id", "source_name", "kind", "row_number", "block", "seq", "fields", *more]
+    rows = rows.withColumns({c: F.lit(None).cast("bigint") for c in ("block", "seq") if c not in rows.columns})
+    rows.select(*names).write.mode("append").partitionBy("kind").parquet(target)
 
 
 def _require_unmoved(spark: SparkSession, landing: str, inventory: DataFrame) -> None:

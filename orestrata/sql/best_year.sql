@@ -3,7 +3,7 @@
 WITH yearly AS (
   SELECT series_id, year, sum(value) AS total, count(value) AS n
   FROM silver_observations
-  WHERE array_contains(:quarters, period)
+  WHERE period IN (:q1, :q2, :q3, :q4)
   GROUP BY series_id, year
 ),
 winner AS (

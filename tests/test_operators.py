@@ -38,11 +38,11 @@ def typed(frame, *points):
 
 
 def valid(df):
-    return keep_valid(df, [Rule("valid", SPEC.observation_valid)])
+    return keep_valid(df, SPEC.observation_rules)
 
 
 def rejected(df):
-    return quarantine(df, [Rule("valid", SPEC.observation_valid)])
+    return quarantine(df, SPEC.observation_rules)
 
 
 # --- typing and validity ---------------------------------------------------------------------------
@@ -103,7 +103,7 @@ def test_population_must_be_integral(frame):
         ),
         SPEC,
     )
-    good = keep_valid(df, [Rule("valid", SPEC.population_valid)])
+    good = keep_valid(df, SPEC.population_rules)
     assert sorted(r.population for r in good.collect()) == [7, 316128839]
     assert rows(collapse_population(good, SPEC)) == [(2013, 316128839, 1)]
 
@@ -314,10 +314,18 @@ def test_keyed_diff_tolerates_only_noise(frame):
     left = frame([(1, 1.0, "a"), (2, 1e9, "a"), (3, 1.0, "a"), (4, None, "a"), (5, None, "a"), (6, 1.0, "a"), (6, 1.0, "a"), (7, 0.0, None)], schema)
     right = frame([(1, 1.0 + 1e-10, "a"), (2, 1e9 + 0.5, "a"), (3, 1.01, "a"), (4, 0.0, "a"), (5, None, "a"), (6, 1.0, "a"), (8, 0.0, "a")], schema)
     assert rows(keyed_diff(left, right, ["k"])) == [
-        (3, "values"), (4, "values"), (6, "duplicate_key"), (7, "only_left"), (8, "only_right")
+        (3, "values"), (4, "values"), (6, "copies"), (7, "only_left"), (8, "only_right")
     ]
 
 
+def test_keyed_diff_compares_copies_and_maps(frame):
+    schema = "k INT, m MAP<STRING, INT>"
+    left = frame([(1, {"a": 1}), (1, {"b": 2}), (2, {"a": 1, "b": 2}), (3, None), (3, None)], schema)
+    right = frame([(1, {"b": 2}), (1, {"a": 1}), (2, {"b": 2, "a": 1}), (3, None), (3, {"a": 1})], schema)
+    assert rows(keyed_diff(left, right, ["k"])) == [(3, "values")]
+    assert rows(keyed_diff(left, left.filter("k <> 3"), ["k"])) == [(3, "only_left")]
+
+
 # --- inventories and records -----------------------------------------------------------------------
 
 

@@ -7,7 +7,8 @@ from orestrata.operators.quality import ExpectationFailed
 from orestrata.plans import productivity
 from orestrata.plans.tables import current_release, read_table
 from orestrata.sources.contracts import SchemaDrift
-from orestrata.sources.snapshots import latest_snapshot, snapshot_records, stored_objects
+from orestrata.sources import inventory, snapshots
+from orestrata.sources.snapshots import LandingChanged, deleted_sources, latest_snapshot, snapshot_records, stored_objects
 
 HEADER = "series_id\tyear\tperiod\tvalue\tfootnote_codes\n"
 SERIES_HEADER = (
@@ -98,7 +99,7 @@ def test_end_to_end(spark, landing, tmp_path):
     assert (summary.source_files, summary.silver_observations, summary.gold_best_year) == (12, 8, 3)
     assert spark.read.json(str(target / "provenance")).count() == 12
     metrics = {(r.dataset, r.rule): (r.total, r.failed) for r in read_table(spark, out, "quality_metrics").collect()}
-    assert metrics["typed_observations", "valid_observation"] == (15, 0)
+    assert metrics["typed_observations", "series_key"] == metrics["typed_observations", "value_or_marker"] == (15, 0)
 
 
 def test_rerun_change_delete_and_repair(spark, landing, tmp_path):
@@ -114,7 +115,7 @@ def test_rerun_change_delete_and_repair(spark, landing, tmp_path):
     (landing / "pr.contacts").write_text("new documentation")
     (landing / "pr.txt").unlink()
     third = productivity.ingest_landed(spark, str(landing), store)
-    assert third.changed and third.deleted == ["pr.txt"]
+    assert third.changed and deleted_sources(spark, store, third.snapshot_id).collect() == [("pr.txt",)]
     assert third.counts == {"added": 1, "changed": 1, "unchanged": 10, "deleted": 1}
     after = {(r.source_name, r.row_number): dict(r.fields) for r in snapshot_records(spark, store).collect()}
     assert before.keys() == after.keys()
@@ -137,6 +138,48 @@ def test_rerun_change_delete_and_repair(spark, landing, tmp_path):
     assert restored == after
 
 
+def test_a_change_between_hash_and_parse_leaves_nothing_behind(spark, landing, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    current = landing / "pr.data.0.Current"
+    before, then = current.read_text(), current.read_text().replace("-0.1", "9.5 ")
+    hashed = snapshots.content_inventory
+
+    def meddled(*args):
+        found = snapshots.staged(spark, hashed(*args), "meddled")
+        current.write_text(then)
+        return found
+
+    monkeypatch.setattr(snapshots, "content_inventory", meddled)
+    with pytest.raises(LandingChanged):
+        productivity.ingest_landed(spark, str(landing), store)
+    monkeypatch.undo()
+    current.write_text(before)
+    productivity.ingest_landed(spark, str(landing), store)
+    values = {r.fields["value"] for r in snapshot_records(spark, store).filter("source_name = 'pr.data.0.Current'").collect()}
+    assert "-0.1" in values and "9.5" not in values
+
+
+def test_odd_names_folders_batches_and_many_deletions(spark, landing, tmp_path, monkeypatch):
+    monkeypatch.setattr(inventory, "PATHS_AT_ONCE", 3)
+    store = str(tmp_path / "store")
+    (landing / "later").mkdir()
+    copy = (landing / "pr.data.0.Current").read_text()
+    (landing / "later" / "pr.data.0.Current").write_text(copy)
+    (landing / "pr.data.x[1]").write_text(copy)
+    (landing / "pr.data.x1").write_text(copy + copy.split("\n", 1)[1])
+    for i in range(120):
+        (landing / f"note.{i}").write_text("note")
+    first = productivity.ingest_landed(spark, str(landing), store)
+    sizes = {r.source_name: r["count"] for r in snapshot_records(spark, store).groupBy("source_name").count().collect()}
+    assert sizes["later/pr.data.0.Current"] == sizes["pr.data.x[1]"] == 7 and sizes["pr.data.x1"] == 14
+    assert sizes["population.json"] == len(POPULATION)
+    for i in range(120):
+        (landing / f"note.{i}").unlink()
+    second = productivity.ingest_landed(spark, str(landing), store)
+    assert (first.counts["added"], second.counts["deleted"]) == (135, 120)
+    assert deleted_sources(spark, store, second.snapshot_id).count() == 120
+
+
 @pytest.mark.parametrize(
     ("name", "text", "message"),
     [
