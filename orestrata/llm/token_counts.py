@@ -91,7 +91,7 @@ def scan_flat_files(files: DataFrame, folder: str, end_id: int = END_ID, block_b
         "file",
         "ends",
         F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("base"),
-        F.coalesce(F.max(F.element_at("ends", -1)).over(before), F.lit(-1)).alias("last"),
+        F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before), F.lit(-1)).alias("last"),
     ).filter(F.size("ends") > 0)
     starts = F.concat(F.array("last"), F.slice("ends", 1, F.size("ends") - 1))
     return stitched.select("file", "base", F.posexplode(F.zip_with("ends", starts, lambda e, s: e - s - 1))).select(
