@@ -16,6 +16,8 @@ text, repeated rows follow each other; a single document is its own next one; an
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from orestrata.sources.sizing import broadcast_within
 
 BAND = (0.0005, 0.02)
 PARTS = 12
+#: Of a rate of 2^-n, up to so many halvings are a part's own.
+OWN_BITS = 4
 #: Documents in a range of doc_id; neighbours are found within ranges.
 RANGE_ROWS = 400
 #: What stands between terms: ASCII characters but for letters and digits.
@@ -101,26 +105,51 @@ def in_order(order_id: str) -> Window:
     return Window.partitionBy("range").orderBy("border", F.col(order_id).asc_nulls_first(), F.xxhash64("text"), "row")
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _keeps(hash_: Column, bits: Column) -> Column:
+    """One hash in 2^bits."""
+    return hash_.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1) == 0
+
+
 def part_hashes(terms: Column, level: Column) -> Column:
-    """The hash of each part of sorted ``terms`` that keeps one term in 2^level; null for an empty part."""
-    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), level) - 1
+    """ARRAY<STRUCT<near, far>>: the hash of each part of sorted ``terms``, which keeps one term in 2^level, and of the half
+    of it that one in 2^(level + 1) leaves; null for an empty one. Rates beyond 2^OWN_BITS come from a thinning that
+    all parts share, so that a long document's terms are looked at once and not once for each part."""
+    shared = lambda t, at: _keeps(F.xxhash64(t), F.greatest(at - OWN_BITS, F.lit(0)))
+    own = lambda t, part, at: _keeps(F.xxhash64(t, part), F.least(at, F.lit(OWN_BITS)))
+    hashed = lambda kept: F.when(F.size(kept) > 0, F.xxhash64(kept).bitwiseAND(0xFFFFFFFF))
+
+    def both(kept: Column, part: Column) -> Column:
+        half = F.filter(kept, lambda t: shared(t, level + 1) & own(t, part, level + 1))
+        return F.struct(hashed(kept).alias("near"), _bound(half, hashed).alias("far"))
 
-    def one(part: int) -> Column:
-        kept = F.filter(terms, lambda t: F.xxhash64(t, F.lit(part)).bitwiseAND(mask) == 0)
-        return F.when(F.size(kept) > 0, F.xxhash64(kept).bitwiseAND(0xFFFFFFFF))
+    def of_part(thinned: Column, part: Column) -> Column:
+        return _bound(F.filter(thinned, lambda t: own(t, part, level)), lambda kept: both(kept, part))
 
-    return F.array(*[one(part) for part in range(PARTS)])
+    parts = F.array(*[F.lit(part) for part in range(PARTS)])
+    thinned = F.filter(terms, lambda t: shared(t, level))
+    return _bound(thinned, lambda kept: F.transform(parts, lambda part: of_part(kept, part)))
 
 
 def fingerprint(terms: Column, whole: Column) -> Column:
     """STRUCT<level, near, far, whole>: hashes at the document's own rate and at the next lower one."""
     none = F.size(terms) == 0
     level = F.floor(F.log2(F.greatest(F.size(terms), F.lit(1)) / F.lit(0.75))).cast("int")
-    return F.struct(
-        F.when(~none, level).alias("level"),
-        F.when(~none, part_hashes(terms, level)).alias("near"),
-        F.when(~none, part_hashes(terms, level + 1)).alias("far"),
-        F.when(none, whole).alias("whole"),
+    return _bound(
+        F.struct(terms.alias("terms"), level.alias("level")),
+        lambda t: _bound(
+            F.when(~none, part_hashes(t["terms"], t["level"])),
+            lambda hashes: F.struct(
+                F.when(~none, t["level"]).alias("level"),
+                hashes["near"].alias("near"),
+                hashes["far"].alias("far"),
+                F.when(none, whole).alias("whole"),
+            ),
+        ),
     )
 
 
