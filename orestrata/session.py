@@ -1,10 +1,13 @@
 """Session settings and the shared scratch folder."""
 from __future__ import annotations
 
+import os
+import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +29,10 @@ SETTINGS = {
 }
 
 
+_PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
+_SCRATCH = re.compile(r"-[0-9a-f]{32}\Z")
+
+
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -76,6 +83,32 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location) if status.isDirectory())
 
 
+def expire_scratch(spark: SparkSession, older_than_s: float) -> list[str]:
+    """Delete intermediate folders of the shared folder that were last written ``older_than_s`` ago or earlier, which must
+    be longer than any run takes. Returns their names."""
+    root = shared_folder(spark)
+    files, location = _file_system(spark, root)
+    if not files.exists(location):
+        return []
+    limit = (time.time() - older_than_s) * 1000
+    old = [s for s in files.listStatus(location) if s.isDirectory() and s.getModificationTime() <= limit]
+    # names made by scratch() end in a random identifier; others are not ours
+    gone = [s.getPath().getName() for s in old if _SCRATCH.search(s.getPath().getName())]
+    for name in gone:
+        delete_folder(spark, f"{root}/{name}")
+    return sorted(gone)
+
+
+def in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` with this package on the path of the Python workers: they find it where the driver does, also if
+    the session was started elsewhere. (A cluster without a shared installation is given it by --py-files.)"""
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_PACKAGE_ROOT, *filter(None, paths)])
+    return df.mapInArrow(function, schema)
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as a frame of literals: no Python workers are started for them."""
     fields = T.StructType.fromDDL(schema).fields

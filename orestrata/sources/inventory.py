@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from orestrata.functions.digests import content_digest, object_id
 from orestrata.functions.urls import percent_decoded
-from orestrata.session import staged
+from orestrata.session import in_arrow, staged
 
 STREAM_ABOVE = 32 << 20
 PIECE = 1 << 20
@@ -124,7 +124,7 @@ def _read(spark: SparkSession, files: DataFrame) -> DataFrame:
     out = reduce(DataFrame.unionByName, whole, empty)
     large = files.filter(F.col("bytes") > STREAM_ABOVE).select("path", "source_name")
     n = large.count()
-    return out.unionByName(large.repartition(n).mapInArrow(_streamed, _DIGESTS)) if n else out
+    return out.unionByName(large.repartition(n).transform(in_arrow, _streamed, _DIGESTS)) if n else out
 
 
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -159,6 +159,24 @@ def test_a_change_between_hash_and_parse_leaves_nothing_behind(spark, landing, t
     assert "-0.1" in values and "9.5" not in values
 
 
+def test_old_releases_and_scratch_expire(spark, landing, tmp_path, monkeypatch):
+    from orestrata import session
+    from orestrata.plans.tables import Tables, expire_releases
+
+    store, out = str(tmp_path / "store"), str(tmp_path / "out")
+    productivity.ingest_landed(spark, str(landing), store)
+    runs = [productivity.refresh_tables(spark, store, out).name for _ in range(3)]
+    assert expire_releases(spark, out, keep=1) == [f"release={name}" for name in runs[:2]]
+    assert Tables(spark, out).release == runs[2] and read_table(spark, out, "gold_best_year").count() == 3
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "scratch"))
+    session.staged(spark, spark.range(3), "old")
+    (tmp_path / "scratch" / "not ours").mkdir()
+    assert session.expire_scratch(spark, 3600) == []
+    (name,) = session.expire_scratch(spark, -1)
+    assert name.startswith("old-") and [p.name for p in (tmp_path / "scratch").iterdir()] == ["not ours"]
+
+
 def test_odd_names_folders_batches_and_many_deletions(spark, landing, tmp_path, monkeypatch):
     monkeypatch.setattr(inventory, "PATHS_AT_ONCE", 3)
     store = str(tmp_path / "store")
