@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from orestrata.llm.common import ROW_BITS, text_of
 from orestrata.llm.tokens import encoder
-from orestrata.session import literal_rows, staged
+from orestrata.session import in_arrow, literal_rows, staged
 
 CAPACITY = 2048
 Slot = tuple[int, int, int, int, int, int]
@@ -128,7 +128,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], schema.replace(" long", "").replace(" int", "").replace(" binary", "").split(", "))
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(cut, schema)
+    return docs.select("doc_id", text_of().alias("text")).transform(in_arrow, cut, schema)
 
 
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

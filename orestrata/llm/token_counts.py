@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from orestrata.llm.common import new_folder, store, text_of
 from orestrata.llm.tokens import encoder
-from orestrata.session import staged
+from orestrata.session import in_arrow, staged
 
 #: Fixed value: <|endoftext|> of the vocabulary.
 END_ID = 49407
@@ -52,7 +52,7 @@ def write_flat_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int =
         if out is not None:
             out.close()
 
-    rows = docs.select("doc_id", text_of().alias("text")).mapInArrow(write, "file string, ordinal long, doc_id long")
+    rows = docs.select("doc_id", text_of().alias("text")).transform(in_arrow, write, "file string, ordinal long, doc_id long")
     return staged(docs.sparkSession, rows, "flat-rows")
 
 
@@ -79,13 +79,13 @@ def scan_flat_files(files: DataFrame, folder: str, end_id: int = END_ID, block_b
                     ["file", "at", "ends"],
                 )
 
-    sized = files.select("file").distinct().mapInArrow(sizes, "file string, n_bytes long")
+    sized = files.select("file").distinct().transform(in_arrow, sizes, "file string, n_bytes long")
     blocks = sized.filter("n_bytes > 0").select(
         "file", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_bytes") - 1, F.lit(block_bytes).cast("long"))).alias("at"), "n_bytes"
     )
     blocks = staged(spark, blocks, "blocks")
     n = max(1, blocks.count())
-    found = staged(spark, blocks.repartition(min(n, 16 + n // 4)).mapInArrow(ends, "file string, at long, ends array<long>"), "block-ends")
+    found = staged(spark, blocks.repartition(min(n, 16 + n // 4)).transform(in_arrow, ends, "file string, at long, ends array<long>"), "block-ends")
     before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     stitched = found.select(
         "file",
