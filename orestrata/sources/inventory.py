@@ -70,7 +70,8 @@ def path_batches(files: DataFrame) -> Iterator[list[str]]:
     """The locations of ``files`` for a reader, ``PATHS_AT_ONCE`` at a time. Readers expand patterns in paths, so the
     characters of patterns are escaped."""
     batch: list[str] = []
-    for row in files.select("location").toLocalIterator():
+    # the driver's file index holds every path already; one partition makes it one job
+    for row in files.select("location").coalesce(1).toLocalIterator():
         batch.append("".join(f"\\{c}" if c in "[]{}*?\\" else c for c in row["location"]))
         if len(batch) == PATHS_AT_ONCE:
             yield batch
