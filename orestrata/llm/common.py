@@ -44,6 +44,16 @@ def staged_in_order(df: DataFrame, order: list[Column], label: str) -> DataFrame
     )
 
 
+def sample_texts(docs: DataFrame, n: int, longest: int, having: str = "TRUE") -> list[str]:
+    """About ``n`` texts of at most ``longest`` characters, for training: those whose row's hash lies below the share of
+    rows that ``n`` is. Tasks pass on only what is taken, whatever the size of the table; never more than 2 n."""
+    texts = docs.select("doc_id", text_of().alias("text")).filter((F.length("text") <= longest) & F.expr(having))
+    total = texts.count()
+    below = -(2**63) + int(2**64 * min(1.0, n / max(1, total))) - 1
+    taken = texts.filter(F.xxhash64("doc_id", "text") <= below).limit(2 * n)
+    return [r["text"] for r in sorted(taken.toLocalIterator(), key=lambda r: (r["doc_id"] is not None, r["doc_id"], r["text"]))]
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that driver and executors share, as a URI."""
     path = scratch(spark, label)

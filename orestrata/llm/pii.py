@@ -6,7 +6,7 @@ and features describe a segment as a whole: its shape, number of digits, check d
 Dynamic programming over a window, with at most ``ENTITIES`` entities in it, chooses all boundaries and types together.
 What it finds beside the base spans is added if it beats "nothing" by ``MARGIN``; base spans always stay.
 
-It is trained here, on up to ``SAMPLE_DOCS`` documents chosen by a hash of doc_id: the base spans in their windows, the same
+It is trained here, on about ``SAMPLE_DOCS`` documents that hold digits or an at sign, chosen by a hash: the base spans in their windows, the same
 windows with the spans rewritten in ways that the patterns miss, and windows without any. It learns by averaged updates
 towards the right segmentation. All documents are then searched whole.
 
@@ -23,9 +23,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from orestrata.llm.common import text_of
+from orestrata.llm.common import sample_texts, text_of
+from orestrata.session import in_arrow
 
 KINDS = ("email", "ip", "card", "phone")
 SEGMENT_TOKENS, SEGMENT_CHARS = 4, 80
@@ -276,11 +276,7 @@ def span_text(spans: list[Span]) -> str:
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, counts of base spans by kind, the SHA-256 of the base spans' list, and the list of all spans."""
     texts = docs.select("doc_id", text_of().alias("text"))
-    sample = (
-        texts.filter((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike("[0-9@]"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_DOCS).select("text")
-    )
-    weights = train([r["text"] for r in sample.toLocalIterator()]).weights
+    weights = train(sample_texts(docs, SAMPLE_DOCS, SAMPLE_CHARS, "text RLIKE '[0-9@]'")).weights
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = Field(weights)
@@ -298,7 +294,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
                 ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"],
             )
 
-    return texts.mapInArrow(
+    return texts.transform(in_arrow, 
         find, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
     )
 

@@ -4,7 +4,7 @@ Each of ``LABELLERS`` votes good, bad or nothing on every document. What the cor
 pattern of votes occurs, counted over all documents (at most 3 ** len(LABELLERS) patterns, whatever the corpus). EM finds
 from these counts how often each labeller casts each vote on good and on bad documents, and each pattern's posterior.
 
-The posterior labels up to ``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS`` characters, chosen by a hash of doc_id; on
+The posterior labels about ``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS`` characters, chosen by a hash; on
 those a logistic scorer is fitted over hashed byte n-grams and hashed buckets of the document's figures. Every whole
 document is then scored; it is kept if the scorer gives it at least ``KEEP``.
 
@@ -20,9 +20,9 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from orestrata.llm.common import text_of
+from orestrata.llm.common import sample_texts, text_of
+from orestrata.session import in_arrow
 
 #: Figure, bad from here on, good up to here: shares of letters, bytes or words. Between the two a labeller says nothing.
 LABELLERS = (
@@ -163,19 +163,13 @@ def fit(texts: list[str], values: list[list[float]], good: np.ndarray, rounds: i
 
 def learn(docs: DataFrame) -> tuple[dict[str, float], np.ndarray | None]:
     """The posterior of every pattern of votes in ``docs`` and the scorer's weights."""
-    texts = docs.select("doc_id", text_of().alias("text"))
-
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([votes(figures(t)) for t in batch.column(0).to_pylist()], pa.string())], ["votes"])
 
-    patterns = texts.select("text").mapInArrow(vote, "votes string").groupBy("votes").count()
+    patterns = docs.select(text_of().alias("text")).transform(in_arrow, vote, "votes string").groupBy("votes").count()
     posterior = expectation_maximisation({r["votes"]: r["count"] for r in patterns.collect()})
-    sample = (
-        texts.filter((F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_DOCS).select("text")
-    )
-    picked = [r["text"] for r in sample.toLocalIterator()]
+    picked = sample_texts(docs, SAMPLE_DOCS, SAMPLE_CHARS, "text <> ''")
     own = [figures(t) for t in picked]
     return posterior, fit(picked, own, np.array([posterior[votes(v)] for v in own])) if picked else None
 
@@ -201,7 +195,7 @@ def classify(docs: DataFrame, keep: float = KEEP) -> DataFrame:
                 ["doc_id", "votes", "weak", "score", "keep"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(judge, "doc_id long, votes string, weak double, score double, keep boolean")
+    return docs.select("doc_id", "text").transform(in_arrow, judge, "doc_id long, votes string, weak double, score double, keep boolean")
 
 
 def good_documents(docs: DataFrame, keep: float = KEEP) -> DataFrame:
@@ -214,7 +208,7 @@ def good_documents(docs: DataFrame, keep: float = KEEP) -> DataFrame:
             _, _, good = _judged(batch.column(at).to_pylist(), posterior, weights)
             yield batch.filter(pa.array(good >= keep))
 
-    return docs.mapInArrow(sift, docs.schema)
+    return docs.transform(in_arrow, sift, docs.schema)
 
 
 def op5_quality(spark, sf_dir):

@@ -2,8 +2,8 @@
 
 A file holds, in ascending doc_id order: HEAD and the dictionary's SHA-256; the documents' ids (unsigned 32-bit, little
 endian), each a zstandard frame; the index (ids, null flags, offsets, numbers of ids); the index's place and END. A short
-document is thus one look into the index and one ranged read. The dictionary is trained on the serialized ids of up to
-``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS`` characters, chosen by a hash of doc_id; every document is encoded.
+document is thus one look into the index and one ranged read. The dictionary is trained on the serialized ids of about
+``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS`` characters, chosen by a hash; every document is encoded.
 
 The documents are range-sorted by doc_id, and the tasks that sort them also encode and write. A file has a name of its
 own for each attempt; the manifest, which Spark commits, says which files count, so a task that runs again does no harm.
@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orestrata.llm.common import new_folder, store, text_of
+from orestrata.llm.common import new_folder, sample_texts, store, text_of
 from orestrata.llm.tokens import encoder
-from orestrata.session import staged
+from orestrata.session import in_arrow, staged
 
 HEAD, END = b"TOKENS01", b"TOKENEND"
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 20_000
@@ -43,11 +43,7 @@ def _with_end(path: str, text: str, end_id: int) -> bytes:
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int):
     import zstandard
 
-    picked = (
-        docs.select("doc_id", text_of().alias("text")).filter(F.length("text") <= SAMPLE_CHARS)
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_DOCS)
-    )
-    samples = [_with_end(tokenizer, row["text"], end_id) for row in picked.toLocalIterator()]
+    samples = [_with_end(tokenizer, text, end_id) for text in sample_texts(docs, SAMPLE_DOCS, SAMPLE_CHARS)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples)
     except zstandard.ZstdError:  # too few documents to learn from: the samples themselves
@@ -100,7 +96,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc()]
     by_id = docs.select("doc_id", text_of().alias("text"))
     by_id = by_id.repartitionByRange(order[0]).sortWithinPartitions(*order)
-    return staged(spark, by_id.mapInArrow(write, "part long, file string, n_docs long, n_tokens long, n_bytes long"), "token-files")
+    return staged(spark, by_id.transform(in_arrow, write, "part long, file string, n_docs long, n_tokens long, n_bytes long"), "token-files")
 
 
 class TokenFile:
@@ -174,7 +170,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return files.repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(n).transform(in_arrow, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op3_token_files(spark, sf_dir):
