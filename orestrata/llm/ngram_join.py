@@ -6,13 +6,17 @@ are one class; classes are what is joined. A shingle is a token, held as its 64-
 1. **Groups.** Classes whose min-hashes agree (four pairs of them) are compared with the first of their group; those that
    truly link become one group of similar documents. All other classes are groups of their own.
 2. **Matrix.** Tokens are put in one order for all documents: from rare to frequent as far as counts are known (the
-   ``ORDERED`` most frequent tokens, counted over all documents), by hash otherwise. For a set of n tokens, a partner that
-   shares 75 % of the union must hold one of its first n - ceil(0.75 n) + 1 tokens, and a partner of at least its own size
-   must find it under one of its first n - ceil(6 n / 7) + 1. So the matrix stores, for each group, the union of its
-   members' tokens of the second kind; tokens that only one class has are dropped before anything is compared.
-3. **Bound and open.** A class asks the matrix with its own tokens of the first kind. If none lies in a group's union, its
-   overlap with any member stays below what a link needs; such groups, and groups whose sizes are too far off, stay shut.
-   Members of the other groups are compared exactly.
+   ``ORDERED`` most frequent tokens, counted over all documents), by hash otherwise. Sets of n and m <= n tokens that
+   link share at least 3 (n + m) / 7 tokens, so the first that they share stands at a place i of the one and j of the other
+   (from 0) with 7 i <= 4 n - 3 m and 7 j <= 4 m - 3 n: within the first quarter of the larger and the first seventh of the
+   smaller. So the matrix stores, for each group, the union of its members' first sevenths, with the least size and the
+   furthest reach 4 m - 7 j of a token; tokens that only one class has are dropped before anything is compared.
+3. **Bound and open.** A class asks the matrix with its own first quarter. If none of it lies within reach in a group's
+   union, its overlap with any member stays below what a link needs, and the group stays shut.
+   Members of the other groups are bounded once more by sketches: a sketch has a bit for the parity of the tokens in each
+   of its places, so two sets differ in as many tokens as their sketches differ in bits, at least. What passes is
+   compared token by token, first with a few members of each group and then, where that did not make the two groups
+   one component, with all.
 
 The order, the min-hashes and the groups decide how much is compared, never what links: step 3 looks at every class against
 every group but its own. Links are turned into components by alternating star contraction, also exact.
@@ -29,19 +33,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orestrata.llm.common import text_of
-from orestrata.session import staged
+from orestrata.session import in_arrow, staged
 
 WORDS = 5
 #: Tokens whose frequency orders them; 16 bytes each in every task.
-ORDERED = 65_536
+ORDERED = 262_144
+#: Least bits of the sketch of a set; a set of more tokens has the next power of two.
+SKETCH_BITS = 2048
 SIGNATURES = 4
 #: Bits of the filter that spares texts nobody asks for; its size is fixed, a full one only lets more through.
 FILTER_BITS = 1 << 23
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
+#: Characters of text that are split into words at once, and tokens that are counted at once.
+CHUNK_CHARS = 1_000_000
+COUNTED_TOKENS = 1_500_000
+#: Pairs of sets that are compared at once.
+PAIRS = 256
 U = np.uint64
 
 
@@ -89,6 +101,17 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return sets
 
 
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``CHUNK_CHARS`` characters, one row at least."""
+    sizes = np.nan_to_num(pc.utf8_length(texts).to_numpy(zero_copy_only=False)).astype(np.int64)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_CHARS, side="right")))
+        yield at, stop
+        at = stop
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
@@ -98,40 +121,78 @@ def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.zeros(0, U)), starts
 
 
+def _sketches(sets: list[np.ndarray]) -> Iterator[bytes]:
+    """A bit for each place, of at least SKETCH_BITS and as many as the set has tokens: the parity of the tokens there."""
+    for s in sets:
+        bits = max(SKETCH_BITS, 1 << (len(s) - 1).bit_length()) if len(s) else SKETCH_BITS
+        n = np.bincount((s % U(bits)).astype(np.int64), minlength=bits)
+        yield np.packbits((n & 1).astype(np.uint8)).tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ. The longer one is folded to the length of the shorter, which gives the sketch
+    that its set would have there."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x.view(U) ^ y.view(U)).sum())
+
+
 def described(docs: DataFrame) -> DataFrame:
     """Stored: of each document doc_id, n_shingles, key (its class) and min-hash signatures; besides, rows with ``token`` and
     ``count`` for tokens that several sets of one batch hold."""
     import xxhash
 
-    schema = "doc_id long, n int, key long, sigs array<long>, token long, count long"
+    schema = "doc_id long, n int, key long, sigs array<long>, sketch binary, token long, count long"
+    names = ["doc_id", "n", "key", "sigs", "sketch", "token", "count"]
+    sig_list = pa.list_(pa.int64())
+
+    def one_chunk(ids: pa.Array, sets: list[np.ndarray], keys: np.ndarray) -> pa.RecordBatch:
+        sizes = np.array([len(s) for s in sets], np.int32)
+        sigs = np.zeros((len(sets), SIGNATURES), U)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            tokens, starts = _flat([sets[i] for i in some])
+            with np.errstate(over="ignore"):
+                for s in range(SIGNATURES):
+                    seeds = (U(0x9E3779B97F4A7C15 * (2 * s + k + 1) & (2**64 - 1)) for k in (0, 1))
+                    a, b = (np.minimum.reduceat(_mixed(tokens ^ seed), starts[:-1]) for seed in seeds)
+                    sigs[some, s] = _mixed(a * U(3) + b)
+        n = len(sets)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * SIGNATURES, SIGNATURES, dtype=np.int32)), _signed(sigs.ravel()))
+        sketches = pa.array(list(_sketches(sets)), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(sizes), _signed(keys), lists, sketches, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names
+        )
+
+    def counted(own: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.concatenate([*own, np.zeros(0, U)])
+        found.sort()
+        begins = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, np.int64)
+        counts = np.diff(np.concatenate([begins, [len(found)]]))
+        often = counts > 1
+        m = int(often.sum())
+        nothing = [pa.nulls(m, kind) for kind in (pa.int64(), pa.int32(), pa.int64(), sig_list, pa.binary())]
+        return pa.RecordBatch.from_arrays([*nothing, _signed(found[begins[often]]), pa.array(counts[often])], names)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: list[np.ndarray] = []
+        met: set[int] = set()
+        n = 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sets = shingle_sets(batch.column(1).to_pylist())
-            keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], U)
-            sizes = np.array([len(s) for s in sets], np.int32)
-            sigs = np.zeros((len(sets), SIGNATURES), U)
-            some = np.flatnonzero(sizes)
-            tokens, starts = _flat([sets[i] for i in some])
-            if len(some):
-                with np.errstate(over="ignore"):
-                    for s in range(SIGNATURES):
-                        a, b = (np.minimum.reduceat(_mixed(tokens ^ U(0x9E3779B97F4A7C15 * (2 * s + k + 1) & (2**64 - 1))), starts[:-1]) for k in (0, 1))
-                        sigs[some, s] = _mixed(a * U(3) + b)
-            _, once = np.unique(keys, return_index=True)
-            own = [sets[i] for i in once]
-            found, count = np.unique(_flat(own)[0], return_counts=True)
-            often = count > 1
-            n, m = len(sets), int(often.sum())
-            nothing = lambda k, kind: pa.nulls(k, kind)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * SIGNATURES, SIGNATURES, dtype=np.int32)), _signed(sigs.ravel()))
-            names = ["doc_id", "n", "key", "sigs", "token", "count"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), _signed(keys), lists, nothing(n, pa.int64()), nothing(n, pa.int64())], names)
-            yield pa.RecordBatch.from_arrays([nothing(m, pa.int64()), nothing(m, pa.int32()), nothing(m, pa.int64()), nothing(m, lists.type), _signed(found[often]), pa.array(count[often])], names)
-
-    return staged(docs.sparkSession, docs.select("doc_id", "text").mapInArrow(describe, schema), "shingles")
+            for at, stop in _chunks(batch.column(1)):
+                sets = shingle_sets(batch.column(1)[at:stop].to_pylist())
+                keys = [xxhash.xxh64_intdigest(s.tobytes()) for s in sets]
+                yield one_chunk(batch.column(0)[at:stop], sets, np.array(keys, U))
+                own += [s for s, k in zip(sets, keys, strict=True) if not (k in met or met.add(k))]
+                n += sum(map(len, sets))
+                if n > COUNTED_TOKENS:
+                    yield counted(own)
+                    own, n = [], 0
+                    met.clear()
+        yield counted(own)
+
+    return staged(docs.sparkSession, docs.select("doc_id", "text").transform(in_arrow, describe, schema), "shingles")
 
 
 def frequent_tokens(rows: DataFrame, most: int = ORDERED) -> np.ndarray:
@@ -141,22 +202,17 @@ def frequent_tokens(rows: DataFrame, most: int = ORDERED) -> np.ndarray:
     return top[::-1].astype(np.int64).view(U) if len(top) else np.zeros(0, U)
 
 
-def _needed(n: np.ndarray, a: int, b: int) -> np.ndarray:
-    """ceil(n * a / b)"""
-    return -(-n.astype(np.int64) * a // b)
-
-
 def matrix_rows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(token, key, n, stored) of every document's tokens that decide; stored: also a token of the matrix itself."""
+    """(token, key, packed) of every document's tokens that decide; packed: the set's size above 32 bits, the place below."""
     by_hash = np.argsort(frequent)
     ordered, rank = frequent[by_hash], by_hash.astype(np.int64)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for texts in (batch.column(0)[at:stop] for batch in batches for at, stop in _chunks(batch.column(0))):
             sets = {}
-            for s in shingle_sets(batch.column(0).to_pylist()):
+            for s in shingle_sets(texts.to_pylist()):
                 if len(s):
                     sets[xxhash.xxh64_intdigest(s.tobytes())] = s
             if not sets:
@@ -173,17 +229,12 @@ def matrix_rows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             # within a set: unknown tokens by hash, then known ones from rare to frequent
             order = np.lexsort((tokens, place, of))
             nth = np.arange(len(tokens)) - np.repeat(starts[:-1], sizes)
-            asks = sizes - _needed(sizes, 3, 4) + 1
-            stores = sizes - _needed(sizes, 6, 7) + 1
-            chosen = nth < np.repeat(asks, sizes)
+            chosen = 4 * nth <= np.repeat(sizes, sizes)
             picked = order[chosen]
-            stored = (nth < np.repeat(stores, sizes))[chosen]
-            yield pa.RecordBatch.from_arrays(
-                [_signed(tokens[picked]), _signed(keys[of[picked]]), pa.array((sizes[of[picked]] * 2 + stored).astype(np.int32))],
-                ["token", "key", "packed"],
-            )
+            packed = (sizes[of[picked]].astype(np.int64) << 32) + nth[chosen]
+            yield pa.RecordBatch.from_arrays([_signed(tokens[picked]), _signed(keys[of[picked]]), pa.array(packed)], ["token", "key", "packed"])
 
-    return docs.select("text").mapInArrow(emit, "token long, key long, packed int")
+    return docs.select("text").transform(in_arrow, emit, "token long, key long, packed long")
 
 
 def shared_rows(rows: DataFrame) -> DataFrame:
@@ -217,7 +268,7 @@ def shared_rows(rows: DataFrame) -> DataFrame:
             yield shared(held)
 
     by_token = rows.repartition("token").sortWithinPartitions("token", "key")
-    return staged(rows.sparkSession, by_token.mapInArrow(keep, "token long, key long, packed int"), "matrix")
+    return staged(rows.sparkSession, by_token.transform(in_arrow, keep, "token long, key long, packed long"), "matrix")
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
@@ -231,7 +282,7 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"bits": [np.packbits(bits).tobytes()]})
 
     whole = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in ids.coalesce(4).mapInArrow(fill, "bits binary").toLocalIterator():
+    for row in ids.coalesce(4).transform(in_arrow, fill, "bits binary").toLocalIterator():
         whole |= np.frombuffer(row["bits"], np.uint8)
     return whole
 
@@ -257,25 +308,42 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             first, second = _bits(np.nan_to_num(ids).astype(np.int64))
             at = np.flatnonzero(~valid | bits[first] & bits[second])
             texts = batch.column(1).take(pa.array(at))
-            sets = [s.tobytes() for s in shingle_sets(texts.to_pylist())]
-            keys = np.array([xxhash.xxh64_intdigest(s) for s in sets], U)
-            yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(sets, pa.binary())], ["key", "tokens"])
+            for start, stop in _chunks(texts):
+                sets = [s.tobytes() for s in shingle_sets(texts[start:stop].to_pylist())]
+                keys = np.array([xxhash.xxh64_intdigest(s) for s in sets], U)
+                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(sets, pa.binary())], ["key", "tokens"])
 
-    got = docs.select("doc_id", "text").mapInArrow(emit, "key long, tokens binary")
+    got = docs.select("doc_id", "text").transform(in_arrow, emit, "key long, tokens binary")
     # the filter lets a few others through, and a doc_id may stand on several rows
     exact = got.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.first("tokens").alias("tokens"))
     return staged(docs.sparkSession, exact, "sets")
 
 
+def bounded(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` without those that differ in more than a seventh of their tokens by their sketches already: sets of a and b
+    tokens that share 75 % of their union differ in (a + b) / 7 tokens at most."""
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in (2, 3, 4)], strict=True)
+            yield batch.select([0, 1]).filter(pa.array([7 * _apart(x, y) <= size for x, y, size in rows], pa.bool_()))
+
+    known = classes.select("key", "n", "sketch")
+    left = known.select(F.col("key").alias("u"), F.col("n").alias("a"), F.col("sketch").alias("x"))
+    right = known.select(F.col("key").alias("v"), F.col("n").alias("b"), F.col("sketch").alias("y"))
+    full = pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y", (F.col("a") + F.col("b")).cast("long").alias("sum"))
+    return full.transform(in_arrow, sift, "u long, v long")
+
+
 def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the distinct ``pairs`` (u, v) of classes that link, stored."""
     spark = docs.sparkSession
-    pairs = staged(spark, pairs, "pairs")
+    pairs = staged(spark, bounded(classes, pairs), "pairs")
     ends = pairs.select(F.col("u").alias("key")).union(pairs.select(F.col("v").alias("key"))).distinct()
     sets = sets_of(docs, ends.join(classes.select("key", F.col("rep").alias("doc_id")), "key"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, PAIRS) for b in batches for at in range(0, b.num_rows, PAIRS)):
             keep = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(a, U), np.frombuffer(b, U)
@@ -288,7 +356,7 @@ def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     left = sets.select(F.col("key").alias("u"), F.col("tokens").alias("a"))
     right = sets.select(F.col("key").alias("v"), F.col("tokens").alias("b"))
     full = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
-    return staged(spark, full.mapInArrow(compare, "u long, v long"), "links")
+    return staged(spark, full.transform(in_arrow, compare, "u long, v long"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -303,23 +371,30 @@ def components(edges: DataFrame) -> DataFrame:
         low = staged(spark, large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         after = staged(spark, small.filter("u <> v").distinct(), "edges")
-        # done when every node points to a root: then nobody is both pointed to and pointing, and each points once
-        n, ends, inner = after.count(), after.select("u").distinct().count(), after.select(F.col("v").alias("u")).distinct().join(after.select("u").distinct(), "u", "left_semi").count()
         pairs = after
-        if n == ends and not inner:
+        # done when every node points once, and to a root: to one that does not point itself
+        ends = after.select(F.col("u").alias("k"), F.lit(1).alias("points"), F.lit(0).alias("root")).union(
+            after.select(F.col("v").alias("k"), F.lit(0).alias("points"), F.lit(1).alias("root"))
+        )
+        roles = ends.groupBy("k").agg(F.sum("points").alias("points"), F.max("root").alias("root"))
+        if roles.filter("points > 1 OR points + root > 1").isEmpty():
             break
     return pairs.select(F.col("u").alias("key"), F.col("v").alias("label")).union(pairs.select(F.col("v").alias("key"), F.col("v").alias("label"))).distinct()
 
 
 def similar_pairs(classes: DataFrame) -> DataFrame:
-    """Each class with the first one of every signature that they share."""
-    signed = classes.select("key", F.posexplode("sigs").alias("which", "sig"))
-    firsts = staged(classes.sparkSession, signed.groupBy("which", "sig").agg(F.min("key").alias("u"), F.max("key").alias("_max")).filter("u < _max").drop("_max"), "groups")
-    return signed.join(firsts, ["which", "sig"]).filter("key <> u").select("u", F.col("key").alias("v")).distinct()
-
-
-def open_groups(shared: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) of classes of different groups where u's tokens hit the union of v's group and sizes agree."""
+    """Each class with the first one of every signature that they share, and with the next smaller one of it."""
+    signed = classes.select("key", "n", F.posexplode("sigs").alias("which", "sig"))
+    shared = staged(classes.sparkSession, signed.groupBy("which", "sig").agg(F.min("key").alias("_first"), F.max("key").alias("_last")).filter("_first < _last").drop("_last"), "groups")
+    smaller = F.lag("key").over(Window.partitionBy("which", "sig").orderBy("n", "key"))
+    near = signed.join(shared, ["which", "sig"]).withColumn("_smaller", smaller)
+    near = near.select("key", F.explode(F.array("_first", "_smaller")).alias("other"))
+    return near.filter("key <> other").select(F.least("key", "other").alias("u"), F.greatest("key", "other").alias("v")).distinct()
+
+
+def open_groups(shared: DataFrame, classes: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hits (u, n, g, grp), where tokens of class u of group grp hit the union of another group g within reach, and the
+    members (key, n, grp) of all groups."""
     spark = shared.sparkSession
     members = staged(
         spark,
@@ -327,13 +402,28 @@ def open_groups(shared: DataFrame, classes: DataFrame, groups: DataFrame) -> Dat
         "members",
     )
     rows = shared.join(members.select("key", "grp"), "key").select(
-        "token", "key", "grp", F.shiftright("packed", 1).alias("n"), (F.col("packed") % 2 == 1).alias("stored")
+        "token", "key", "grp", F.shiftright("packed", 32).alias("n"), F.col("packed").bitwiseAND((1 << 32) - 1).alias("at")
     )
     rows = staged(spark, rows, "asks")
-    union = rows.filter("stored").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    union = rows.filter("7 * at <= n").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max(F.expr("4 * n - 7 * at")).alias("reach"))
     union = staged(spark, union.withColumnRenamed("grp", "g"), "unions")
-    hits = rows.join(union, "token").filter("grp <> g AND 4 * high >= 3 * n AND low <= n").select(F.col("key").alias("u"), "n", "g").distinct()
+    within = "grp <> g AND low <= n AND 3 * n <= reach AND 3 * low <= 4 * n - 7 * at"
+    hits = rows.join(union, "token").filter(within).select(F.col("key").alias("u"), "n", "g").distinct()
     hits = staged(spark, hits, "hits")
+    return hits.join(members.select(F.col("key").alias("u"), "grp"), "u"), members
+
+
+def some_members(hits: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (u, v) of each asking class with a few members of the groups it hits: those of extreme sizes and keys."""
+    few = members.groupBy(F.col("grp").alias("g")).agg(
+        F.array_distinct(F.array(F.min("key"), F.max("key"), F.max_by("key", F.struct("n", "key")), F.min_by("key", F.struct("n", "key")))).alias("few")
+    )
+    pairs = hits.join(few, "g").select("u", F.explode("few").alias("v"))
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def all_members(hits: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (u, v) of each asking class with every member, of a size that may link, of the groups it hits."""
     inside = members.select(F.col("grp").alias("g"), F.col("key").alias("v"), F.col("n").alias("m"))
     # where both have the same size, each asks for the other: one of the two is enough
     return hits.join(inside, "g").filter("4 * m >= 3 * n AND m <= n").select(
@@ -341,18 +431,32 @@ def open_groups(shared: DataFrame, classes: DataFrame, groups: DataFrame) -> Dat
     ).distinct()
 
 
+def unsettled(hits: DataFrame, links: DataFrame, members: DataFrame) -> DataFrame:
+    """The hits whose two groups are not one component yet, as ``links`` and the groups have it."""
+    group = members.select("key", "grp")
+    ends = links.join(group.select(F.col("key").alias("u"), F.col("grp").alias("a")), "u").join(group.select(F.col("key").alias("v"), F.col("grp").alias("b")), "v")
+    whole = staged(hits.sparkSession, components(ends.select(F.col("a").alias("u"), F.col("b").alias("v"))), "settled")
+    mine, theirs = whole.select(F.col("key").alias("grp"), F.col("label").alias("_x")), whole.select(F.col("key").alias("g"), F.col("label").alias("_y"))
+    known = hits.join(mine, "grp", "left").join(theirs, "g", "left")
+    return known.filter("coalesce(_x, grp) <> coalesce(_y, g)").drop("_x", "_y")
+
+
 def near_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
     rows = described(docs)
-    own = rows.filter("token IS NULL")
-    classes = own.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"))
+    own = rows.filter("token IS NULL").drop("token", "count")
+    classes = own.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"), F.first("sketch").alias("sketch"))
     classes = staged(spark, classes, "classes")
     near = linked(docs, classes, similar_pairs(classes))
     groups = staged(spark, components(near), "similar")
     shared = shared_rows(matrix_rows(docs, frequent_tokens(rows)))
-    links = linked(docs, classes, open_groups(shared, classes, groups))
-    whole = components(near.union(links))
+    hits, members = open_groups(shared, classes, groups)
+    hits = staged(spark, hits, "hits")
+    # most that link do so with one of a few members; only groups that stay apart are opened whole
+    first = linked(docs, classes, some_members(hits, members))
+    links = linked(docs, classes, all_members(unsettled(hits, first, members), members))
+    whole = components(near.union(first).union(links))
     firsts = staged(
         spark, classes.join(whole, "key", "left").select("key", "rep", F.coalesce("label", "key").alias("label")), "labelled"
     )
