@@ -17,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_rows(docs: DataFrame, label: str = "rows") -> tuple[DataFrame, str]:
+    """``docs`` stored with a number of each row, and the number's column, which has a name that ``docs`` doesn't use.
+
+    The number is taken as the rows are written, so it says which row is meant however often the rows are read; a doc_id
+    doesn't, as several rows may have the same or none."""
+    used, row = {c.lower() for c in docs.columns}, "_row"
+    while row in used:
+        row = f"_{row}"
+    return staged(docs.sparkSession, docs.withColumn(row, F.monotonically_increasing_id()), label), row
+
+
 def text_of(column: str = "text") -> Column:
     """The text; null is empty."""
     return F.coalesce(F.col(column), F.lit(""))

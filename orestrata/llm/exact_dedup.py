@@ -16,31 +16,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orestrata.llm.common import ROW_BITS, lower_ascii, text_of
+from orestrata.llm.common import ROW_BITS, lower_ascii, text_of, with_rows
 from orestrata.session import staged
 
 FAN_IN_BITS = 3
 IDENTITY = ["digest", "n_bytes", "second"]
 
 
-def digested(docs: DataFrame, label: str = "digests") -> DataFrame:
-    """One small row for each document, stored: doc_id, its row and run in the input, and its identity."""
+def digested(docs: DataFrame, label: str = "digests", row: str | None = None) -> DataFrame:
+    """One small row for each document, stored: doc_id, its row and run in the input, and its identity. ``row`` names a
+    column of with_rows() that has the row; without it rows are numbered here."""
     text = lower_ascii(text_of())
-    rows = docs.select(F.col("doc_id"), text.alias("_text")).select(
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    rows = docs.select(F.col("doc_id"), number.alias("row"), text.alias("_text")).select(
         "doc_id",
         F.unhex(F.sha2("_text", 256)).alias("digest"),
         F.octet_length("_text").alias("n_bytes"),
         F.xxhash64("_text").alias("second"),
-        F.monotonically_increasing_id().alias("row"),
+        "row",
     )
     return staged(docs.sparkSession, rows, label).withColumn("run", F.shiftright("row", ROW_BITS))
 
 
-def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """One row for each document: doc_id, row, digest, the doc_id that stays, the group's size and whether it stays itself."""
+def exact_groups(docs: DataFrame, keep: str = "largest", row: str | None = None) -> DataFrame:
+    """One row for each document: doc_id, row, digest, the doc_id that stays, the group's size and whether it stays itself.
+    ``row`` names the column of with_rows(), if ``docs`` has it."""
     spark = docs.sparkSession
     best = {"largest": F.max, "smallest": F.min}[keep]
-    rows = digested(docs)
+    rows = digested(docs, row=row)
     runs = (rows.agg(F.max("run")).first()[0] or 0) + 1
     entry = F.struct("doc_id", "row")
     levels = [
@@ -67,9 +70,10 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
 
 
 def without_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """The documents that stay, with all their columns; documents are told apart by doc_id."""
-    gone = exact_groups(docs, keep).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """The documents that stay, with all their columns: one row of each text, whatever its doc_id."""
+    numbered, row = with_rows(docs)
+    gone = exact_groups(numbered, keep, row).filter("NOT kept").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*[numbered[c] for c in docs.columns])
 
 
 def op1_exact_dedup(spark, sf_dir):

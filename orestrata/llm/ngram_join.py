@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orestrata.llm.common import text_of
+from orestrata.llm.common import text_of, with_rows
 from orestrata.session import in_arrow, staged
 
 WORDS = 5
@@ -138,16 +138,16 @@ def _apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x.view(U) ^ y.view(U)).sum())
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """Stored: of each document doc_id, n_shingles, key (its class) and min-hash signatures; besides, rows with ``token`` and
-    ``count`` for tokens that several sets of one batch hold."""
+def described(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """Stored: of each document doc_id, row (null unless ``row`` names its column), n_shingles, key (its class) and min-hash
+    signatures; besides, rows with ``token`` and ``count`` for tokens that several sets of one batch hold."""
     import xxhash
 
-    schema = "doc_id long, n int, key long, sigs array<long>, sketch binary, token long, count long"
-    names = ["doc_id", "n", "key", "sigs", "sketch", "token", "count"]
+    schema = "doc_id long, row long, n int, key long, sigs array<long>, sketch binary, token long, count long"
+    names = ["doc_id", "row", "n", "key", "sigs", "sketch", "token", "count"]
     sig_list = pa.list_(pa.int64())
 
-    def one_chunk(ids: pa.Array, sets: list[np.ndarray], keys: np.ndarray) -> pa.RecordBatch:
+    def one_chunk(ids: pa.Array, numbers: pa.Array, sets: list[np.ndarray], keys: np.ndarray) -> pa.RecordBatch:
         sizes = np.array([len(s) for s in sets], np.int32)
         sigs = np.zeros((len(sets), SIGNATURES), U)
         some = np.flatnonzero(sizes)
@@ -162,7 +162,7 @@ def described(docs: DataFrame) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * SIGNATURES, SIGNATURES, dtype=np.int32)), _signed(sigs.ravel()))
         sketches = pa.array(list(_sketches(sets)), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(sizes), _signed(keys), lists, sketches, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names
+            [ids, numbers, pa.array(sizes), _signed(keys), lists, sketches, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names
         )
 
     def counted(own: list[np.ndarray]) -> pa.RecordBatch:
@@ -172,7 +172,7 @@ def described(docs: DataFrame) -> DataFrame:
         counts = np.diff(np.concatenate([begins, [len(found)]]))
         often = counts > 1
         m = int(often.sum())
-        nothing = [pa.nulls(m, kind) for kind in (pa.int64(), pa.int32(), pa.int64(), sig_list, pa.binary())]
+        nothing = [pa.nulls(m, kind) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), sig_list, pa.binary())]
         return pa.RecordBatch.from_arrays([*nothing, _signed(found[begins[often]]), pa.array(counts[often])], names)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +180,10 @@ def described(docs: DataFrame) -> DataFrame:
         met: set[int] = set()
         n = 0
         for batch in batches:
-            for at, stop in _chunks(batch.column(1)):
-                sets = shingle_sets(batch.column(1)[at:stop].to_pylist())
+            for at, stop in _chunks(batch.column(2)):
+                sets = shingle_sets(batch.column(2)[at:stop].to_pylist())
                 keys = [xxhash.xxh64_intdigest(s.tobytes()) for s in sets]
-                yield one_chunk(batch.column(0)[at:stop], sets, np.array(keys, U))
+                yield one_chunk(batch.column(0)[at:stop], batch.column(1)[at:stop], sets, np.array(keys, U))
                 own += [s for s, k in zip(sets, keys, strict=True) if not (k in met or met.add(k))]
                 n += sum(map(len, sets))
                 if n > COUNTED_TOKENS:
@@ -192,7 +192,8 @@ def described(docs: DataFrame) -> DataFrame:
                     met.clear()
         yield counted(own)
 
-    return staged(docs.sparkSession, docs.select("doc_id", "text").transform(in_arrow, describe, schema), "shingles")
+    number = (F.col(row) if row else F.lit(None)).cast("long").alias("row")
+    return staged(docs.sparkSession, docs.select("doc_id", number, "text").transform(in_arrow, describe, schema), "shingles")
 
 
 def frequent_tokens(rows: DataFrame, most: int = ORDERED) -> np.ndarray:
@@ -441,12 +442,14 @@ def unsettled(hits: DataFrame, links: DataFrame, members: DataFrame) -> DataFram
     return known.filter("coalesce(_x, grp) <> coalesce(_y, g)").drop("_x", "_y")
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def near_components(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document. If ``row`` names the column of with_rows(), also row and kept:
+    of each component one row stays, of the smallest doc_id and then of the smallest number."""
     spark = docs.sparkSession
-    rows = described(docs)
+    rows = described(docs, row)
     own = rows.filter("token IS NULL").drop("token", "count")
-    classes = own.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"), F.first("sketch").alias("sketch"))
+    first_of = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    classes = own.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(first_of).alias("best"), F.first("n").alias("n"), F.first("sigs").alias("sigs"), F.first("sketch").alias("sketch"))
     classes = staged(spark, classes, "classes")
     near = linked(docs, classes, similar_pairs(classes))
     groups = staged(spark, components(near), "similar")
@@ -458,19 +461,25 @@ def near_components(docs: DataFrame) -> DataFrame:
     links = linked(docs, classes, all_members(unsettled(hits, first, members), members))
     whole = components(near.union(first).union(links))
     firsts = staged(
-        spark, classes.join(whole, "key", "left").select("key", "rep", F.coalesce("label", "key").alias("label")), "labelled"
+        spark, classes.join(whole, "key", "left").select("key", "best", F.coalesce("label", "key").alias("label")), "labelled"
     )
-    smallest = staged(spark, firsts.groupBy("label").agg(F.min("rep").alias("component_id")), "smallest")
-    named = staged(spark, firsts.join(smallest, "label").select("key", "component_id"), "named")
-    return own.join(named, "key", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    smallest = staged(spark, firsts.groupBy("label").agg(F.min("best").alias("first")), "smallest")
+    named = staged(spark, firsts.join(smallest, "label").select("key", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("keep_row")), "named")
+    found = own.join(named, "key", "left").select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "row",
+        ((F.col("n") == 0) | (F.col("row") == F.col("keep_row"))).alias("kept"),
     )
+    return found if row else found.drop("row", "kept")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of their component, with all their columns."""
-    gone = near_components(docs).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """Of each component the row with the smallest doc_id (null ids last, repeated rows once), with all its columns."""
+    numbered, row = with_rows(docs)
+    gone = near_components(numbered, row).filter("NOT kept").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*[numbered[c] for c in docs.columns])
 
 
 def op7_ngram_join(spark, sf_dir):

@@ -140,6 +140,19 @@ def test_join_on_odd_rows(edge, none, monkeypatch):
     assert one.columns == edge.columns and {r.doc_id for r in one.collect()} == {3, 1, 2, None, 4, 5, 8, 9, 12}
 
 
+def test_one_of_each_tells_rows_apart(table):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcde"]
+    near = [t + " more" for t in texts]
+    a, b, c, d, e = texts
+    # 7 is a near copy on one row and unique on another; 1 stays once of its three rows; null ids go before others, not among themselves
+    rows = [(2, a), (7, near[0]), (7, b), (1, c), (1, c), (1, near[2]), (None, near[2]), (None, d), (None, near[3]), (9, e), (None, ""), (None, "")]
+    left = sorted((r.doc_id or -1, r.text) for r in ngram_join.one_of_each(table(rows)).collect())
+    assert [r for r in left if r[0] > 1] == [(2, a), (7, b), (9, e)]
+    assert [t in (c, near[2]) for i, t in left if i == 1] == [True]
+    nameless = [t for i, t in left if i == -1]
+    assert nameless[:2] == ["", ""] and len(nameless) == 3 and nameless[2] in (d, near[3])
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(1, 200)] + [(5, 5)]
     df = spark.createDataFrame(edges, "u LONG, v LONG")

@@ -50,6 +50,14 @@ def test_without_copies_keeps_columns(edge, none):
     assert without_copies(none).count() == exact_groups(none).count() == 0
 
 
+def test_without_copies_tells_rows_apart(table):
+    # the keeper's id stands twice; a null id's copy goes while another null id's own text stays
+    left = without_copies(table([(7, "T t"), (7, "t T"), (3, "t t"), (None, "A"), (5, "a"), (None, "B"), (5, "c"), (6, "C")]))
+    assert sorted((r.doc_id or -1, r.text.lower()) for r in left.collect()) == [(-1, "b"), (5, "a"), (6, "c"), (7, "t t")]
+    left = without_copies(table([(7, "T t"), (7, "t T"), (None, "A"), (None, "A")]), "smallest")
+    assert sorted((r.doc_id or -1, r.text.lower()) for r in left.collect()) == [(-1, "a"), (7, "t t")]
+
+
 def test_fingerprints(edge, copies, table):
     for df, rows in ((edge, ROWS), (table(copies), copies)):
         found = edit_fingerprints(df).collect()
