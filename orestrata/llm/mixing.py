@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orestrata.llm.common import WORD, staged_in_order, text_of
+from orestrata.llm.common import WORD, staged_in_order, text_of, with_rows
 from orestrata.session import staged
 from orestrata.sources.sizing import broadcast_within
 
@@ -62,12 +62,15 @@ def position(part: Column, slope: Column) -> Column:
 
 
 def mix(
-    docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, share: float = SHARE, most: float = MOST
+    docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, share: float = SHARE, most: float = MOST, row: str | None = None
 ) -> DataFrame:
     """One row for each document, range-sorted by its first position: doc_id, source, size, source_size, target, taken
-    (words, repeats counted), first_position and again_position (null where it isn't taken so often)."""
+    (words, repeats counted), first_position and again_position (null where it isn't taken so often). If ``row`` names the
+    column of with_rows(), also row."""
     spark = docs.sparkSession
+    number = [F.col(row).alias("row")] if row else []
     sized = docs.select(
+        *number,
         "doc_id",
         "source",
         F.regexp_count(text_of(), F.lit(WORD)).cast("bigint").alias("size"),
@@ -75,7 +78,7 @@ def mix(
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("turn"),
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key"),
     )
-    rows = staged_in_order(sized, [F.col("key"), F.col("turn"), F.col("doc_id"), F.col("size")], "streams")
+    rows = staged_in_order(sized, [F.col("key"), F.col("turn"), F.col("doc_id"), F.col("size"), *[F.col("row") for _ in number]], "streams")
     parts = staged(spark, rows.groupBy("key", "source", "part").agg(F.sum("size").alias("words")), "stream-parts")
     targets = source_targets(parts.groupBy("key", "source").agg(F.sum("words").alias("source_size")), weights, share, most)
     targets = targets.withColumn("slope", _turn(slopes, F.col("number"))).drop("source")
@@ -100,6 +103,7 @@ def mix(
         .withColumn("_first", from_to(F.col("_start")))
         .withColumn("_again", from_to(F.col("_start") + F.col("source_size")))
         .select(
+            *[F.col("row") for _ in number],
             "doc_id",
             "source",
             "size",
@@ -117,15 +121,16 @@ def mix(
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents with all their columns: as many copies of each as are nearest to its taken words, sorted by
-    training position. Documents are told apart by doc_id."""
-    plan = mix(docs, **options).select(
-        F.col("doc_id").alias("_id"),
+    training position. Rows are told apart by a stored number, whatever their doc_id."""
+    numbered, row = with_rows(docs)
+    plan = mix(numbered, **options, row=row).select(
+        F.col("row").alias("_at"),
         F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).alias("_copies"),
         "first_position",
         "again_position",
     )
     copies = plan.filter("_copies > 0").select(
-        "_id",
+        F.col("_at").alias(row),
         F.explode(
             F.slice(
                 F.array(F.col("first_position"), F.coalesce(F.col("again_position"), F.col("first_position"))),
@@ -134,8 +139,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
             )
         ).alias("_position"),
     )
-    placed = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]))
-    return placed.repartitionByRange("_position").sortWithinPartitions("_position").select(*[docs[c] for c in docs.columns])
+    placed = numbered.join(copies, row)
+    return placed.repartitionByRange("_position").sortWithinPartitions("_position").select(*[numbered[c] for c in docs.columns])
 
 
 def op8_curriculum_mix(spark, sf_dir):

@@ -12,15 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orestrata.llm.common import staged_in_order
+from orestrata.llm.common import staged_in_order, with_rows
 
 SHARDS = 8
 
 
-def shard_plan(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot (place in the shard) of each document."""
+def shard_plan(docs: DataFrame, shards: int = SHARDS, row: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot (place in the shard) of each document. If ``row`` names the column of
+    with_rows(), also row."""
     spark = docs.sparkSession
+    number = ["row"] if row else []
     sized = docs.select(
+        *[F.col(row).alias(c) for c in number],
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
@@ -41,6 +44,7 @@ def shard_plan(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         rows.withColumn("_to", F.sum("size").over(inside))
         .join(F.broadcast(offsets), "part")
         .select(
+            *number,
             "doc_id",
             "size",
             "text_crc32",
@@ -56,21 +60,22 @@ def shard_plan(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     placed = staged(spark, placed, "shard-places")
     firsts = placed.groupBy("shard").agg(F.min("_rank").alias("_first"))
     return placed.join(F.broadcast(firsts), "shard").select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("_rank") - F.col("_first")).alias("slot")
+        *number, "doc_id", "size", "text_crc32", "shard", (F.col("_rank") - F.col("_first")).alias("slot")
     )
 
 
 def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS) -> DataFrame:
     """Write the documents below ``folder``, a folder for each shard with its rows in slot order; returns the plan.
-    Documents are told apart by doc_id."""
-    plan = shard_plan(docs, shards)
-    places = plan.select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    placed = docs.join(places, docs["doc_id"].eqNullSafe(places["_id"])).drop("_id")
+    Rows are told apart by a stored number, whatever their doc_id."""
+    numbered, row = with_rows(docs)
+    plan = shard_plan(numbered, shards, row)
+    places = plan.select(F.col("row").alias(row), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    placed = numbered.join(places, row).drop(row)
     (
         placed.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot")
         .write.partitionBy("_shard").parquet(folder)
     )
-    return plan
+    return plan.drop("row")
 
 
 def op10_byte_shards(spark, sf_dir):

@@ -129,6 +129,25 @@ def test_mixed_documents(copies, table, none):
     assert mix(none).count() == mixed_documents(none).count() == 0
 
 
+#: Repeated ids with different texts, and several null ids.
+REPEATED = [(n % 3 if n % 4 else None, f"document {n} " + "word " * n) for n in range(24)]
+
+
+def test_mixed_documents_counts_repeated_and_null_ids(table):
+    df = table(REPEATED)
+    # sizes are distinct, so a size says which row it is
+    expected = Counter({r.size: int(r.taken / r.size + 0.5) for r in mix(df).collect()})
+    assert Counter(words(r.text) for r in mixed_documents(df).collect()) == +expected
+
+
+def test_write_shards_writes_each_row_once(table, spark, tmp_path):
+    df = table(REPEATED)
+    plan = write_shards(df, str(tmp_path / "shards"))
+    assert plan.columns == shard_plan(df).columns
+    stored = spark.read.parquet(str(tmp_path / "shards")).collect()
+    assert Counter((r.doc_id, len(r.text) + 1, r._shard) for r in stored) == Counter((r.doc_id, r["size"], r.shard) for r in plan.collect())
+
+
 def test_positions_invert_the_schedule(spark):
     for slope in (-1.0, -0.5, 0.0, 0.5, 1.0):
         times = spark.range(21).select((F.col("id") / 20).alias("t"))
