@@ -84,6 +84,29 @@ def test_fingerprints(edge, copies, table):
     assert sum(r.near_edited for r in found) > sum(r.near_next for r in found)
 
 
+def test_fingerprints_of_large_groups(table):
+    import random
+
+    chance = random.Random(3)
+    draw = lambda names, n: [chance.choice(names) for _ in range(n)]
+    common, hot, near = ([f"{c}{i}" for i in range(900)] for c in "uvw")
+    hot, near = draw(hot, 120), draw(near, 120)
+    rows = []
+    for n in range(360):
+        own = draw(common, 120)
+        if n % 3 == 1:
+            own = hot  # a third of the rows are one text
+        if n % 9 == 2:
+            own = [*near[:40], f"only{n}", *near[40:]]  # a ninth are near copies
+        rows.append((n, " ".join(own)))
+    rows += [(1000 + n, "".join(chr(0x4E00 + chance.randrange(3000)) for _ in range(400))) for n in range(20)]  # no separators
+    likeness = defaultdict(list)
+    for r in edit_fingerprints(table(rows)).collect():
+        likeness["wide" if r.doc_id > 999 else r.doc_id % 3 if r.doc_id % 9 != 2 else "near"].append(r.near_edited)
+    for kind in (0, 1, "near", "wide"):
+        assert sum(likeness[kind]) / len(likeness[kind]) > 0.3, kind
+
+
 def test_fingerprints_of_one_and_of_none(table, none):
     (only,) = edit_fingerprints(table([(1, "a single text stands next to itself")])).collect()
     assert only.near_next == 1
