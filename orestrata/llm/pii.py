@@ -1,9 +1,10 @@
 """Personal data: exact patterns, and a semi-Markov conditional random field for spans that they miss.
 
 ``base_spans`` finds what the contract's patterns find, in one linear pass each. The field looks at windows of neighbouring
-white-space tokens that hold a digit or an at sign. Its candidates are whole segments of up to ``SEGMENT_TOKENS`` tokens,
+white-space tokens that hold a digit or an at sign, however many; tokens of more than ``SEGMENT_CHARS`` characters (minified
+JSON, URL parameters) are split at punctuation into tokens of their own. Its candidates are whole segments of up to ``SEGMENT_TOKENS`` tokens,
 and features describe a segment as a whole: its shape, number of digits, check digit, the base patterns, the word before.
-Dynamic programming over a window, with at most ``ENTITIES`` entities in it, chooses all boundaries and types together.
+Dynamic programming over a window, with as many entities as its tokens hold, chooses all boundaries and types together.
 What it finds beside the base spans is added if it beats "nothing" by ``MARGIN``; base spans always stay.
 
 It is trained here, on about ``SAMPLE_DOCS`` documents that hold digits or an at sign, chosen by a hash: the base spans in their windows, the same
@@ -11,15 +12,17 @@ windows with the spans rewritten in ways that the patterns miss, and windows wit
 towards the right segmentation. All documents are then searched whole.
 
 Defined results: null text is empty and has no spans; positions are code points; a segment has ``SEGMENT_CHARS`` characters
-at most, longer tokens are nothing to the field (the patterns have no limit); equal texts have equal spans; without training
+at most, unbroken letters and digits beyond that are nothing to the field (the patterns have no limit); equal texts have equal spans; without training
 windows nothing is added; an empty table gives no rows. Other columns are not looked at.
 """
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +32,6 @@ from orestrata.session import in_arrow
 
 KINDS = ("email", "ip", "card", "phone")
 SEGMENT_TOKENS, SEGMENT_CHARS = 4, 80
-WINDOW_TOKENS, ENTITIES = 16, 8
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 50_000
 ROUNDS = 6
 MARGIN = 2.0
@@ -45,6 +47,15 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 ANY = re.compile(r"[0-9@]")
 TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
 TOKEN = re.compile(r"\S+")
+#: What the tokens within a long token are, from coarse to fine; the finer are for what is still too long. Up to
+#: SEGMENT_TOKENS of them make a segment together with what stands between them.
+WITHIN = [re.compile(x) for x in (
+    r"""[^"'<>{},;:&=?|\\]+""",
+    r"(?:[(\[](?:at|\.)[)\]]|[^/()\[\]])+",
+    r"(?:[(\[](?:at|\.)[)\]]|[^\W_]|[@.-])+",
+    r"(?:[(\[]at[)\]]|[^\W_]|@)+",
+)]
+WORDLIKE = re.compile(r"[^\W_]")
 Span = tuple[str, int, int]
 
 
@@ -87,11 +98,20 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
+def within(text: str, start: int, end: int, level: int = 0) -> Iterator[tuple[int, int]]:
+    """A token as it is or, if it is too long for a segment, the tokens within it."""
+    if end - start <= SEGMENT_CHARS or level == len(WITHIN):
+        yield start, end
+        return
+    for m in WITHIN[level].finditer(text, start, end):
+        yield from within(text, m.start(), m.end(), level + 1)
+
+
 def windows(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of neighbouring tokens that hold a trigger, with the token before the first (empty if none), in pieces of
-    ``WINDOW_TOKENS``. Tokens are (start, end)."""
+    """Runs of neighbouring tokens that hold a trigger, with the token before the first (empty if none). Tokens are
+    (start, end)."""
     run: list[tuple[int, int]] = []
-    before, last, reached = (0, 0), (0, 0), 0
+    last, reached = (0, 0), 0
     for hit in TRIGGER.finditer(text):
         if hit.start() < reached:
             continue
@@ -99,20 +119,25 @@ def windows(text: str) -> Iterator[list[tuple[int, int]]]:
         while start > reached and not text[start - 1].isspace():
             start -= 1
         end = TOKEN.match(text, hit.start()).end()
-        if run and (text[last[1] : start].strip() or len(run) > WINDOW_TOKENS):
-            yield run
-            run = []
-        if not run:
-            stop = start
-            while stop > reached and text[stop - 1].isspace():
-                stop -= 1
-            head = stop
-            while head > max(reached, stop - SEGMENT_CHARS) and not text[head - 1].isspace():
-                head -= 1
-            before = (head, stop)
-            run = [before]
-        run.append((start, end))
-        last, reached = (start, end), end
+        stop = start
+        while stop > reached and text[stop - 1].isspace():
+            stop -= 1
+        head = stop
+        while head > max(reached, stop - SEGMENT_CHARS) and not text[head - 1].isspace():
+            head -= 1
+        before, whole = (head, stop), True
+        for a, b in within(text, start, end):
+            if TRIGGER.search(text, a, b):
+                between = text[last[1] : a]
+                if run and (between.strip() if whole else WORDLIKE.search(between)):
+                    yield run
+                    run = []
+                if not run:
+                    run = [before]
+                run.append((a, b))
+                last, whole = (a, b), False
+            before = (a, b)
+        reached = end
     if run:
         yield run
 
@@ -155,51 +180,45 @@ class Field:
     def __init__(self, weights: dict[tuple[str, str], float]):
         self.weights = weights
 
-    def options(self, text: str, run: list[tuple[int, int]]) -> dict[tuple[int, int], list[str]]:
-        """The features of all candidate segments of the tokens after the first."""
-        out = {}
-        for i in range(1, len(run)):
-            before = text[slice(*run[i - 1])].strip(".,;:!?\"'").lower() if i == 1 else "number"
-            for j in range(i, min(i + SEGMENT_TOKENS, len(run))):
+    def options(self, text: str, run: list[tuple[int, int]]) -> Iterator[tuple[tuple[int, int], list[str]]]:
+        """All candidate segments of the tokens after the first, by their ends, with their features."""
+        first = text[slice(*run[0])].strip(".,;:!?\"'").lower()
+        for j in range(1, len(run)):
+            for i in range(max(1, j - SEGMENT_TOKENS + 1), j + 1):
                 a, b = segment(text, run, i, j)
                 if 0 < b - a <= SEGMENT_CHARS:
-                    out[i, j] = features(text, a, b, before, j - i + 1)
-        return out
+                    yield (i, j), features(text, a, b, first if i == 1 else "number", j - i + 1)
 
-    def best(self, options: dict[tuple[int, int], list[str]], n: int) -> list[tuple[str, int, int, float]]:
+    def best(self, options: Iterable[tuple[tuple[int, int], list[str]]], n: int) -> list[tuple[str, int, int, float]]:
         """(kind, first token, last token, score) of the best segmentation of tokens 1..n-1."""
-        of: dict[int, list[tuple[int, str, float]]] = defaultdict(list)
-        for (i, j), found in options.items():
+        # of the tokens up to t: the best score, and its last step
+        scores, steps = [0.0] * n, [None] * n
+        done = 0
+        for (i, j), found in options:
+            while done < j:
+                done += 1
+                scores[done] = scores[done - 1]
             for kind in KINDS:
                 value = sum(self.weights.get((kind, f), 0.0) for f in found)
-                if value > 0:
-                    of[j].append((i, kind, value))
-        # table[t][k]: the best score of the tokens up to t with k entities, and its last step
-        table: list[list[tuple[float, tuple | None]]] = [[(0.0, None)]]
-        for t in range(1, n):
-            row = [(value, ("skip", t - 1, k)) for k, (value, _) in enumerate(table[t - 1])]
-            for i, kind, value in of[t]:
-                for k, (so_far, _) in enumerate(table[i - 1][:ENTITIES]):
-                    while len(row) <= k + 1:
-                        row.append((float("-inf"), None))
-                    if so_far + value > row[k + 1][0]:
-                        row[k + 1] = (so_far + value, (kind, i - 1, k, value))
-            table.append(row)
-        k = max(range(len(table[-1])), key=lambda k: table[-1][k][0])
+                if value > 0 and scores[i - 1] + value > scores[j]:
+                    scores[j], steps[j] = scores[i - 1] + value, (kind, i, value)
         t, out = n - 1, []
-        while t > 0 and table[t][k][1] is not None:
-            step = table[t][k][1]
-            if step[0] != "skip":
-                out.append((step[0], step[1] + 1, t, step[3]))
-            t, k = step[1], step[2]
+        while t > 0:
+            if steps[t] is None:
+                t -= 1
+            else:
+                kind, i, value = steps[t]
+                out.append((kind, i, t, value))
+                t = i - 1
         return out[::-1]
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
-        out = []
+        out, ordered = [], sorted((s, e) for _, s, e in base)
+        starts, reach = [s for s, _ in ordered], [0, *accumulate((e for _, e in ordered), max)]
         for run in windows(text):
             for kind, i, j, value in self.best(self.options(text, run), len(run)):
                 a, b = segment(text, run, i, j)
-                if value >= MARGIN and not any(a < e and s < b for _, s, e in base):
+                if value >= MARGIN and reach[bisect_left(starts, b)] <= a:
                     out.append((kind, a, b))
         return out
 
@@ -245,19 +264,18 @@ def train(texts: list[str], rounds: int = ROUNDS) -> Field:
         for part, spans in examples(text):
             for run in windows(part):
                 if run[0] == (0, 0) or run[0][1] > 0:
-                    options = blank.options(part, run)
-                    right = {}
-                    for kind, s, e in spans:
-                        hit = [ij for ij in options if segment(part, run, *ij) == (s, e)]
-                        if hit:
-                            right[hit[0]] = kind
+                    options = dict(blank.options(part, run))
+                    at: dict[tuple[int, int], tuple[int, int]] = {}
+                    for ij in options:
+                        at.setdefault(segment(part, run, *ij), ij)
+                    right = {at[s, e]: kind for kind, s, e in spans if (s, e) in at}
                     cases.append((options, len(run), right))
     weights: dict[tuple[str, str], float] = defaultdict(float)
     total: dict[tuple[str, str], float] = defaultdict(float)
     step, field = 1, Field(weights)
     for _ in range(rounds):
         for options, n, right in cases:
-            guess = {(i, j): kind for kind, i, j, _ in field.best(options, n)}
+            guess = {(i, j): kind for kind, i, j, _ in field.best(options.items(), n)}
             step += 1
             if guess == right:
                 continue

@@ -85,6 +85,23 @@ def test_field_adds_rewritten_data_and_leaves_the_rest():
     assert find(cases[0]) == []
 
 
+def test_field_has_no_limit_of_entities_or_long_tokens():
+    cases = [f"call me at +1 ({200 + i}) 555-{1000 + i} or mail ann{i}.lee@site{i}.example.com from 10.{i % 250}.3.{i % 99}, pay by 4111 1111 1111 1111 now" for i in range(120)]
+    plain = [f"chapter {i} holds {i * 7} pages, version 3.{i % 10} of 20{i % 99:02d}" for i in range(120)]
+    field = pii.train(cases + plain)
+    find = lambda t: {t[a:b] for _, a, b in field.added(t, pii.base_spans(t))}
+    mails = [f"bob{i}.ray[at]site{i}.example.com" for i in range(40)]
+    assert find("write to " + " ".join(mails)) == set(mails)
+    packed = '{"kind":"user","note":"' + "x" * 90 + '","mail":"' + '","mail":"'.join(mails) + '"}'
+    assert find("see " + packed) == set(mails) and len(packed.split()) == 1
+    # an address that the patterns find is not found again
+    text = "mail ann1.lee@site1.example.com or " + mails[0]
+    assert find(text) == {mails[0]}
+    # linear, also where every token is a candidate
+    field.added("1 " * 20_000, [])
+    list(pii.windows("1," * 100_000 + "[at]" * 50_000))
+
+
 def test_personal_data(edge, none):
     found = {r.doc_id: r for r in pii.personal_data(edge).collect()}
     for i, text in ROWS:
