@@ -4,6 +4,7 @@ from __future__ import annotations
 from orestrata.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from orestrata.llm.fill_in_middle import OP12_SQL, op12_fill_in_middle
 from orestrata.llm.fingerprints import op2_imatch
+from orestrata.llm.maxent import op13_maxent_score
 from orestrata.llm.mixing import OP8_SQL, op8_curriculum_mix
 from orestrata.llm.ngram_join import op7_ngram_join
 from orestrata.llm.packing import op4_packing
@@ -29,6 +30,7 @@ QUERIES = {
         op10_byte_shards,
         op11_spelling_variants,
         op12_fill_in_middle,
+        op13_maxent_score,
     )
 }
 
