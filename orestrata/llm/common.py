@@ -5,8 +5,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.session import scratch, staged
+from orestrata.sources.sizing import broadcast_within
 
-#: monotonically_increasing_id() holds the partition above these bits and the row within it below.
+#: A row's number holds its partition (or file) above these bits and the row within it below.
 ROW_BITS = 33
 #: The contract's words and white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -17,15 +18,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _read_from_files(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a table of files as it is read, with nothing done to it yet."""
+    return docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation" and bool(docs._jdf.inputFiles())
+
+
 def with_rows(docs: DataFrame, label: str = "rows") -> tuple[DataFrame, str]:
-    """``docs`` stored with a number of each row, and the number's column, which has a name that ``docs`` doesn't use.
+    """``docs`` with a number of each row, and the number's column, which has a name that ``docs`` doesn't use. The number says
+    which row is meant however often the rows are read; a doc_id doesn't, as several rows may have the same or none.
 
-    The number is taken as the rows are written, so it says which row is meant however often the rows are read; a doc_id
-    doesn't, as several rows may have the same or none."""
+    Where ``docs`` is read straight from files, the number is the file's number and the row's place in the file, and nothing is
+    stored but one row for each file. Anything else is stored with numbers that are taken as it is written."""
     used, row = {c.lower() for c in docs.columns}, "_row"
     while row in used:
         row = f"_{row}"
-    return staged(docs.sparkSession, docs.withColumn(row, F.monotonically_increasing_id()), label), row
+    if not _read_from_files(docs):
+        return staged(docs.sparkSession, docs.withColumn(row, F.monotonically_increasing_id()), label), row
+    place = docs.metadataColumn("_metadata")
+    path, number = f"{row}_path", f"{row}_file"
+    files = docs.select(place["file_path"].alias(path)).distinct().coalesce(1)
+    files = staged(docs.sparkSession, files.withColumn(number, F.monotonically_increasing_id()), f"{label}-files")
+    placed = docs.withColumns({path: place["file_path"], row: place["row_index"]}).join(broadcast_within(files), path)
+    return placed.withColumn(row, F.shiftleft(number, ROW_BITS).bitwiseOR(F.col(row))).drop(path, number), row
 
 
 def text_of(column: str = "text") -> Column:

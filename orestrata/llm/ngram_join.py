@@ -6,26 +6,32 @@ are one class; classes are what is joined. A shingle is a token, held as its 64-
 1. **Groups.** Classes whose min-hashes agree (four pairs of them) are compared with the first of their group; those that
    truly link become one group of similar documents. All other classes are groups of their own.
 2. **Matrix.** Tokens are put in one order for all documents: from rare to frequent as far as counts are known (the
-   ``ORDERED`` most frequent tokens, counted over all documents), by hash otherwise. Sets of n and m <= n tokens that
-   link share at least 3 (n + m) / 7 tokens, so the first that they share stands at a place i of the one and j of the other
-   (from 0) with 7 i <= 4 n - 3 m and 7 j <= 4 m - 3 n: within the first quarter of the larger and the first seventh of the
-   smaller. So the matrix stores, for each group, the union of its members' first sevenths, with the least size and the
-   furthest reach 4 m - 7 j of a token; tokens that only one class has are dropped before anything is compared.
-3. **Bound and open.** A class asks the matrix with its own first quarter. If none of it lies within reach in a group's
-   union, its overlap with any member stays below what a link needs, and the group stays shut.
-   Members of the other groups are bounded once more by sketches: a sketch has a bit for the parity of the tokens in each
-   of its places, so two sets differ in as many tokens as their sketches differ in bits, at least. What passes is
-   compared token by token, first with a few members of each group and then, where that did not make the two groups
-   one component, with all.
-
-The order, the min-hashes and the groups decide how much is compared, never what links: step 3 looks at every class against
-every group but its own. Links are turned into components by alternating star contraction, also exact.
+   ``ORDERED`` most frequent tokens, by counts of batches of distinct sets), by hash otherwise. Sets of n and m <= n tokens
+   that link share at least 3 (n + m) / 7 tokens, so the first that they share stands at a place i of the one and j of the
+   other (from 0) with 7 i <= 4 n - 3 m and 7 j <= 4 m - 3 n: within the first quarter of the larger and the first seventh of
+   the smaller. Only these places are stored, and only tokens that at least two classes have.
+3. **Rounds.** Groups grow before they are compared with each other. In a round each token that several groups have names one
+   holder, of the largest of them and in which the token stands first; every other class that has the token within reach is
+   compared with that one holder, links merge groups, and tokens of one group only are put aside. A round makes at most as
+   many pairs as there are rows. Rounds go on as long as they merge enough to leave clearly fewer rows.
+4. **Bound and open.** For the groups that are left the matrix stores the union of their members' first sevenths, with the
+   least size and the furthest reach 4 m - 7 j of a token. A class asks with its own first quarter. If none of it lies within
+   reach in a group's union, its overlap with any member stays below what a link needs, and the group stays shut. A group
+   that qualifies is opened at the tokens that were hit: first for a few members, and where that did not make the two groups
+   one component, for all members that have such a token within reach.
+
+Pairs are bounded once more by sketches: a sketch has a bit for the parity of the tokens in each of its places, so two sets
+differ in as many tokens as their sketches differ in bits, at least. What passes is compared token by token.
+
+The order, the min-hashes, the holders and the groups decide how much is compared, never what links: step 4 looks at every
+class against every group but its own. Links are turned into components by alternating star contraction, also exact.
 
 Defined results: a text with fewer than five words has its whole sequence as one shingle; null, empty and blank texts have
 no shingle and stand alone; component_id is the smallest doc_id of a component, null ids last; repeated rows are linked like
 any equal texts; an empty table gives no rows. Other columns are not looked at.
 
-64-bit hashes stand for tokens and classes: among 10^9 classes, two share a hash with a probability of about 3 %.
+64-bit hashes stand for tokens and classes. A second hash and the size of each class's set are compared over the whole corpus:
+should two sets share the first hash, all is done again with other hashes.
 """
 from __future__ import annotations
 
@@ -34,11 +40,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.llm.common import text_of, with_rows
 from orestrata.session import in_arrow, staged
+from orestrata.sources.sizing import broadcast_within
 
 WORDS = 5
 #: Tokens whose frequency orders them; 16 bytes each in every task.
@@ -46,6 +53,8 @@ ORDERED = 262_144
 #: Least bits of the sketch of a set; a set of more tokens has the next power of two.
 SKETCH_BITS = 2048
 SIGNATURES = 4
+#: Rounds end when more than this share of the rows is left.
+LEFT = 0.9
 #: Bits of the filter that spares texts nobody asks for; its size is fixed, a full one only lets more through.
 FILTER_BITS = 1 << 23
 CACHED_WORDS = 300_000
@@ -101,6 +110,12 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return sets
 
 
+def class_key(tokens: np.ndarray, seed: int) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(tokens.tobytes(), seed)
+
+
 def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``CHUNK_CHARS`` characters, one row at least."""
     sizes = np.nan_to_num(pc.utf8_length(texts).to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -138,16 +153,15 @@ def _apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x.view(U) ^ y.view(U)).sum())
 
 
-def described(docs: DataFrame, row: str | None = None) -> DataFrame:
-    """Stored: of each document doc_id, row (null unless ``row`` names its column), n_shingles, key (its class) and min-hash
-    signatures; besides, rows with ``token`` and ``count`` for tokens that several sets of one batch hold."""
-    import xxhash
-
-    schema = "doc_id long, row long, n int, key long, sigs array<long>, sketch binary, token long, count long"
-    names = ["doc_id", "row", "n", "key", "sigs", "sketch", "token", "count"]
+def described(docs: DataFrame, row: str | None = None, seed: int = 0) -> DataFrame:
+    """Stored: of each document doc_id, row (null unless ``row`` names its column), n_shingles, key (its class), second (another hash of its
+    set) and min-hash signatures; besides, rows with ``token`` and ``count`` for tokens that several sets of one batch hold."""
+    schema = "doc_id long, row long, n int, key long, second long, sigs array<long>, sketch binary, token long, count long"
+    names = ["doc_id", "row", "n", "key", "second", "sigs", "sketch", "token", "count"]
     sig_list = pa.list_(pa.int64())
 
     def one_chunk(ids: pa.Array, numbers: pa.Array, sets: list[np.ndarray], keys: np.ndarray) -> pa.RecordBatch:
+        second = np.array([class_key(s, ~seed & (2**64 - 1)) for s in sets], U)
         sizes = np.array([len(s) for s in sets], np.int32)
         sigs = np.zeros((len(sets), SIGNATURES), U)
         some = np.flatnonzero(sizes)
@@ -162,7 +176,7 @@ def described(docs: DataFrame, row: str | None = None) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * SIGNATURES, SIGNATURES, dtype=np.int32)), _signed(sigs.ravel()))
         sketches = pa.array(list(_sketches(sets)), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [ids, numbers, pa.array(sizes), _signed(keys), lists, sketches, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names
+            [ids, numbers, pa.array(sizes), _signed(keys), _signed(second), lists, sketches, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names
         )
 
     def counted(own: list[np.ndarray]) -> pa.RecordBatch:
@@ -172,7 +186,7 @@ def described(docs: DataFrame, row: str | None = None) -> DataFrame:
         counts = np.diff(np.concatenate([begins, [len(found)]]))
         often = counts > 1
         m = int(often.sum())
-        nothing = [pa.nulls(m, kind) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), sig_list, pa.binary())]
+        nothing = [pa.nulls(m, kind) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), sig_list, pa.binary())]
         return pa.RecordBatch.from_arrays([*nothing, _signed(found[begins[often]]), pa.array(counts[often])], names)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +196,7 @@ def described(docs: DataFrame, row: str | None = None) -> DataFrame:
         for batch in batches:
             for at, stop in _chunks(batch.column(2)):
                 sets = shingle_sets(batch.column(2)[at:stop].to_pylist())
-                keys = [xxhash.xxh64_intdigest(s.tobytes()) for s in sets]
+                keys = [class_key(s, seed) for s in sets]
                 yield one_chunk(batch.column(0)[at:stop], batch.column(1)[at:stop], sets, np.array(keys, U))
                 own += [s for s, k in zip(sets, keys, strict=True) if not (k in met or met.add(k))]
                 n += sum(map(len, sets))
@@ -203,19 +217,17 @@ def frequent_tokens(rows: DataFrame, most: int = ORDERED) -> np.ndarray:
     return top[::-1].astype(np.int64).view(U) if len(top) else np.zeros(0, U)
 
 
-def matrix_rows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def matrix_rows(docs: DataFrame, frequent: np.ndarray, seed: int = 0) -> DataFrame:
     """(token, key, packed) of every document's tokens that decide; packed: the set's size above 32 bits, the place below."""
     by_hash = np.argsort(frequent)
     ordered, rank = frequent[by_hash], by_hash.astype(np.int64)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for texts in (batch.column(0)[at:stop] for batch in batches for at, stop in _chunks(batch.column(0))):
             sets = {}
             for s in shingle_sets(texts.to_pylist()):
                 if len(s):
-                    sets[xxhash.xxh64_intdigest(s.tobytes())] = s
+                    sets[class_key(s, seed)] = s
             if not sets:
                 continue
             keys, own = np.array(list(sets), U), list(sets.values())
@@ -239,37 +251,37 @@ def matrix_rows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def shared_rows(rows: DataFrame) -> DataFrame:
-    """Only the tokens that at least two classes have, each class once: one shuffle by token, one look at sorted runs."""
+    """Only the tokens that at least two classes have, each class once, stored: (token, key, n, at). One shuffle by token, one look
+    at sorted runs, of which no more than a batch and one row is held."""
+    names = ["token", "key", "packed"]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "key", "packed"]
-        held: list[np.ndarray] | None = None  # the last run, which may go on
-
-        def shared(columns: list[np.ndarray]) -> pa.RecordBatch:
-            token, key, packed = columns
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-            token, key, packed = token[new], key[new], packed[new]
-            same = np.zeros(len(token), bool)
-            same[1:] = token[1:] == token[:-1]
-            same[:-1] |= same[1:].copy()
-            return pa.RecordBatch.from_arrays([pa.array(c[same]) for c in (token, key, packed)], names)
-
+        last: list[np.ndarray] | None = None  # the last class met, and whether it was given already
+        given = False
         for batch in batches:
             if not batch.num_rows:
                 continue
             columns = [c.to_numpy() for c in batch.columns]
-            if held is not None:
-                columns = [np.concatenate(x) for x in zip(held, columns)]
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))
-            if cut:
-                yield shared([c[:cut] for c in columns])
-            held = [c[cut:] for c in columns]
-        if held is not None:
-            yield shared(held)
+            if last is not None:
+                columns = [np.concatenate(x) for x in zip(last, columns)]
+            token, key = columns[:2]
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+            columns = [c[new] for c in columns]
+            token = columns[0]
+            same = token[1:] == token[:-1]
+            shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            out = shared.copy()
+            out[0] &= not (last is not None and given)
+            # only its successor says whether the last class has company
+            given = bool(out[-1]) or (len(token) == 1 and last is not None and given)
+            last = [c[-1:] for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in columns], names)
 
     by_token = rows.repartition("token").sortWithinPartitions("token", "key")
-    return staged(rows.sparkSession, by_token.transform(in_arrow, keep, "token long, key long, packed long"), "matrix")
+    kept = by_token.transform(in_arrow, keep, "token long, key long, packed long")
+    unpacked = kept.select("token", "key", F.shiftright("packed", 32).alias("n"), F.col("packed").bitwiseAND((1 << 32) - 1).alias("at"))
+    return staged(rows.sparkSession, unpacked, "matrix")
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
@@ -294,14 +306,12 @@ def _bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (x % U(FILTER_BITS)).astype(np.int64), ((x >> U(32)) % U(FILTER_BITS)).astype(np.int64)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, seed: int = 0) -> DataFrame:
     """Stored (key, tokens) of the classes in ``wanted`` (key, doc_id of one member)."""
     wanted = staged(docs.sparkSession, wanted, "wanted")
     filled = _filter_of(wanted.filter("doc_id IS NOT NULL").select("doc_id"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         bits = np.unpackbits(filled).astype(bool)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -310,9 +320,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             at = np.flatnonzero(~valid | bits[first] & bits[second])
             texts = batch.column(1).take(pa.array(at))
             for start, stop in _chunks(texts):
-                sets = [s.tobytes() for s in shingle_sets(texts[start:stop].to_pylist())]
-                keys = np.array([xxhash.xxh64_intdigest(s) for s in sets], U)
-                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(sets, pa.binary())], ["key", "tokens"])
+                sets = shingle_sets(texts[start:stop].to_pylist())
+                keys = np.array([class_key(s, seed) for s in sets], U)
+                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "tokens"])
 
     got = docs.select("doc_id", "text").transform(in_arrow, emit, "key long, tokens binary")
     # the filter lets a few others through, and a doc_id may stand on several rows
@@ -336,12 +346,14 @@ def bounded(classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return full.transform(in_arrow, sift, "u long, v long")
 
 
-def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, seed: int = 0) -> DataFrame:
     """Those of the distinct ``pairs`` (u, v) of classes that link, stored."""
     spark = docs.sparkSession
     pairs = staged(spark, bounded(classes, pairs), "pairs")
+    if pairs.isEmpty():
+        return pairs
     ends = pairs.select(F.col("u").alias("key")).union(pairs.select(F.col("v").alias("key"))).distinct()
-    sets = sets_of(docs, ends.join(classes.select("key", F.col("rep").alias("doc_id")), "key"))
+    sets = sets_of(docs, ends.join(classes.select("key", F.col("rep").alias("doc_id")), "key"), seed)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, PAIRS) for b in batches for at in range(0, b.num_rows, PAIRS)):
@@ -384,82 +396,136 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def similar_pairs(classes: DataFrame) -> DataFrame:
-    """Each class with the first one of every signature that they share, and with the next smaller one of it."""
+    """Each class with the first one, the smallest, of every signature that they share."""
     signed = classes.select("key", "n", F.posexplode("sigs").alias("which", "sig"))
-    shared = staged(classes.sparkSession, signed.groupBy("which", "sig").agg(F.min("key").alias("_first"), F.max("key").alias("_last")).filter("_first < _last").drop("_last"), "groups")
-    smaller = F.lag("key").over(Window.partitionBy("which", "sig").orderBy("n", "key"))
-    near = signed.join(shared, ["which", "sig"]).withColumn("_smaller", smaller)
-    near = near.select("key", F.explode(F.array("_first", "_smaller")).alias("other"))
-    return near.filter("key <> other").select(F.least("key", "other").alias("u"), F.greatest("key", "other").alias("v")).distinct()
-
-
-def open_groups(shared: DataFrame, classes: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Hits (u, n, g, grp), where tokens of class u of group grp hit the union of another group g within reach, and the
-    members (key, n, grp) of all groups."""
-    spark = shared.sparkSession
-    members = staged(
-        spark,
-        classes.select("key", "n").join(groups, "key", "left").select("key", "n", F.coalesce("label", "key").alias("grp")),
-        "members",
+    own = F.struct("n", "key")
+    firsts = signed.groupBy("which", "sig").agg(F.min(own).alias("low"), F.max(own).alias("high")).filter("low <> high")
+    firsts = staged(classes.sparkSession, firsts.select("which", "sig", F.col("low.key").alias("other")), "firsts")
+    near = signed.join(firsts, ["which", "sig"]).filter("key <> other")
+    return near.select(F.least("key", "other").alias("u"), F.greatest("key", "other").alias("v")).distinct()
+
+
+#: Whether token places i of a set of n and j of one of m tokens can be the first that two linking sets share.
+WITHIN = "7 * {i} <= 4 * {n} - 3 * {m} AND 7 * {j} <= 4 * {m} - 3 * {n}"
+
+
+def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored: ``rows`` (token, key, n, at) with their group grp and its size, by ``links`` so far; only tokens that several groups
+    have, with one holder each: of the largest group, and of its classes the one in which the token stands first."""
+    spark = rows.sparkSession
+    whole = staged(spark, components(links), "groups")
+    sizes = staged(spark, whole.groupBy("label").agg(F.count("*").alias("size")), "group-sizes")
+    grouped = staged(spark, whole.join(sizes, "label"), "sized-groups")
+    known = rows.select("token", "key", "n", "at").join(grouped, "key", "left").select(
+        "token", "key", "n", "at", F.coalesce("label", "key").alias("grp"), F.coalesce("size", F.lit(1)).alias("size")
     )
-    rows = shared.join(members.select("key", "grp"), "key").select(
-        "token", "key", "grp", F.shiftright("packed", 32).alias("n"), F.col("packed").bitwiseAND((1 << 32) - 1).alias("at")
-    )
-    rows = staged(spark, rows, "asks")
-    union = rows.filter("7 * at <= n").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max(F.expr("4 * n - 7 * at")).alias("reach"))
+    known = staged(spark, known, "grouped-rows")
+    order = F.struct((-F.col("size")).alias("less"), "at", F.col("key").alias("v"), F.col("n").alias("m"), "grp")
+    holders = known.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.min(order).alias("holder"))
+    holders = staged(spark, holders.filter("low < high").select("token", "holder"), "holders")
+    return staged(spark, known.join(holders, "token"), "asks")
+
+
+def holder_pairs(asks: DataFrame) -> DataFrame:
+    """Pairs (u, v) of each class with the holders of its tokens, where the holder is of another group and within reach."""
+    fits = WITHIN.format(i="at", n="n", j="holder.at", m="holder.m")
+    other = asks.filter(f"grp <> holder.grp AND {fits}")
+    return other.select(F.least("key", "holder.v").alias("u"), F.greatest("key", "holder.v").alias("v")).distinct()
+
+
+def hits_of(asks: DataFrame) -> DataFrame:
+    """Stored hits (u, grp, g): tokens of class u of group grp hit the union of another group g within reach."""
+    spark = asks.sparkSession
+    union = asks.filter("7 * at <= n").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max(F.expr("4 * n - 7 * at")).alias("reach"))
     union = staged(spark, union.withColumnRenamed("grp", "g"), "unions")
     within = "grp <> g AND low <= n AND 3 * n <= reach AND 3 * low <= 4 * n - 7 * at"
-    hits = rows.join(union, "token").filter(within).select(F.col("key").alias("u"), "n", "g").distinct()
-    hits = staged(spark, hits, "hits")
-    return hits.join(members.select(F.col("key").alias("u"), "grp"), "u"), members
+    return staged(spark, asks.join(union, "token").filter(within).select(F.col("key").alias("u"), "grp", "g").distinct(), "hits")
 
 
-def some_members(hits: DataFrame, members: DataFrame) -> DataFrame:
+def some_members(hits: DataFrame, asks: DataFrame) -> DataFrame:
     """Pairs (u, v) of each asking class with a few members of the groups it hits: those of extreme sizes and keys."""
-    few = members.groupBy(F.col("grp").alias("g")).agg(
-        F.array_distinct(F.array(F.min("key"), F.max("key"), F.max_by("key", F.struct("n", "key")), F.min_by("key", F.struct("n", "key")))).alias("few")
+    own = F.struct("n", "key")
+    few = asks.groupBy(F.col("grp").alias("g")).agg(
+        F.array_distinct(F.array(F.min("key"), F.max("key"), F.max(own)["key"], F.min(own)["key"])).alias("few")
     )
     pairs = hits.join(few, "g").select("u", F.explode("few").alias("v"))
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def all_members(hits: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (u, v) of each asking class with every member, of a size that may link, of the groups it hits."""
-    inside = members.select(F.col("grp").alias("g"), F.col("key").alias("v"), F.col("n").alias("m"))
-    # where both have the same size, each asks for the other: one of the two is enough
-    return hits.join(inside, "g").filter("4 * m >= 3 * n AND m <= n").select(
-        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
-    ).distinct()
+def opened(hits: DataFrame, asks: DataFrame) -> DataFrame:
+    """Pairs (u, v) of each asking class with every member that has one of its tokens within reach, of the groups it hits."""
+    asking = asks.select(F.col("key").alias("u"), "token", "n", "at").join(hits.select("u", "g"), "u")
+    inside = asks.filter("7 * at <= n").select(F.col("grp").alias("g"), "token", F.col("key").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"))
+    fits = "m <= n AND " + WITHIN.format(i="at", n="n", j="j", m="m")
+    pairs = asking.join(inside, ["g", "token"]).filter(fits)
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def unsettled(hits: DataFrame, links: DataFrame, members: DataFrame) -> DataFrame:
-    """The hits whose two groups are not one component yet, as ``links`` and the groups have it."""
-    group = members.select("key", "grp")
-    ends = links.join(group.select(F.col("key").alias("u"), F.col("grp").alias("a")), "u").join(group.select(F.col("key").alias("v"), F.col("grp").alias("b")), "v")
-    whole = staged(hits.sparkSession, components(ends.select(F.col("a").alias("u"), F.col("b").alias("v"))), "settled")
+def unsettled(hits: DataFrame, links: DataFrame) -> DataFrame:
+    """The hits whose two groups are not one component yet, as ``links`` have it; grp and g stay the groups' first names, which are
+    the keys of members."""
+    whole = staged(hits.sparkSession, components(links), "settled")
     mine, theirs = whole.select(F.col("key").alias("grp"), F.col("label").alias("_x")), whole.select(F.col("key").alias("g"), F.col("label").alias("_y"))
     known = hits.join(mine, "grp", "left").join(theirs, "g", "left")
     return known.filter("coalesce(_x, grp) <> coalesce(_y, g)").drop("_x", "_y")
 
 
-def near_components(docs: DataFrame, row: str | None = None) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document. If ``row`` names the column of with_rows(), also row and kept:
-    of each component one row stays, of the smallest doc_id and then of the smallest number."""
+def all_links(docs: DataFrame, classes: DataFrame, rows: DataFrame, seed: int = 0, tally: list | None = None) -> DataFrame:
+    """Links (u, v) that give the same components as all links do. ``tally`` gets the name and the number of pairs of each step."""
     spark = docs.sparkSession
-    rows = described(docs, row)
-    own = rows.filter("token IS NULL").drop("token", "count")
+
+    def compared(name: str, pairs: DataFrame, tried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        pairs = staged(spark, pairs.join(tried, ["u", "v"], "left_anti") if tried is not None else pairs, "candidates")
+        if tally is not None:
+            tally.append((name, pairs.count()))
+        return linked(docs, classes, pairs, seed), pairs if tried is None else staged(spark, tried.union(pairs), "tried")
+
+    links, tried = compared("similar", similar_pairs(classes), None)
+    asks = labelled(rows, links)
+    left = asks.count()
+    while left:
+        found, tried = compared("round", holder_pairs(asks), tried)
+        if found.isEmpty():
+            break
+        links = staged(spark, links.union(found), "links")
+        asks = labelled(asks, links)
+        before, left = left, asks.count()
+        if left > LEFT * before:
+            break
+    if not left:
+        return links
+    hits = hits_of(asks)
+    found, tried = compared("few", some_members(hits, asks), tried)
+    links = links.union(found)
+    found, tried = compared("opened", opened(unsettled(hits, links), asks), tried)
+    return links.union(found)
+
+
+def described_classes(docs: DataFrame, row: str | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """``described`` rows, the stored classes and the seed of their hashes, with which no two sets share a key."""
     first_of = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
-    classes = own.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(first_of).alias("best"), F.first("n").alias("n"), F.first("sigs").alias("sigs"), F.first("sketch").alias("sketch"))
-    classes = staged(spark, classes, "classes")
-    near = linked(docs, classes, similar_pairs(classes))
-    groups = staged(spark, components(near), "similar")
-    shared = shared_rows(matrix_rows(docs, frequent_tokens(rows)))
-    hits, members = open_groups(shared, classes, groups)
-    hits = staged(spark, hits, "hits")
-    # most that link do so with one of a few members; only groups that stay apart are opened whole
-    first = linked(docs, classes, some_members(hits, members))
-    links = linked(docs, classes, all_members(unsettled(hits, first, members), members))
-    whole = components(near.union(first).union(links))
+    seed = 0
+    while True:
+        rows = described(docs, row, seed)
+        sizes = F.struct("n", "second")
+        classes = rows.filter("token IS NULL AND n > 0").groupBy("key").agg(
+            F.min("doc_id").alias("rep"), F.min(first_of).alias("best"), F.first("n").alias("n"), F.first("sigs").alias("sigs"),
+            F.first("sketch").alias("sketch"), (F.min(sizes) != F.max(sizes)).alias("clash"),
+        )
+        classes = staged(docs.sparkSession, classes, "classes")
+        if classes.filter("clash").isEmpty():
+            return rows, classes.drop("clash"), seed
+        seed += 1
+
+
+def near_components(docs: DataFrame, numbered: DataFrame | None = None, row: str | None = None, tally: list | None = None) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document. If ``numbered`` and ``row`` are the documents and the column of
+    with_rows(), also row and kept: of each component one row stays, of the smallest doc_id and then of the smallest number."""
+    spark = docs.sparkSession
+    rows, classes, seed = described_classes(docs if numbered is None else numbered, row)
+    own = rows.filter("token IS NULL").drop("token", "count")
+    shared = shared_rows(matrix_rows(docs, frequent_tokens(rows), seed))
+    whole = components(all_links(docs, classes, shared, seed, tally))
     firsts = staged(
         spark, classes.join(whole, "key", "left").select("key", "best", F.coalesce("label", "key").alias("label")), "labelled"
     )
@@ -478,8 +544,9 @@ def near_components(docs: DataFrame, row: str | None = None) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of each component the row with the smallest doc_id (null ids last, repeated rows once), with all its columns."""
     numbered, row = with_rows(docs)
-    gone = near_components(numbered, row).filter("NOT kept").select(F.col("row").alias(row))
-    return numbered.join(gone, row, "left_anti").select(*[numbered[c] for c in docs.columns])
+    gone = near_components(docs, numbered, row).filter("NOT kept").select(F.col("row").alias(row))
+    gone = staged(docs.sparkSession, gone, "near-copies")
+    return numbered.join(broadcast_within(gone), row, "left_anti").select(*[numbered[c] for c in docs.columns])
 
 
 def op7_ngram_join(spark, sf_dir):

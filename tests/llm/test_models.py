@@ -1,13 +1,14 @@
 """The quality classifier, personal data and the n-gram join; the whole pipeline."""
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
 import corpus_pipeline
-from llm_rows import LONG, ROWS
+from llm_rows import ROWS
 from orestrata.llm import ngram_join, pii, quality
+from orestrata.llm.mixing import mix
 
 
 def test_em_weighs_labellers_by_what_they_find():
@@ -147,6 +148,54 @@ def test_join_finds_every_component(copies, table, monkeypatch, frequent):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(brute_components(copies))
 
 
+def family(n, seed=11):
+    """A third near copies of one text, a third around one common passage, a third of their own."""
+    import random
+
+    chance = random.Random(seed)
+    word = lambda: f"w{chance.randrange(40_000)}"
+    base, passage = [word() for _ in range(70)], [word() for _ in range(60)]
+    rows = []
+    for i in range(n):
+        if i % 3 == 0:
+            own = list(base)
+            for _ in range(chance.randint(0, 3)):
+                own[chance.randrange(len(own))] = word()
+        elif i % 3 == 1:
+            own = [word() for _ in range(chance.randint(0, 14))] + passage + [word() for _ in range(chance.randint(0, 6))]
+        else:
+            own = [word() for _ in range(40)]
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_pairs_grow_with_the_rows_not_their_square(table):
+    pairs = []
+    for n in (600, 1200, 2400):
+        tally, rows = [], family(n)
+        found = ngram_join.near_components(table(rows), tally=tally).collect()
+        if n == 600:
+            assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(brute_components(rows))
+        pairs.append(sum(c for _, c in tally))
+        assert all(c <= 4 * n for _, c in tally), tally
+    assert pairs[1] <= 2.3 * pairs[0] and pairs[2] <= 2.3 * pairs[1], pairs
+
+
+def test_classes_that_share_a_hash_are_told_apart(copies, table, monkeypatch):
+    described, seeds = ngram_join.described, []
+
+    def clashing(docs, row=None, seed=0):
+        seeds.append(seed)
+        found = described(docs, row, seed)
+        return found.withColumn("key", found["key"] % 5) if seed == 0 else found
+
+    monkeypatch.setattr(ngram_join, "described", clashing)
+    rows = copies[:120]
+    found = ngram_join.near_components(table(rows)).collect()
+    assert seeds == [0, 1]
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(brute_components(rows))
+
+
 def test_join_on_odd_rows(edge, none, monkeypatch):
     monkeypatch.setattr(ngram_join, "CHUNK_CHARS", 50)
     found = ngram_join.near_components(edge).collect()
@@ -154,7 +203,7 @@ def test_join_on_odd_rows(edge, none, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == sorted(brute_components(rows), key=str)
     assert ngram_join.near_components(none).count() == 0
     one = ngram_join.one_of_each(edge)
-    assert one.columns == edge.columns and {r.doc_id for r in one.collect()} == {3, 1, 2, None, 4, 5, 8, 9, 12}
+    assert one.columns == edge.columns and {r.doc_id for r in one.collect()} == {3, 1, 2, None, 4, 5, 8, 9, 12, 13}
 
 
 def test_one_of_each_tells_rows_apart(table):
@@ -170,6 +219,18 @@ def test_one_of_each_tells_rows_apart(table):
     assert nameless[:2] == ["", ""] and len(nameless) == 3 and nameless[2] in (d, near[3])
 
 
+def test_shared_rows_across_batches(spark):
+    rows = [(t, k, (k + 9 << 32) + t) for t in range(40) for k in range(t % 4) for _ in range(1 + (t + k) % 3)]
+    df = spark.createDataFrame(rows, "token LONG, key LONG, packed LONG")
+    expected = Counter((t, k, k + 9, t) for t in range(40) if t % 4 > 1 for k in range(t % 4))
+    for size in (1, 2, 3, 1000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert Counter(tuple(r) for r in ngram_join.shared_rows(df).select("token", "key", "n", "at").collect()) == expected
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(1, 200)] + [(5, 5)]
     df = spark.createDataFrame(edges, "u LONG, v LONG")
@@ -194,7 +255,11 @@ def test_pipeline_stages(spark, sf_dir):
         elif name == "near dedup":
             had = sorted((r.doc_id, r.text) for r in before.collect())
             assert sorted(ids) == sorted({c for _, _, c in brute_components(had)})
+        elif name == "mixing":
+            # as many copies as the mix of the same rows asks for
+            taken = {r.doc_id: int(r.taken / r.size + 0.5) if r.size else 0 for r in mix(before).collect()}
+            assert Counter(ids) == +Counter(taken)
         elif name == "packing":
             assert set(ids) == {r.doc_id for r in before.collect()}
         assert name == "packing" or frame.columns == columns
-    assert sum(len(t) > len(LONG) for t in rows.values()) >= 0
+    assert rows and len(ids) > 0
