@@ -35,7 +35,8 @@ def write_flat_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int =
     files.create_dir(root, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, out, n = encoder(tokenizer).encode_bytes, None, 0
+        # the end id marks ends only, whatever a text says
+        encode, out, n = encoder(tokenizer, plain=True).encode_bytes, None, 0
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
             if batch.num_rows and out is None:

@@ -93,9 +93,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             {"part": [part], "file": [name], "n_docs": [len(ids)], "n_tokens": [int(sum(counts))], "n_bytes": [size]},
         )
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc()]
-    by_id = docs.select("doc_id", text_of().alias("text"))
-    by_id = by_id.repartitionByRange(order[0]).sortWithinPartitions(*order)
+    # rows of one id, or of none, are told apart by a hash, so that they may fill several ranges
+    by_id = docs.select("doc_id", text_of().alias("text")).withColumn("turn", F.xxhash64("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("turn").asc()]
+    by_id = by_id.repartitionByRange(*order).sortWithinPartitions(*order).drop("turn")
     return staged(spark, by_id.transform(in_arrow, write, "part long, file string, n_docs long, n_tokens long, n_bytes long"), "token-files")
 
 

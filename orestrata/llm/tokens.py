@@ -57,13 +57,14 @@ def _visible_bytes() -> dict[int, int]:
 
 
 class Encoder:
-    """``encode(texts)`` gives an array of uint32 ids for each text; strings of special tokens are ordinary text."""
+    """``encode(texts)`` gives an array of uint32 ids for each text, as the library does. ``plain`` says that strings of special
+    tokens are ordinary text; without it, which is the library's default, they become the special ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = plain
         self.lower = json.loads(Path(path).read_text())["normalizer"] is not None
         self.split = (LOWER_WORDS if self.lower else BYTE_LEVEL).findall
         self.visible = _visible_bytes()
@@ -122,11 +123,11 @@ class Encoder:
         return [np.frombuffer(self.encode_bytes(t), dtype="<u4") for t in texts]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per Python worker and file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, plain: bool = False) -> Encoder:
+    """One per Python worker, file and kind, kept between tasks."""
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = Encoder(path, plain)
+    return _ENCODERS[path, plain]

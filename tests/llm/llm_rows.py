@@ -13,6 +13,7 @@ ROWS = [
     (5, LONG),
     (6, LONG + " tail"),
     (8, "Ünï É é ß 日本 <|endoftext|> é   x y"),
+    (13, "a <|endoftext|> b<|startoftext|>c <|EndOfText|> <|"),
     (9, "one two three"),
     (11, "one TWO three"),
     (12, "mail a.b@c.de or +1 (415) 555-0100, 4111 1111 1111 1111 at 10.0.0.255 and 1.2.3.999"),

@@ -18,9 +18,11 @@ from orestrata.llm.tokens import Encoder
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
 
-def library(path):
+def library(path, plain=False):
+    """The library as it is loaded, or with the strings of special tokens as ordinary text."""
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    if plain:
+        tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -28,9 +30,10 @@ ODD = ["", " ", "\n", "a ", " a", "a\n\n\nb", "a  b \n c", "it's HE'LL 3²½ x_y
        "<|endoftext|><|startoftext|>", "日本語 \U0001f600", "#$%!! ,.;: ''", "ªº", "İstanbul ŉ ǅ"]
 
 
+@pytest.mark.parametrize("plain", [False, True])
 @pytest.mark.parametrize("path", [BYTES, WORDS])
-def test_cached_words_give_the_library_s_ids(path, copies):
-    own, theirs = Encoder(path), library(path)
+def test_cached_words_give_the_library_s_ids(path, plain, copies):
+    own, theirs = Encoder(path, plain), library(path, plain)
     chance = random.Random(3)
     made = ["".join(chance.choice("ab ,.'\n1Zé-") for _ in range(chance.randint(0, 60))) for _ in range(400)]
     texts = [t for _, t in ROWS if t is not None and len(t) < 5000] + ODD + made + [t for _, t in copies[:40]]
@@ -74,6 +77,22 @@ def test_token_files_of_another_dictionary_are_refused(spark, edge, table):
         files.TokenFile(folder, name)
 
 
+def test_special_strings_follow_the_library():
+    assert Encoder(BYTES).encode(["a <|endoftext|> b"])[0].tolist() == [64, 220, 50256, 275]
+    assert Encoder(WORDS).encode(["a <|endoftext|> b"])[0].tolist() == [320, 49407, 321]
+    assert 50256 not in Encoder(BYTES, plain=True).encode(["a <|endoftext|> b"])[0]
+
+
+def test_rows_without_an_id_fill_several_files(spark, table):
+    rows = [(None, f"text {n} " * 40) for n in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = files.write_token_files(table(rows), new_folder(spark, "tokens"), BYTES)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert manifest.count() > 1 and max(r.n_docs for r in manifest.collect()) < 250
+
+
 def check_plan(counts, capacity):
     slots, made = plan_slots(counts, capacity)
     seen = {n: [] for n in counts}
@@ -135,7 +154,7 @@ def test_counts_are_found_over_any_blocks(spark, edge, block):
     rows = edge.filter("length(text) < 1000 OR text IS NULL") if block < 100 else edge
     stored = counting.write_flat_files(rows, folder, WORDS)
     found = stored.join(counting.scan_flat_files(stored, folder, block_bytes=block), ["file", "ordinal"]).collect()
-    theirs = library(WORDS)
+    theirs = library(WORDS, plain=True)
     want = [(i, len(theirs(t))) for i, t in ROWS if block >= 100 or len(t or "") < 1000]
     assert sorted(((r.doc_id, r.n_tokens) for r in found), key=str) == sorted(want, key=str)
 
@@ -150,4 +169,4 @@ def test_counting_needs_no_index(spark, edge):
     store, root = counting.store(folder)
     sizes = stored.select("file").distinct().withColumn("n", F.lit(0)).collect()
     total = sum(store.get_file_info(f"{root}/{r.file}").size for r in sizes)
-    assert total == 2 * sum(len(library(WORDS)(t)) + 1 for _, t in ROWS)
+    assert total == 2 * sum(len(library(WORDS, plain=True)(t)) + 1 for _, t in ROWS)
