@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from orestrata.llm.common import ROW_BITS, lower_ascii, text_of, with_rows
 from orestrata.session import staged
+from orestrata.sources.sizing import broadcast_within
 
 FAN_IN_BITS = 3
 IDENTITY = ["digest", "n_bytes", "second"]
@@ -70,10 +71,11 @@ def exact_groups(docs: DataFrame, keep: str = "largest", row: str | None = None)
 
 
 def without_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """The documents that stay, with all their columns: one row of each text, whatever its doc_id."""
+    """The documents that stay, with all their columns: one row of each text, whatever its doc_id. Texts move only if the
+    numbers of the rows that go are too many to broadcast."""
     numbered, row = with_rows(docs)
-    gone = exact_groups(numbered, keep, row).filter("NOT kept").select(F.col("row").alias(row))
-    return numbered.join(gone, row, "left_anti").select(*[numbered[c] for c in docs.columns])
+    gone = staged(docs.sparkSession, exact_groups(numbered, keep, row).filter("NOT kept").select(F.col("row").alias(row)), "copies")
+    return numbered.join(broadcast_within(gone), row, "left_anti").select(*[numbered[c] for c in docs.columns])
 
 
 def op1_exact_dedup(spark, sf_dir):

@@ -61,12 +61,12 @@ def position(part: Column, slope: Column) -> Column:
     return F.when(a == 0, part).otherwise(bent)
 
 
-def mix(
+def placed_documents(
     docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, share: float = SHARE, most: float = MOST, row: str | None = None
 ) -> DataFrame:
-    """One row for each document, range-sorted by its first position: doc_id, source, size, source_size, target, taken
-    (words, repeats counted), first_position and again_position (null where it isn't taken so often). If ``row`` names the
-    column of with_rows(), also row."""
+    """Stored, one row for each document: doc_id, source, size, source_size, target, taken (words, repeats counted),
+    first_position and again_position (null where it isn't taken so often). If ``row`` names the column of with_rows(),
+    also row."""
     spark = docs.sparkSession
     number = [F.col(row).alias("row")] if row else []
     sized = docs.select(
@@ -78,6 +78,8 @@ def mix(
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("turn"),
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key"),
     )
+    # the words are counted once, not again for the sort's sample
+    sized = staged(spark, sized, "sizes")
     rows = staged_in_order(sized, [F.col("key"), F.col("turn"), F.col("doc_id"), F.col("size"), *[F.col("row") for _ in number]], "streams")
     parts = staged(spark, rows.groupBy("key", "source", "part").agg(F.sum("size").alias("words")), "stream-parts")
     targets = source_targets(parts.groupBy("key", "source").agg(F.sum("words").alias("source_size")), weights, share, most)
@@ -114,33 +116,42 @@ def mix(
             F.when(F.col("_again") > 0, middle(F.col("_start") + F.col("source_size"), F.col("_again"))).alias("again_position"),
         )
     )
-    placed = staged(spark, placed, "mix")
+    return staged(spark, placed, "mix")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``placed_documents``, range-sorted by the first position."""
     order = [F.col("first_position").asc_nulls_last(), F.col("doc_id")]
-    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return placed_documents(docs, **options).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents with all their columns: as many copies of each as are nearest to its taken words, sorted by
-    training position. Rows are told apart by a stored number, whatever their doc_id."""
+    training position. Rows are told apart by a stored number, whatever their doc_id.
+
+    The plan, some numbers for each copy, is sorted and cut into parts of equal words before any text is touched; texts move
+    once, each to its part, as long as the plan is small enough to be broadcast, and twice beyond that."""
+    spark = docs.sparkSession
     numbered, row = with_rows(docs)
-    plan = mix(numbered, **options, row=row).select(
-        F.col("row").alias("_at"),
-        F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).alias("_copies"),
-        "first_position",
-        "again_position",
-    )
-    copies = plan.filter("_copies > 0").select(
-        F.col("_at").alias(row),
-        F.explode(
-            F.slice(
-                F.array(F.col("first_position"), F.coalesce(F.col("again_position"), F.col("first_position"))),
-                F.lit(1),
-                F.col("_copies").cast("int"),
-            )
-        ).alias("_position"),
+    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
+    again = F.coalesce(F.col("again_position"), F.col("first_position"))
+    taken = placed_documents(numbered, **options, row=row).select("row", "size", F.slice(F.array("first_position", again), F.lit(1), copies).alias("at"))
+    ordered = staged_in_order(taken.select("row", "size", F.posexplode("at").alias("nth", "position")), [F.col(c) for c in ("position", "row", "nth")], "training-order")
+    sums = staged(spark, ordered.groupBy("part").agg(F.sum("size").alias("words")), "training-parts")
+    total = sums.agg(F.sum("words")).first()[0] or 1
+    # one row for each range of the sort
+    before = sums.select("part", F.coalesce(F.sum("words").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    inside = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    begin = F.col("before") + F.sum("size").over(inside) - F.col("size")
+    places = ordered.join(broadcast_within(before), "part").select(
+        F.col("row").alias(row), F.col("position").alias("_position"), "nth", F.floor(begin * parts / F.lit(float(total))).cast("int").alias("_part")
     )
-    placed = numbered.join(copies, row)
-    return placed.repartitionByRange("_position").sortWithinPartitions("_position").select(*[numbered[c] for c in docs.columns])
+    places = staged(spark, places.withColumnRenamed("nth", "_nth"), "training-places")
+    kept = [numbered[c] for c in docs.columns]
+    placed = numbered.join(broadcast_within(places), row)
+    order = [places["_position"], numbered[row], places["_nth"]]
+    return placed.repartitionById(parts, places["_part"]).sortWithinPartitions(*order).select(*kept)
 
 
 def op8_curriculum_mix(spark, sf_dir):
