@@ -20,7 +20,7 @@ from orestrata.plans.exports import export_csv, export_summary
 from orestrata.plans.medallion import acceptance, refresh, report
 from orestrata.plans.tables import Tables, read_table
 from orestrata.plans.twins import parity, sql_answer
-from orestrata.session import scratch, staged
+from orestrata.session import delete_folder, scratch, staged
 from orestrata.sources.contracts import FileContract, PageContract
 from orestrata.sources.delimited import number_rows, read_delimited, require_headers, require_lines
 from orestrata.sources.inventory import content_inventory
@@ -573,6 +573,50 @@ def revised_orders(spark, sf_dir):
     return _typed_orders(snapshot_records(spark, store))
 
 
+@query(
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority || chr(10) || chr(10) || '"' || o_orderstatus || '"' || chr(9) || o_comment
+              WHEN o_orderkey % 3 = 1 THEN o_comment ELSE o_orderpriority END AS note
+       FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, 'of ' || o_orderdate AS o_comment FROM orders)"""
+)
+def quoted_orders(spark, sf_dir):
+    """Orders landed with notes that hold line breaks, blank lines, quotes and separators, taken in by one ingest."""
+    landing, store = scratch(spark, "landing"), scratch(spark, "store")
+    comment = F.concat(F.lit("of "), F.col("o_orderdate").cast("string"))
+    broken = F.concat("o_orderpriority", F.lit('\n\n"'), "o_orderstatus", F.lit('"\t'), comment)
+    note = F.when(F.col("o_orderkey") % 3 == 0, broken).when(F.col("o_orderkey") % 3 == 1, comment).otherwise(F.col("o_orderpriority"))
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", note.alias("note"))
+    orders.write.option("header", "true").option("sep", "\t").option("escape", '"').csv(landing)
+    files = (FileContract("orders", r"part-.*\.csv", ("o_orderkey", "o_custkey", "note")),)
+    ingest(spark, landing, store, files)
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint"}
+    spec = [Text(c) for c in (*types, "note")] + [Cast(c, of=c, to=kind) for c, kind in types.items()]
+    return conform(snapshot_records(spark, store), spec)
+
+
+def _damage(spark, store):
+    """Lose one part file of the store's records, and put another one there twice."""
+    records = spark.read.parquet(f"{store}/records").select(F.col("_metadata.file_path").alias("path"), F.length("object_id"))
+    lost, doubled = (r.path for r in records.groupBy("path").count().orderBy("path").limit(2).collect())
+    folder = doubled.rsplit("/", 1)[0]
+    spark.read.parquet(doubled).write.mode("append").parquet(folder)
+    delete_folder(spark, lost)
+
+
+@query(_ORDERS)
+def repaired_orders(spark, sf_dir):
+    """Orders taken in, a part of the store lost and another doubled, and taken in again: unchanged files, mended rows."""
+    landing, store = scratch(spark, "landing"), scratch(spark, "store")
+    files = (FileContract("orders", r"part-.*\.csv", ORDER_COLUMNS),)
+    orders = _t(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(14,2)"))
+    _land(orders.repartition(6, "o_orderkey"), landing)
+    ingest(spark, landing, store, files)
+    _damage(spark, store)
+    again = ingest(spark, landing, store, files)
+    if again.changed or not again.repaired:
+        raise AssertionError("the damage went unnoticed")
+    return _typed_orders(snapshot_records(spark, store))
+
+
 ORDER_PAGES = PageContract(
     "orders",
     r".*",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orestrata.functions.text import WHITESPACE, strip
+from orestrata.session import staged
 from orestrata.sources.contracts import FileContract, SchemaDrift, kind_of, told
 from orestrata.sources.sizing import broadcast_within
 
@@ -15,10 +16,16 @@ from orestrata.sources.sizing import broadcast_within
 # the malformed-record column.
 _NO_SEPARATOR = "\u0001"
 
+#: A record of more characters is not put together; the cell limit of the standard library is far below.
+RECORD_CHARS = 1 << 24
+
 # Possessive, so that a cell with very many doubled quotes is matched in a loop, not by recursion.
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
 
 
+OPEN_QUOTE = "open quote"
+
+
 @dataclass(frozen=True)
 class DelimitedRead:
     """``headers``: one row per file with its parsed header and ``problem``.
@@ -113,25 +120,104 @@ def data_lines(spark: SparkSession, paths: str | Sequence[str], separator: str =
     )
 
 
+def quoted_records(spark: SparkSession, paths: str | Sequence[str], separator: str = "\t") -> DataFrame:
+    """(path, block, seq, line) as :func:`data_lines` gives them, for files whose quoted cells may hold line breaks.
+
+    Whether a line begins inside a quoted cell depends on all lines before it, and splits are read apart. So each line is
+    looked at for both cases: it is a function of the state (outside or inside a quoted cell) before it to the one after it,
+    and such functions compose. Within a split, a running composition is the value at the last line that forgets the state
+    before it, turned by the lines since that turn it. The splits' own compositions, one row each, are composed along the
+    file, which gives every split its true beginning. Records of one line pass as they are; the lines of longer ones meet by
+    the place where their record begins, which may lie in an earlier split.
+
+    Line breaks within a cell are kept as they are. A record of more than ``RECORD_CHARS`` characters, or one that the file
+    ends in, is given as its first line, whose quote is open.
+    """
+    line = F.col("line")
+    raw = (
+        spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("seq"),
+            F.col("value").alias("line"),
+        )
+    )
+    # numbered once, and read again below
+    lines = staged(spark, raw, "quoted-lines")
+    in_split = Window.partitionBy("path", "block").orderBy("seq")
+    nth = F.row_number().over(in_split)
+    is_header = (F.col("block") == 0) & (nth == 1)
+    from_outside = F.when(is_header, F.lit(False)).otherwise(_open_quote(line, separator))
+    from_inside = F.when(line.contains('"'), _open_quote(F.concat(F.lit('"'), line), separator)).otherwise(True)
+    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    looked_at = lines.withColumns({"is_header": is_header, "_a": from_outside.cast("int"), "_b": from_inside.cast("int")})
+    turned = looked_at.withColumn("_turns", F.sum(F.when((F.col("_a") == 1) & (F.col("_b") == 0), 1).otherwise(0)).over(so_far))
+    held = F.last(F.when(F.col("_a") == F.col("_b"), F.struct(F.col("_a").alias("state"), "_turns")), ignorenulls=True).over(so_far)
+    composed = turned.withColumn("_held", held).select(
+        "path", "block", "seq", "line", "is_header",
+        F.struct(
+            F.col("_held").isNotNull().alias("fixed"),
+            ((F.coalesce("_held.state", F.lit(0)) + F.col("_turns") - F.coalesce("_held._turns", F.lit(0))) % 2).alias("state"),
+        ).alias("after"),
+    )
+    marked = staged(spark, composed.withColumn("before", F.lag("after").over(in_split)), "quoted-states")
+
+    # one row for each split from here to ``begun``
+    splits = marked.groupBy("path", "block").agg(F.max_by("after", "seq").alias("after"))
+    along = Window.partitionBy("path").orderBy("block")
+    all_before = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turns = F.sum(F.when(F.col("after.fixed"), 0).otherwise(F.col("after.state"))).over(all_before)
+    fixed = F.last(F.when(F.col("after.fixed"), F.struct(F.col("after.state").alias("state"), "_turns")), ignorenulls=True).over(all_before)
+    scanned = splits.withColumn("_turns", turns).withColumn("_held", fixed)
+    reached = (F.coalesce("_held.state", F.lit(0)) + F.col("_turns") - F.coalesce("_held._turns", F.lit(0))) % 2
+    begun = staged(spark, scanned.select("path", "block", F.coalesce(F.lag(reached).over(along), F.lit(0)).alias("begin")), "split-states")
+
+    state = lambda c: F.when(F.col(f"{c}.fixed"), F.col(f"{c}.state")).otherwise((F.coalesce(f"{c}.state", F.lit(0)) + F.col("begin")) % 2)
+    known = marked.join(broadcast_within(begun), ["path", "block"]).withColumns({"inside": state("before"), "open": state("after")})
+    known = known.filter(~F.col("is_header")).select("path", "block", "seq", "line", "inside", "open")
+    single = known.filter("inside = 0 AND open = 0").select("path", "block", "seq", "line")
+    several = staged(spark, known.filter("inside = 1 OR open = 1"), "broken-lines")
+    own = F.last(F.when(F.col("inside") == 0, F.col("seq")), ignorenulls=True).over(so_far)
+    last_start = several.filter("inside = 0").groupBy("path", "block").agg(F.max("seq").alias("last"))
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.when(F.col("last").isNotNull(), F.struct("block", F.col("last").alias("seq")))
+    carried = begun.join(last_start, ["path", "block"], "left").select("path", "block", F.last(start, ignorenulls=True).over(earlier).alias("carried"))
+    placed = several.withColumn("_own", own).join(broadcast_within(staged(spark, carried, "carried")), ["path", "block"])
+    record = F.when(F.col("_own").isNotNull(), F.struct("block", F.col("_own").alias("seq"))).otherwise(F.col("carried"))
+    placed = staged(spark, placed.select("path", record.alias("record"), "block", "seq", "line"), "broken-records")
+    lengths = placed.groupBy("path", "record").agg(F.sum(F.length("line") + 1).alias("_chars"))
+    # of a record that is too long only the first line is kept
+    short = placed.join(lengths, ["path", "record"]).filter((F.col("_chars") <= RECORD_CHARS) | (F.struct("block", "seq") == F.col("record")))
+    parts = F.array_sort(F.collect_list(F.struct("block", "seq", "line")))
+    stitched = short.groupBy("path", "record").agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line"))
+    whole = single.unionByName(stitched.select("path", "record.block", "record.seq", "line"))
+    whole = whole.withColumn("line", F.regexp_replace("line", r"\r\z", "")).filter(~_is_blank(line, separator))
+    return whole.withColumn("seq", F.row_number().over(in_split).cast("bigint"))
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
     inventory: DataFrame,
     contracts: Sequence[FileContract],
     separator: str = "\t",
+    line_breaks: bool = False,
 ) -> DelimitedRead:
     """Parse the files of ``inventory`` (see ``content_inventory``) that have a contract.
 
     A line's header is found by its file's path: the headers are broadcast if they are counted and
-    fit, else shuffled. No record may span lines; an open quote is a problem, not a guess.
+    fit, else shuffled. Without ``line_breaks`` each line is a record, and an open quote is a problem; with it, quoted cells
+    may hold line breaks, at the price of two shuffles of the lines.
     """
     headers = parsed_headers(inventory, contracts, separator)
     side = headers.filter(F.col("problem").isNull()).select("path", "source_name", "object_id", "kind", "columns")
-    lines = data_lines(spark, paths, separator).join(broadcast_within(side), "path")
+    found = (quoted_records if line_breaks else data_lines)(spark, paths, separator)
+    lines = found.join(broadcast_within(side), "path")
     width = F.size("columns")
     surplus = F.slice(F.col("_cells"), width + 1, F.greatest(F.size("_cells") - width, F.lit(0)))
     problem = (
-        F.when(_open_quote(F.col("line"), separator), F.lit("open quote"))
+        F.when(_open_quote(F.col("line"), separator), F.lit(OPEN_QUOTE))
         .when(F.size("_cells") < width, F.lit("wrong field count"))
         .when(F.exists(surplus, lambda c: c != ""), F.lit("wrong field count"))
     )
@@ -190,10 +276,14 @@ def number_rows(df: DataFrame, file: str = "object_id", block: str = "block", se
     )
 
 
-def split_starts(df: DataFrame, file: str = "object_id", block: str = "block", seq: str = "seq") -> DataFrame:
-    """(file, block, first, before, n_rows): a split's first ``seq`` and the rows of the file's earlier splits."""
-    splits = df.groupBy(file, block).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n_rows"))
+def split_starts(
+    df: DataFrame, file: str = "object_id", block: str = "block", seq: str = "seq", more: Sequence[Column] = ()
+) -> DataFrame:
+    """(file, block, first, before, n_rows, more..): a split's first ``seq``, the rows of the file's earlier splits, and ``more``
+    aggregates of the split's rows."""
+    splits = df.groupBy(file, block).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n_rows"), *more)
+    extra = [c for c in splits.columns if c not in (file, block, "first", "n_rows")]
     before = F.sum("n_rows").over(
         Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ) - F.col("n_rows")
-    return splits.select(file, block, "first", before.alias("before"), "n_rows")
+    return splits.select(file, block, "first", before.alias("before"), "n_rows", *extra)

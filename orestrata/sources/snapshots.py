@@ -2,14 +2,21 @@
 
 Folder layout below ``store`` (all Parquet):
 
-``records/batch=<id>/kind=<kind>``  parsed rows of the objects that were new in a batch
+``records/batch=<id>/kind=<kind>``  parsed rows of the objects that were new in a batch, each with a hash of its content
 ``splits/batch=<id>``               where the rows of each split of a delimited file begin
-``objects``                         one row per stored object: (batch, object_id, .., n_rows)
+``objects``                         one row per stored object: (batch, object_id, .., n_rows, checksum)
+``verified``                        batches that were found damaged, with the number of rows they were found with
 ``inventory/snapshot_id=<id>``      one row per active source of a snapshot
 ``commits``                         one row per published snapshot; the last write of a run
 
 Readers start from ``commits``, and rows count only once ``objects`` names their batch, which is written after the
 landed files were found unchanged. A run that stops half-way leaves nothing visible.
+
+An object's checksum is the number of its rows and the sum of their hashes. It doesn't depend on order or on how rows lie
+in files, so it is added up from the pass that writes the rows, and anything that is lost, doubled, moved to another
+object or altered changes it. Every ingest compares the rows of a batch as the file footers count them, and where that
+number is not the one stated, the checksums of the batch's objects; ``verify`` compares all checksums. Objects that differ
+are parsed again from their landed files.
 """
 from __future__ import annotations
 
@@ -19,13 +26,13 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.operators.quality import Rule, check
 from orestrata.session import delete_folder, literal_rows, side_by_side, staged, time_ordered_id
 from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift, kind_of, told
-from orestrata.sources.delimited import read_delimited, require_headers, split_starts
+from orestrata.sources.delimited import OPEN_QUOTE, DelimitedRead, read_delimited, require_headers, split_starts
 from orestrata.sources.inventory import content_inventory, listing, path_batches
 from orestrata.sources.json_pages import exploded_pages, page_documents
 from orestrata.sources.sizing import broadcast_within
@@ -34,13 +41,14 @@ INVENTORY_SCHEMA = (
     "source_name STRING, location STRING, sha256 STRING, object_id STRING, kind STRING, bytes BIGINT, "
     "modified TIMESTAMP, header STRING, is_utf8 BOOLEAN, status STRING, snapshot_id STRING"
 )
-OBJECTS_SCHEMA = "batch STRING, object_id STRING, source_name STRING, sha256 STRING, kind STRING, n_rows BIGINT"
+OBJECTS_SCHEMA = "batch STRING, object_id STRING, source_name STRING, sha256 STRING, kind STRING, n_rows BIGINT, checksum DECIMAL(38,0)"
+VERIFIED_SCHEMA = "batch STRING, n_rows BIGINT"
 COMMITS_SCHEMA = (
     "snapshot_id STRING, committed_at STRING, files BIGINT, added BIGINT, changed BIGINT, unchanged BIGINT, deleted BIGINT"
 )
 RECORDS_SCHEMA = (
     "object_id STRING, source_name STRING, row_number BIGINT, block BIGINT, seq BIGINT, fields MAP<STRING, STRING>, "
-    "batch STRING, kind STRING"
+    "row_hash BIGINT, batch STRING, kind STRING"
 )
 SPLITS_SCHEMA = "object_id STRING, block BIGINT, first BIGINT, before BIGINT, batch STRING"
 
@@ -58,6 +66,8 @@ class IngestResult:
     changed: bool
     snapshot_id: str | None
     counts: dict[str, int] = field(default_factory=dict)
+    #: stored objects that were damaged and have been stored again
+    repaired: int = 0
 
 
 # --- operators on inventories -----------------------------------------------------------------
@@ -173,22 +183,46 @@ def snapshot_records(spark: SparkSession, store: str, snapshot_id: str | None =
     )
 
 
-def _missing_rows(spark: SparkSession, store: str, objects: DataFrame) -> DataFrame:
-    """Objects of ``objects`` whose stored rows have gone.
+def row_hash() -> Column:
+    """A hash of a stored row's content and place, the same whenever it is taken."""
+    cells = F.to_json("fields", {"ignoreNullFields": "false"})
+    return F.xxhash64("object_id", "source_name", "row_number", F.coalesce("block", F.lit(-1)), F.coalesce("seq", F.lit(-1)), cells)
 
-    Row counts per batch come from the file footers; only where they differ from the registry are
-    the object ids themselves read.
-    """
-    records = _table(spark, f"{store}/records", RECORDS_SCHEMA)
-    stated = objects.groupBy("batch").agg(F.sum("n_rows").alias("_stated"))
-    found = records.groupBy("batch").agg(F.count(F.lit(1)).alias("_found"))
-    damaged = stated.join(found, "batch", "left").filter(F.col("_stated") != F.coalesce("_found", F.lit(0)))
-    damaged = staged(spark, damaged.select("batch"), "damaged")
-    if damaged.isEmpty():
-        return objects.limit(0)
-    present = records.join(broadcast_within(damaged), "batch", "left_semi").select("batch", "object_id").distinct()
-    doubtful = objects.filter(F.col("n_rows") > 0).join(damaged, "batch", "left_semi")
-    return doubtful.join(present, ["batch", "object_id"], "left_anti")
+
+def checksum(hashes: Column) -> Column:
+    """The sum of hashes; wide enough for any number of rows."""
+    return F.sum(hashes.cast("decimal(28,0)")).cast("decimal(38,0)")
+
+
+def suspect_batches(spark: SparkSession, store: str, every: bool = False) -> DataFrame:
+    """(batch, n_rows found) of batches whose rows, as file footers count them, are not those that the registry states, unless they
+    were found with that number and mended before. ``every``: all batches."""
+    stated = _table(spark, f"{store}/objects", OBJECTS_SCHEMA).groupBy("batch").agg(F.sum("n_rows").alias("_stated"))
+    counted = _table(spark, f"{store}/records", RECORDS_SCHEMA).groupBy("batch").agg(F.count(F.lit(1)).alias("_found"))
+    known = _table(spark, f"{store}/verified", VERIFIED_SCHEMA).select("batch", F.col("n_rows").alias("_found"), F.lit(True).alias("_known"))
+    found = F.coalesce("_found", F.lit(0))
+    both = stated.join(counted, "batch", "left").select("batch", "_stated", found.alias("_found"))
+    odd = F.lit(True) if every else (F.col("_stated") != F.col("_found")) & F.col("_known").isNull()
+    return both.join(known.distinct(), ["batch", "_found"], "left").filter(odd).select("batch", F.col("_found").alias("n_rows"))
+
+
+def damaged_objects(spark: SparkSession, store: str, suspects: DataFrame) -> DataFrame:
+    """The stored objects, in the batches ``suspects``, whose rows are not those that were written: other in number, content or
+    place, or without the splits that number them."""
+    batches = suspects.select("batch")
+    rows = _table(spark, f"{store}/records", RECORDS_SCHEMA).join(broadcast_within(batches), "batch", "left_semi")
+    found = rows.groupBy("batch", "object_id").agg(
+        F.count(F.lit(1)).alias("_rows"), checksum(row_hash()).alias("_sum"), F.count("block").alias("_in_splits")
+    )
+    splits = _table(spark, f"{store}/splits", SPLITS_SCHEMA.replace("batch", "n_rows BIGINT, batch")).join(batches, "batch", "left_semi")
+    numbered = splits.groupBy("batch", "object_id").agg(F.sum("n_rows").alias("_numbered"))
+    stated = stored_objects(spark, store).join(batches, "batch", "left_semi")
+    both = stated.join(found, ["batch", "object_id"], "left").join(numbered, ["batch", "object_id"], "left")
+    zero = F.lit(0)
+    # rows that were stored before there were checksums state none
+    other_sum = F.col("checksum").isNotNull() & (F.col("checksum") != F.coalesce("_sum", zero))
+    odd = (F.col("n_rows") != F.coalesce("_rows", zero)) | other_sum | (F.coalesce("_in_splits", zero) != F.coalesce("_numbered", zero))
+    return both.filter(odd).select(*stated.columns)
 
 
 # --- ingest -----------------------------------------------------------------------------------
@@ -201,11 +235,14 @@ def ingest(
     files: Sequence[FileContract],
     pages: Sequence[PageContract] = (),
     reread: bool = False,
+    verify: bool = False,
 ) -> IngestResult:
     """Bring the store up to the landed files and publish a snapshot if anything changed.
 
     Files whose size and modification time are those of the previous snapshot are not read again. ``reread`` reads and
-    hashes all of them, for stores that don't keep modification times apart.
+    hashes all of them, for stores that don't keep modification times apart. ``verify`` recomputes the checksums of all
+    stored objects, not only of those in batches whose number of rows is wrong. A damaged object is stored again from its
+    landed file; one whose file has gone is no longer part of the newest snapshot and stays as it is.
     """
     previous = latest_snapshot(spark, store)
     old = inventory_at(spark, store, previous)
@@ -222,13 +259,18 @@ def ingest(
         lambda: staged(spark, diff_inventory(old, new), "diff"),
     )
 
-    def missing_objects() -> DataFrame:
+    def missing_objects() -> tuple[DataFrame, DataFrame | None, int]:
         known = stored_objects(spark, store)
-        known = known.join(_missing_rows(spark, store, known).select("object_id"), "object_id", "left_anti")
         wanted = new.filter(F.col("kind").isNotNull())
-        return staged(spark, write_once(wanted, known, "object_id", "sha256"), "todo")
-
-    per_status, todo = side_by_side(spark, lambda: status.groupBy("status").count().collect(), missing_objects)
+        suspects = staged(spark, suspect_batches(spark, store, verify), "suspects")
+        damaged, n = None, 0
+        if not suspects.isEmpty():
+            damaged = staged(spark, damaged_objects(spark, store, suspects), "damaged")
+            n = damaged.join(wanted, "object_id", "left_semi").count()
+            known = known.join(broadcast_within(damaged.select("object_id")), "object_id", "left_anti")
+        return staged(spark, write_once(wanted, known, "object_id", "sha256"), "todo"), suspects, n
+
+    per_status, (todo, suspects, repaired) = side_by_side(spark, lambda: status.groupBy("status").count().collect(), missing_objects)
     counts = dict.fromkeys(("added", "changed", "unchanged", "deleted"), 0)
     counts |= {r["status"]: r["count"] for r in per_status}
     if not sum(counts.values()) - counts["deleted"]:
@@ -246,10 +288,14 @@ def ingest(
             "sha256",
             "kind",
             F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
+            F.coalesce("checksum", F.lit(0).cast("decimal(38,0)")).alias("checksum"),
         )
         registry.write.mode("append").parquet(f"{store}/objects")
+    if suspects is not None and not verify:
+        # what could be mended is; the batch is not looked into again unless its number of rows changes
+        suspects.write.mode("append").parquet(f"{store}/verified")
     if not counts["added"] + counts["changed"] + counts["deleted"]:
-        return IngestResult(False, previous, counts)
+        return IngestResult(False, previous, counts, repaired)
 
     gone = old.join(status.filter(F.col("status") == "deleted"), "source_name", "left_semi")
     columns = ["source_name", "location", "sha256", "object_id", "kind", "bytes", "modified", "header", "is_utf8", "status"]
@@ -262,61 +308,77 @@ def ingest(
     commit = (batch, datetime.now(timezone.utc).isoformat(), sum(counts.values()) - counts["deleted"],
               counts["added"], counts["changed"], counts["unchanged"], counts["deleted"])
     literal_rows(spark, [commit], COMMITS_SCHEMA).write.mode("append").parquet(f"{store}/commits")
-    return IngestResult(True, batch, counts)
+    return IngestResult(True, batch, counts, repaired)
 
 
 def _store_rows(spark, store, batch, todo, files, pages) -> DataFrame:
-    """Parse the objects of ``todo`` under their contracts and write their rows -> (object_id, n_rows).
+    """Parse the objects of ``todo`` under their contracts and write their rows -> (object_id, n_rows, checksum).
 
-    Each object is parsed once, in the pass that writes its rows; problems are counted in that pass. A broken contract
-    stops the run and takes the batch's rows away again."""
+    Each object is parsed once, in the pass that writes its rows; problems are counted in that pass. Any error stops the
+    run and takes the batch's rows away again; the frame of a broken contract's problems stays readable."""
     target = f"{store}/records/batch={batch}"
     try:
         parts = [_store_delimited(spark, store, batch, todo, files)] if files else []
         parts += [_store_pages(spark, target, todo.filter(F.col("kind") == c.kind), c) for c in pages]
-    except SchemaDrift:
-        delete_folder(spark, target)
+    except BaseException:
+        for folder in (target, f"{store}/splits/batch={batch}"):
+            delete_folder(spark, folder)
         raise
-    rows = literal_rows(spark, [], "object_id STRING, n_rows BIGINT")
+    rows = literal_rows(spark, [], "object_id STRING, n_rows BIGINT, checksum DECIMAL(38,0)")
     for part in parts:
         rows = rows if part is None else rows.unionByName(part)
     return rows
 
 
 def _store_delimited(spark, store, batch, todo, files) -> DataFrame | None:
-    """Write the rows of delimited objects and the beginnings of their splits -> (object_id, n_rows)."""
+    """Write the rows of delimited objects and the beginnings of their splits -> (object_id, n_rows, checksum)."""
     objects = todo.filter(F.col("kind").isin(*[c.kind for c in files]))
+    target = f"{store}/records/batch={batch}"
+
+    def stored(reads: list[DelimitedRead]) -> tuple[int, int]:
+        n_bad = n_open = 0
+        for read in reads:
+            seen = Observation()
+            bad, is_open = F.col("problem").isNotNull(), F.col("problem") == OPEN_QUOTE
+            lines = read.lines.observe(seen, F.count_if(bad).alias("bad"), F.count_if(is_open).alias("open"))
+            _append_rows(lines.withColumn("row_number", F.lit(None).cast("bigint")), target)
+            n_bad, n_open = n_bad + seen.get.get("bad", 0), n_open + seen.get.get("open", 0)
+        return n_bad, n_open
+
     # readers leave files without a byte out
     reads = [read_delimited(spark, paths, objects, files) for paths in path_batches(objects)]
     if not reads:
         return None
     require_headers(reads[0].headers)
-    target = f"{store}/records/batch={batch}"
-    n_bad = 0
-    for read in reads:
-        seen = Observation()
-        lines = read.lines.observe(seen, F.count_if(F.col("problem").isNotNull()).alias("bad"))
-        rows = lines.withColumn("row_number", F.lit(None).cast("bigint"))
-        _append_rows(rows, target)
-        n_bad += seen.get.get("bad", 0)
+    n_bad, n_open = stored(reads)
+    if n_open:
+        # lines are taken for records first, as nearly always they are; files where one is not are read again by states
+        opened = reduce(DataFrame.unionByName, [r.lines for r in reads]).filter(F.col("problem") == OPEN_QUOTE)
+        opened = staged(spark, opened.select("object_id").distinct(), "open-quotes")
+        delete_folder(spark, target)
+        plain, quoted = objects.join(opened, "object_id", "left_anti"), objects.join(opened, "object_id", "left_semi")
+        reads = [read_delimited(spark, paths, plain, files) for paths in path_batches(plain)]
+        reads += [read_delimited(spark, paths, quoted, files, line_breaks=True) for paths in path_batches(quoted)]
+        n_bad, _ = stored(reads)
     if n_bad:
         bad = reduce(DataFrame.unionByName, [r.lines for r in reads]).filter(F.col("problem").isNotNull())
+        bad = staged(spark, bad, "problems")
         raise SchemaDrift(told(f"{n_bad} lines break their contract", bad, "source_name", "problem", "bad_line"), bad)
     kinds = [c.kind for c in files]
     written = _table(spark, target, RECORDS_SCHEMA.replace("batch STRING, ", "")).filter(F.col("kind").isin(*kinds))
-    starts = split_starts(written)
+    starts = split_starts(written, more=[checksum(F.col("row_hash")).alias("checksum")])
     starts.write.mode("append").parquet(f"{store}/splits/batch={batch}")
-    starts = spark.read.schema(SPLITS_SCHEMA.replace(", batch STRING", ", n_rows BIGINT")).parquet(f"{store}/splits/batch={batch}")
-    per_object = starts.groupBy("object_id").agg(F.sum("n_rows").alias("n_rows"))
+    starts = spark.read.schema(SPLITS_SCHEMA.replace(", batch STRING", ", n_rows BIGINT, checksum DECIMAL(38,0)")).parquet(f"{store}/splits/batch={batch}")
+    per_object = starts.groupBy("object_id").agg(F.sum("n_rows").alias("n_rows"), F.sum("checksum").cast("decimal(38,0)").alias("checksum"))
     filled = F.col("kind").isin(*[c.kind for c in files if not c.may_be_empty])
-    bare = objects.filter(filled).join(per_object, "object_id", "left_anti")
+    bare = staged(spark, objects.filter(filled).join(per_object, "object_id", "left_anti"), "bare")
     if not bare.isEmpty():
         raise SchemaDrift(told("empty tables", bare, "source_name"), bare)
     return per_object
 
 
 def _store_pages(spark, target, objects, contract) -> DataFrame | None:
-    """Write the rows of paged JSON objects -> (object_id, n_rows)."""
+    """Write the rows of paged JSON objects -> (object_id, n_rows, checksum)."""
     ids = objects.select("path", "object_id", "source_name")
     parts = [
         exploded_pages(page_documents(spark, paths).join(broadcast_within(ids), "path"), contract, ("source_name", "object_id"))
@@ -326,24 +388,26 @@ def _store_pages(spark, target, objects, contract) -> DataFrame | None:
         return None
     _append_rows(reduce(DataFrame.unionByName, parts).withColumn("kind", F.lit(contract.kind)), target, "problem")
     written = _table(
-        spark, f"{target}/kind={contract.kind}", "object_id STRING, source_name STRING, row_number BIGINT, problem STRING"
+        spark, f"{target}/kind={contract.kind}", "object_id STRING, source_name STRING, row_number BIGINT, row_hash BIGINT, problem STRING"
     )
-    bad = written.filter(F.col("problem").isNotNull())
+    # stored aside: the rows of a batch that fails are deleted
+    bad = staged(spark, written.filter(F.col("problem").isNotNull()), "problems")
     if not bad.isEmpty():
         raise SchemaDrift(told("pages break their contract", bad, "source_name", "problem"), bad)
     found = written.groupBy("object_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("row_number") == 1).alias("_documents")
+        F.count(F.lit(1)).alias("n_rows"), checksum(F.col("row_hash")).alias("checksum"), F.count_if(F.col("row_number") == 1).alias("_documents")
     )
     found = staged(spark, found, "pages")
     odd = objects.join(found, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
     if not odd.isEmpty():
         raise SchemaDrift(told("not one JSON document", odd, "source_name"), odd)
-    return found.select("object_id", "n_rows")
+    return found.select("object_id", "n_rows", "checksum")
 
 
 def _append_rows(rows: DataFrame, target: str, *more: str) -> None:
-    names = ["object_id", "source_name", "kind", "row_number", "block", "seq", "fields", *more]
+    names = ["object_id", "source_name", "kind", "row_number", "block", "seq", "fields", "row_hash", *more]
     rows = rows.withColumns({c: F.lit(None).cast("bigint") for c in ("block", "seq") if c not in rows.columns})
+    rows = rows.withColumn("row_hash", row_hash())
     rows.select(*names).write.mode("append").partitionBy("kind").parquet(target)
 
 
