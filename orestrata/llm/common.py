@@ -14,6 +14,26 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
+#: What empties the caches of each operator that keeps some between tasks, and the operator whose task the worker ran last.
+_CACHES: dict[str, list] = {}
+_OWNER: list[str] = []
+
+
+def keeps_cache(owner: str, *caches: dict) -> None:
+    """Register caches that tasks of ``owner`` fill in a Python worker."""
+    _CACHES.setdefault(owner, []).extend(caches)
+
+
+def own_caches(owner: str) -> None:
+    """Called where a task of ``owner`` begins: workers are used again, and what another operator's tasks keep is dropped."""
+    if _OWNER != [owner]:
+        for name, caches in _CACHES.items():
+            if name != owner:
+                for cache in caches:
+                    cache.clear()
+        _OWNER[:] = [owner]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orestrata.llm.common import text_of, with_rows
+from orestrata.llm.common import keeps_cache, own_caches, text_of, with_rows
 from orestrata.session import in_arrow, staged
 from orestrata.sources.sizing import broadcast_within
 
@@ -57,7 +57,7 @@ SIGNATURES = 4
 LEFT = 0.9
 #: Bits of the filter that spares texts nobody asks for; its size is fixed, a full one only lets more through.
 FILTER_BITS = 1 << 23
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 #: Characters of text that are split into words at once, and tokens that are counted at once.
 CHUNK_CHARS = 1_000_000
 COUNTED_TOKENS = 1_500_000
@@ -77,6 +77,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+keeps_cache("words", _WORDS)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -88,6 +89,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
+    own_caches("words")
     if len(_WORDS) > CACHED_WORDS:
         _WORDS.clear()
     split = [(t or "").encode().lower().split() for t in texts]

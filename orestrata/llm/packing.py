@@ -33,6 +33,8 @@ from orestrata.llm.tokens import encoder
 from orestrata.session import in_arrow, literal_rows, staged
 
 CAPACITY = 2048
+#: Words and pieces that a worker keeps; fewer than alone, as packing ends a pipeline whose executors hold much already.
+CACHED_WORDS = 400_000
 Slot = tuple[int, int, int, int, int, int]
 
 
@@ -116,7 +118,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, step = struct.pack("<I", end_id), 4 * capacity
-        encode = encoder(tokenizer).encode_bytes
+        encode = encoder(tokenizer, cached=CACHED_WORDS).encode_bytes
         for batch in batches:
             out: list[list] = [[] for _ in range(5 + with_ids)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

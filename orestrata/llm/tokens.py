@@ -15,6 +15,8 @@ from pathlib import Path
 
 import numpy as np
 
+from orestrata.llm.common import keeps_cache, own_caches
+
 #: The contractions of both public split patterns.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 #: Words and pieces kept per Python worker; the cache starts anew beyond it (about 200 bytes each).
@@ -60,11 +62,12 @@ class Encoder:
     """``encode(texts)`` gives an array of uint32 ids for each text, as the library does. ``plain`` says that strings of special
     tokens are ordinary text; without it, which is the library's default, they become the special ids."""
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, cached: int | None = None):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = plain
+        self.cached = cached
         self.lower = json.loads(Path(path).read_text())["normalizer"] is not None
         self.split = (LOWER_WORDS if self.lower else BYTE_LEVEL).findall
         self.visible = _visible_bytes()
@@ -104,7 +107,7 @@ class Encoder:
         odd = "<|" in text or not text.replace("\n", "").isprintable() if text.isascii() else UNCOMMON.search(text)
         if odd or self.lower and not unicodedata.is_normalized("NFC", text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self.pieces) + len(self.words) > CACHED_WORDS:
+        if len(self.pieces) + len(self.words) > (self.cached or CACHED_WORDS):
             self.words.clear()
             self.pieces.clear()
         if self.lower:
@@ -123,11 +126,14 @@ class Encoder:
         return [np.frombuffer(self.encode_bytes(t), dtype="<u4") for t in texts]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
+keeps_cache("tokens", _ENCODERS)
 
 
-def encoder(path: str, plain: bool = False) -> Encoder:
-    """One per Python worker, file and kind, kept between tasks."""
-    if (path, plain) not in _ENCODERS:
-        _ENCODERS[path, plain] = Encoder(path, plain)
-    return _ENCODERS[path, plain]
+def encoder(path: str, plain: bool = False, cached: int | None = None) -> Encoder:
+    """One per Python worker, file and kind, kept between tasks until another operator's run here."""
+    own_caches("tokens")
+    key = (path, plain, cached)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
