@@ -99,6 +99,11 @@ def expire_scratch(spark: SparkSession, older_than_s: float) -> list[str]:
     return sorted(gone)
 
 
+#: Bytes of an Arrow batch, in the JVM and in the Python worker, where the session has no value of its own.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
+
+
 def in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``df.mapInArrow`` with this package on the path of the Python workers: they find it where the driver does, also if
     the session was started elsewhere. (A cluster without a shared installation is given it by --py-files.)"""
@@ -106,7 +111,19 @@ def in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> D
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if _PACKAGE_ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([_PACKAGE_ROOT, *filter(None, paths)])
-    return df.mapInArrow(function, schema)
+    # several tasks' batches of texts are held at once, on both sides
+    settings = df.sparkSession.conf
+    if settings.get(_BATCH_SETTING, _BATCH_DEFAULT).rstrip("b") == _BATCH_DEFAULT:
+        settings.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+    def released(batches):
+        import pyarrow
+
+        yield from function(batches)
+        # workers wait for the next task with what they hold
+        pyarrow.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
