@@ -1,4 +1,4 @@
-"""Personal data: exact patterns, and a semi-Markov conditional random field for spans that they miss.
+"""Personal data: exact patterns, and a semi-Markov field, trained by averaged structured updates, for spans that they miss.
 
 ``base_spans`` finds what the contract's patterns find, in one linear pass each. The field looks at windows of neighbouring
 white-space tokens that hold a digit or an at sign, however many; tokens of more than ``SEGMENT_CHARS`` characters (minified
