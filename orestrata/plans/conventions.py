@@ -53,5 +53,5 @@ def population_rules() -> tuple[Rule, ...]:
         given("nation_named", "nation"),
         within("year_in_range", "year", FIRST_YEAR, LAST_YEAR),
         Rule("people_counted", "population > 0", "drop"),
-        Rule("whole_number", "population_decimal - population = 0", "drop"),
+        Rule("whole_number", "population_decimal = population", "drop"),
     )

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orestrata.functions.digests import content_digest, object_id
@@ -680,6 +680,40 @@ def ingested_pages(spark, sf_dir):
     return conform(snapshot_records(spark, store), spec, keep=["kind"])
 
 
+@query(
+    """SELECT 'large' AS kind, o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(14,2)) AS o_totalprice,
+              CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority || '}]"' END AS remark,
+              row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey, o_custkey, o_totalprice) AS row_number FROM orders"""
+)
+def split_orders(spark, sf_dir):
+    """All orders of a status in one JSON document, with nested cells, taken in by an ingest that reads documents in splits."""
+    landing, store = scratch(spark, "landing"), scratch(spark, "store")
+    orders = _t(spark, sf_dir, "orders")
+    note = F.struct(F.concat("o_orderpriority", F.lit('}]"')).alias("remark"), F.array(F.lit("{")).alias("tags"))
+    element = F.to_json(
+        F.struct(
+            F.col("o_orderkey").alias("Key"),
+            F.col("o_custkey").alias("Customer"),
+            F.when(F.col("o_orderkey") % 3 == 0, note).alias("Note"),
+            F.col("o_totalprice").cast("decimal(14,2)").alias("Price"),
+        )
+    )
+    place = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey", "o_custkey", "o_totalprice"))
+    rows = orders.select("o_orderstatus", place.alias("place"), element.alias("element"))
+    rows = rows.withColumn("line", F.concat(F.when(F.col("place") == 1, F.lit('{"data": [')).otherwise(F.lit(", ")), "element"))
+    ends = orders.groupBy("o_orderstatus").agg((F.count(F.lit(1)) + 1).alias("place"))
+    ends = ends.withColumn("line", F.concat(F.lit('], "page": {"offset": 0, "total": '), F.col("place") - 1, F.lit("}}")))
+    lines = rows.select("o_orderstatus", "place", "line").unionByName(ends).repartition("o_orderstatus")
+    lines.sortWithinPartitions("o_orderstatus", "place").drop("place").write.partitionBy("o_orderstatus").text(landing)
+    columns = (*ORDER_PAGES.columns, ("note", ("Note",)))
+    contract = PageContract("large", r"part-.*\.txt", ORDER_PAGES.required, columns, (*ORDER_PAGES.defaults, ("note", None)), in_splits=True)
+    ingest(spark, landing, store, (), (contract,))
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "decimal(14,2)"}
+    spec = [Text(c) for c in (*types, "note")] + [Cast(c, of=c, to=kind) for c, kind in types.items()]
+    read = conform(snapshot_records(spark, store), spec, keep=["kind", "row_number"])
+    return read.withColumn("remark", F.get_json_object("note", "$.remark")).drop("note")
+
+
 @query("SELECT 'orders/' || o_custkey AS source_name, CAST(o_orderkey AS VARCHAR) AS okey, o_orderstatus AS status, o_orderkey AS row_number FROM orders")
 def record_scan(spark, sf_dir):
     folder = scratch(spark, "records")

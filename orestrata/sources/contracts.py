@@ -40,13 +40,15 @@ class FileContract:
 @dataclass(frozen=True)
 class PageContract:
     """JSON page files: ``required`` keys of each element of ``data``; ``columns`` maps an output cell to the
-    accepted spellings of its key, the first present one wins; ``defaults`` fills absent keys."""
+    accepted spellings of its key, the first present one wins; ``defaults`` fills absent keys. ``in_splits``: a document may be
+    larger than a task should hold, and is read by many (at the price of shuffles)."""
 
     kind: str
     pattern: str
     required: tuple[str, ...]
     columns: tuple[tuple[str, tuple[str, ...]], ...]
     defaults: tuple[tuple[str, str], ...] = ()
+    in_splits: bool = False
 
 
 def kind_of(name: Column, contracts: Sequence[FileContract | PageContract]) -> Column:

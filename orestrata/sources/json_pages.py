@@ -42,7 +42,7 @@ def parse_pages(documents: DataFrame, contract: PageContract, keep: Sequence[str
     rows = (
         pages.filter(F.col("problem").isNull())
         .select(*keep, F.posexplode("data").alias("_position", "_row"))
-        .select(*keep, (F.col("_position") + 1).cast("bigint").alias("row_number"), _fields(contract).alias("fields"))
+        .select(*keep, (F.col("_position") + 1).cast("bigint").alias("row_number"), checked_fields(contract).alias("fields"))
     )
     return PageRead(pages.select(*keep, "page", F.size("data").alias("n_rows"), "problem"), rows)
 
@@ -55,27 +55,34 @@ def exploded_pages(documents: DataFrame, contract: PageContract, keep: Sequence[
     return pages.select(*keep, "problem", F.posexplode_outer(sound).alias("_position", "_row")).select(
         *keep,
         (F.col("_position") + 1).cast("bigint").alias("row_number"),
-        F.when(F.col("problem").isNull(), _fields(contract)).alias("fields"),
+        F.when(F.col("problem").isNull(), checked_fields(contract)).alias("fields"),
         "problem",
     )
 
 
 def _checked(documents: DataFrame, contract: PageContract) -> DataFrame:
+    lacking = F.exists("data", lambda row: lacks_keys(row, contract))
+    return documents.withColumn("problem", page_problem(F.col("page"), F.when(F.col("data").isNotNull(), F.size("data")), lacking))
+
+
+def lacks_keys(row: Column, contract: PageContract) -> Column:
+    """Whether an element lacks a required key; one that is null lacks all."""
     required = F.array(*[F.lit(key) for key in contract.required])
-    # an element that is null lacks all keys
-    lacking = F.exists(
-        "data", lambda row: F.coalesce(F.size(F.array_except(required, F.map_keys(row))) > 0, F.lit(True))
-    )
-    return documents.withColumn(
-        "problem",
-        F.when(F.col("data").isNull() | (F.size("data") == 0), F.lit("no data"))
-        .when(F.coalesce(F.col("page.offset"), F.lit(0)) != 0, F.lit("partial page"))
-        .when(F.coalesce(F.col("page.total"), F.size("data")) != F.size("data"), F.lit("partial page"))
-        .when(lacking, F.lit("missing keys")),
+    return F.coalesce(F.size(F.array_except(required, F.map_keys(row))) > 0, F.lit(True))
+
+
+def page_problem(page: Column, n_rows: Column, lacking: Column) -> Column:
+    """What is wrong with a page of ``n_rows`` elements (NULL without ``data``), or NULL."""
+    return (
+        F.when(n_rows.isNull() | (n_rows == 0), F.lit("no data"))
+        .when(F.coalesce(page["offset"], F.lit(0)) != 0, F.lit("partial page"))
+        .when(F.coalesce(page["total"], n_rows) != n_rows, F.lit("partial page"))
+        .when(lacking, F.lit("missing keys"))
     )
 
 
-def _fields(contract: PageContract) -> Column:
+def checked_fields(contract: PageContract) -> Column:
+    """The contract's columns from the element ``_row``."""
     defaults = dict(contract.defaults)
     cells = []
     for name, spellings in contract.columns:

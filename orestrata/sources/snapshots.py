@@ -35,6 +35,7 @@ from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift,
 from orestrata.sources.delimited import OPEN_QUOTE, DelimitedRead, read_delimited, require_headers, split_starts
 from orestrata.sources.inventory import content_inventory, listing, path_batches
 from orestrata.sources.json_pages import exploded_pages, page_documents
+from orestrata.sources.page_splits import split_pages
 from orestrata.sources.sizing import broadcast_within
 
 INVENTORY_SCHEMA = (
@@ -380,10 +381,13 @@ def _store_delimited(spark, store, batch, todo, files) -> DataFrame | None:
 def _store_pages(spark, target, objects, contract) -> DataFrame | None:
     """Write the rows of paged JSON objects -> (object_id, n_rows, checksum)."""
     ids = objects.select("path", "object_id", "source_name")
-    parts = [
-        exploded_pages(page_documents(spark, paths).join(broadcast_within(ids), "path"), contract, ("source_name", "object_id"))
-        for paths in path_batches(objects)
-    ]
+
+    def parsed(paths: list[str]) -> DataFrame:
+        if contract.in_splits:
+            return split_pages(spark, paths, contract).join(broadcast_within(ids), "path").drop("path")
+        return exploded_pages(page_documents(spark, paths).join(broadcast_within(ids), "path"), contract, ("source_name", "object_id"))
+
+    parts = [parsed(paths) for paths in path_batches(objects)]
     if not parts:
         return None
     _append_rows(reduce(DataFrame.unionByName, parts).withColumn("kind", F.lit(contract.kind)), target, "problem")
