@@ -698,13 +698,15 @@ def split_orders(spark, sf_dir):
             F.col("o_totalprice").cast("decimal(14,2)").alias("Price"),
         )
     )
-    place = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey", "o_custkey", "o_totalprice"))
-    rows = orders.select("o_orderstatus", place.alias("place"), element.alias("element"))
-    rows = rows.withColumn("line", F.concat(F.when(F.col("place") == 1, F.lit('{"data": [')).otherwise(F.lit(", ")), "element"))
-    ends = orders.groupBy("o_orderstatus").agg((F.count(F.lit(1)) + 1).alias("place"))
-    ends = ends.withColumn("line", F.concat(F.lit('], "page": {"offset": 0, "total": '), F.col("place") - 1, F.lit("}}")))
-    lines = rows.select("o_orderstatus", "place", "line").unionByName(ends).repartition("o_orderstatus")
-    lines.sortWithinPartitions("o_orderstatus", "place").drop("place").write.partitionBy("o_orderstatus").text(landing)
+    listed = Window.partitionBy("o_orderstatus").orderBy("o_orderkey", "o_custkey", "o_totalprice")
+    place, is_last = F.row_number().over(listed), F.lead(F.lit(False), 1, True).over(listed)
+    end = F.concat(F.lit('], "page": {"offset": 0, "total": '), F.col("place"), F.lit("}}"))
+    line = F.concat(
+        F.when(F.col("place") == 1, F.lit('{"data": [')).otherwise(F.lit(", ")), "element", F.when(F.col("is_last"), end).otherwise(F.lit(""))
+    )
+    # the windows leave each status in one task and in order
+    lines = orders.select("o_orderstatus", place.alias("place"), is_last.alias("is_last"), element.alias("element"))
+    lines.select("o_orderstatus", line).write.partitionBy("o_orderstatus").text(landing)
     columns = (*ORDER_PAGES.columns, ("note", ("Note",)))
     contract = PageContract("large", r"part-.*\.txt", ORDER_PAGES.required, columns, (*ORDER_PAGES.defaults, ("note", None)), in_splits=True)
     ingest(spark, landing, store, (), (contract,))
