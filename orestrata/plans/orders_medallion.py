@@ -61,7 +61,8 @@ def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame,
 
     ``damaged`` spoils cells by a rule on their keys, so that each quality rule meets rows that break it: values that
     are no number, periods and years out of range, series ids with letters, figures that differ between overlapping
-    sources, series with two descriptions, without a known nation or without any, populations that are not whole.
+    sources, series with two descriptions, without a known nation or without any, series with letters in their ids,
+    populations that are not whole or differ, a nation with two names, and nations whose records name no object.
     """
     value = F.col("o_totalprice").cast("decimal(14,2)")
     sales = orders.select(
@@ -110,23 +111,32 @@ def published_records(orders: DataFrame, customer: DataFrame, nation: DataFrame,
         "series",
         F.lit("customer.series"),
         {
-            "series_id": F.col("c_custkey"),
+            "series_id": F.concat(F.col("c_custkey").cast("string"), F.when(F.lit(damaged) & (F.col("c_custkey") % 10 == 9), F.lit("S")).otherwise(F.lit(""))),
             "nation_code": F.col("c_nationkey"),
             "segment_code": F.lower("c_mktsegment"),
             "base_year": F.when(F.col("c_acctbal") < 0, F.lit("1995")).otherwise(F.lit("-")),
         },
     )
+    if damaged:
+        names = F.when(F.col("n_nationkey") == 3, F.array("n_name", F.concat("n_name", F.lit(" II")))).otherwise(F.array("n_name"))
+        nation = nation.withColumn("n_name", F.explode(names))
     nations = _records(
         nation, "nation", F.lit("customer.nation"), {"nation_code": F.col("n_nationkey"), "nation_name": F.col("n_name")}
     )
+    if damaged:
+        nations = nations.withColumn("object_id", F.when(F.col("fields")["nation_code"].cast("int") % 7 != 0, F.col("object_id")))
     segments = _records(
         customer.select("c_mktsegment").distinct(),
         "segment",
         F.lit("customer.segment"),
         {"segment_code": F.lower("c_mktsegment"), "segment_text": F.col("c_mktsegment")},
     )
+    people = sales.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    if damaged:
+        counts = F.when(F.col("year") == 1998, F.array(F.col("n"), F.col("n") + 1)).otherwise(F.array("n"))
+        people = people.withColumn("n", F.explode(counts))
     population = _records(
-        sales.groupBy("year").agg(F.count(F.lit(1)).alias("n")),
+        people,
         "population",
         F.lit("orders.json"),
         {

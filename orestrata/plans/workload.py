@@ -756,6 +756,25 @@ def exported_best_year(spark, sf_dir):
     return spark.read.schema(answer.schema).option("header", "true").csv(folder)
 
 
+@query(
+    """SELECT c_custkey, c_nationkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment DESC, c_nationkey, c_custkey) AS row_number FROM customer
+       WHERE c_custkey IS NOT NULL AND c_nationkey IS NOT NULL AND c_mktsegment IS NOT NULL"""
+)
+def exported_order(spark, sf_dir):
+    """Customers exported in order, and each row's place over all files of the export, by their names."""
+    folder = f"{scratch(spark, 'export')}/customers"
+    kept = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").na.drop()
+    # the exchange cuts ranges by the key; one file for each
+    export_csv(kept, folder, [F.desc("c_mktsegment"), "c_nationkey", "c_custkey"])
+    rows = spark.read.option("header", "true").schema("c_custkey BIGINT, c_nationkey BIGINT, c_mktsegment STRING").csv(folder)
+    at = F.concat("_metadata.file_name", F.lit("/"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"))
+    placed = rows.select(
+        "c_custkey", F.col("c_nationkey").cast("int").alias("c_nationkey"), "c_mktsegment",
+        F.lit("customers").alias("export"), at.alias("block"), F.monotonically_increasing_id().alias("seq"),
+    )
+    return number_rows(staged(spark, placed, "export"), "export").drop("export")
+
+
 @query(
     """SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM lineitem) AS lineitem,
               (SELECT count(*) FROM documents) AS documents, 'tables' AS scope"""
@@ -871,7 +890,7 @@ valid AS (SELECT * FROM judged WHERE NOT (b1 OR b2 OR b3 OR b4)),
 silver AS (SELECT series_id, year, period, max(value) AS value, count(DISTINCT value) AS versions FROM valid GROUP BY ALL),
 population AS (SELECT y AS year, count(*) AS n FROM sales GROUP BY y),
 dimension AS (
-  SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 10 = 8 THEN -1 ELSE c_nationkey END AS nation,
+  SELECT DISTINCT c_custkey || CASE WHEN c_custkey % 10 = 9 THEN 'S' ELSE '' END AS id, CASE WHEN c_custkey % 10 = 8 THEN -1 ELSE c_nationkey END AS nation,
          c_mktsegment, (CASE WHEN again = 1 THEN -c_acctbal ELSE c_acctbal END) < 0 AS owes
   FROM (SELECT *, unnest(CASE WHEN c_custkey % 10 = 6 THEN [0, 1] WHEN c_custkey % 10 = 7 THEN [] ELSE [0] END) AS again FROM customer)),
 described AS (SELECT *, count(*) OVER (PARTITION BY id) AS versions FROM dimension)
@@ -881,7 +900,12 @@ described AS (SELECT *, count(*) OVER (PARTITION BY id) AS versions FROM dimensi
 def _damaged_release(spark, sf_dir):
     out = scratch(spark, "medallion")
     records = orders_medallion.order_records(spark, sf_dir, damaged=True)
-    refresh(spark, records, orders_medallion.SPEC, out, enforced=False)
+    # a manifest that names no object for every fifth entry
+    entry = F.col("n_nationkey")
+    manifest = _t(spark, sf_dir, "nation").select(
+        F.lit("run").alias("snapshot_id"), F.when(entry % 5 != 0, F.sha2(entry.cast("string"), 256)).alias("object_id")
+    )
+    refresh(spark, records, orders_medallion.SPEC, out, manifest, enforced=False)
     return out
 
 
@@ -899,7 +923,8 @@ def quarantined_observations(spark, sf_dir):
 
 @query(
     _DAMAGED
-    + """, bad_population AS (SELECT count(*) AS n, count_if(year = 1997) AS bad FROM population),
+    + """, bad_population AS (
+  SELECT count(*) + count_if(year = 1998) AS n, count_if(year = 1997) AS bad, count_if(year = 1998) AS twice FROM population),
 ids AS (SELECT id FROM described UNION SELECT series_id FROM silver),
 counted AS (
   SELECT 'typed_observations' AS dataset, 'drop' AS action, count(*) AS total,
@@ -912,19 +937,21 @@ UNION ALL SELECT 'typed_population', rule, 'drop', n, CASE WHEN rule = 'whole_nu
   FROM bad_population, (VALUES ('nation_named'), ('year_in_range'), ('people_counted'), ('whole_number')) r(rule)
 UNION ALL SELECT 'silver_observations', 'non_null_keys', 'fail', count(*), 0 FROM silver
 UNION ALL SELECT 'silver_observations', 'consistent_overlap', 'fail', count(*), CAST(count_if(versions <> 1) AS BIGINT) FROM silver
-UNION ALL SELECT 'silver_population', rule, 'fail', n - bad, 0
+UNION ALL SELECT 'silver_population', rule, 'fail', n - bad - twice, CASE WHEN rule = 'consistent_population' THEN CAST(twice AS BIGINT) ELSE 0 END
   FROM bad_population, (VALUES ('population_keys'), ('consistent_population')) r(rule)
-UNION ALL SELECT 'silver_series', 'series_keys', 'fail', count(*), 0 FROM described
+UNION ALL SELECT 'silver_series', 'series_keys', 'fail', count(*), CAST(count_if(NOT regexp_full_match(id, '[0-9]+')) AS BIGINT) FROM described
 UNION ALL SELECT 'silver_series', 'unique_series', 'fail', count(*), CAST(count_if(versions <> 1) AS BIGINT) FROM described
 UNION ALL SELECT 'silver_series', 'complete_labels', 'fail', count(*), CAST(count_if(nation = -1) AS BIGINT) FROM described
-UNION ALL SELECT 'silver_series', 'unique_lookups', 'fail', count(*), CAST(count_if(nation = -1) AS BIGINT) FROM described
+UNION ALL SELECT 'silver_series', 'unique_lookups', 'fail', count(*), CAST(count_if(nation IN (-1, 3)) AS BIGINT) FROM described
 UNION ALL SELECT 'gold_population_stats', 'full_coverage', 'fail', 1, CAST(count(*) <> 5 AS BIGINT)
   FROM population WHERE year BETWEEN 1996 AND 2000 AND year <> 1997
 UNION ALL SELECT 'gold_best_year', 'human_readable_series', 'fail', count(*), CAST(count_if(id NOT IN (SELECT id FROM described)) AS BIGINT)
   FROM (SELECT ids.id FROM ids LEFT JOIN described USING (id))
 UNION ALL SELECT 'bronze_records', 'record_envelope', 'fail',
   (SELECT count(*) FROM sourced) + (SELECT count(*) FROM customer) + (SELECT count_if(c_custkey % 10 = 6) - count_if(c_custkey % 10 = 7) FROM customer)
-  + (SELECT count(*) FROM nation) + (SELECT count(DISTINCT c_mktsegment) FROM customer) + (SELECT n FROM bad_population), 0"""
+  + (SELECT count(*) + count_if(n_nationkey = 3) FROM nation) + (SELECT count(DISTINCT c_mktsegment) FROM customer) + (SELECT n FROM bad_population),
+  (SELECT CAST(count_if(n_nationkey % 7 = 0) AS BIGINT) FROM nation)
+UNION ALL SELECT 'bronze_manifest', 'manifest_keys', 'fail', count(*), CAST(count_if(n_nationkey % 5 = 0) AS BIGINT) FROM nation"""
 )
 def medallion_metrics(spark, sf_dir):
     """Every rule over records with damaged cells: how many rows it saw and how many broke it."""
