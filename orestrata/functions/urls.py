@@ -1,6 +1,9 @@
 """URL and anchor expressions: everything stays inside Catalyst, no parser objects per row."""
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,8 +14,10 @@ _ANCHOR = r"""(?is)<a(\s(?:"[^"]*"|'[^']*'|[^'">]++)*+)>"""
 _ATTRIBUTE = r"""(?s)([^\s=>"'/]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?"""
 _URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
-# The character references that may occur inside a link.
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+# Named references as the standard library lists them. Those that hold without a semicolon may be followed by anything.
+_LONGEST_OPEN = max(len(name) for name in html5 if not name.endswith(";"))
+# Numbers of the C1 controls stand for the characters of the Windows code page, and 0 for none that exists.
+_REREAD = {0: "\ufffd"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
 
 
 def anchor_hrefs(html: Column) -> Column:
@@ -33,9 +38,50 @@ def anchor_hrefs(html: Column) -> Column:
 def _unquote_attribute(value: Column) -> Column:
     quoted = F.substring(value, 1, 1).isin('"', "'")
     text = F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.btrim(text, F.lit(" \t\n\r\f"))
+    return F.btrim(without_references(text), F.lit(" \t\n\r\f"))
+
+
+def without_references(text: Column) -> Column:
+    """Character references (named, decimal, hexadecimal) as the characters they mean; of a name the longest known beginning
+    counts, and what is no reference stays. Each ``&`` is looked at once, so nothing is decoded twice."""
+    parts = F.split(text, "&", -1)
+    decoded = F.concat(F.array(F.get(parts, F.lit(0))), F.transform(F.slice(parts, F.lit(2), F.size(parts)), _referred))
+    return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
+
+
+def _referred(rest: Column) -> Column:
+    """``&`` and what follows it, up to the next one."""
+    table = F.from_json(F.lit(json.dumps(html5)), "MAP<STRING, STRING>")
+    name = F.regexp_extract(rest, r"\A[^\t\n\f <#;]{1,32};?", 0)
+    lengths = F.array(F.length(name), *[F.lit(n) for n in range(_LONGEST_OPEN, 1, -1)])
+    known = F.filter(lengths, lambda n: (n <= F.length(name)) & F.map_contains_key(table, F.substring(name, F.lit(1), n)))
+    longest = F.get(known, F.lit(0))
+    named = F.when(
+        longest.isNotNull(),
+        F.concat(F.element_at(table, F.substring(name, F.lit(1), longest)), F.substring(rest, longest + 1, F.length(rest))),
+    )
+    number = F.regexp_extract(rest, r"\A#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+    numbered = F.concat(_character(number), F.substring(rest, F.length(number) + 1, F.length(rest)))
+    return F.when(number != "", numbered).otherwise(F.coalesce(named, F.concat(F.lit("&"), rest)))
+
+
+def _character(number: Column) -> Column:
+    """The character of ``#65;`` or ``#x41;``; none for numbers that name no character."""
+    digits = F.regexp_extract(number, r"\A#[xX]?0*([0-9a-fA-F]*)", 1)
+    is_hex = F.lower(number).startswith("#x")
+    # eight digits are beyond all characters in either base
+    short = F.when(F.length(digits) > 7, F.lit("9999999")).when(digits == "", F.lit("0")).otherwise(digits)
+    code = F.when(is_hex, F.conv(short, 16, 10)).otherwise(short).cast("bigint")
+    replaced = F.create_map(*[F.lit(x) for pair in _REREAD.items() for x in pair])
+    lost = code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    control = code.between(1, 0x1F) & ~code.isin(0x9, 0xA, 0xC, 0xD) | (code == 0x7F)
+    never = code.between(0xFDD0, 0xFDEF) | ((code % 0x10000) >= 0xFFFE)
+    return (
+        F.when(F.map_contains_key(replaced, code.cast("int")), F.try_element_at(replaced, code.cast("int")))
+        .when(lost, F.lit("\ufffd"))
+        .when(control | never, F.lit(""))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    )
 
 
 def url_parts(url: Column) -> Column:

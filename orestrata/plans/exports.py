@@ -3,11 +3,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def export_csv(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+def export_csv(df: DataFrame, path: str, order_by: Sequence[str | Column] = ()) -> None:
     """Headed CSV files in key order (range partitioned: file n precedes file n + 1)."""
     ordered = df.orderBy(*order_by) if order_by else df
     ordered.write.option("header", "true").csv(path)

@@ -1,14 +1,18 @@
 """Links, delimited cells and JSON pages on small inputs."""
 import csv
+import html
 import io
 import json
+import random
+from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import unquote, urljoin, urlsplit
 
 import pytest
 from pyspark.sql import functions as F
 
-from orestrata.functions.urls import anchor_hrefs
+from orestrata.functions.urls import anchor_hrefs, without_references
+from orestrata.plans.exports import export_csv
 from orestrata.session import staged
 from orestrata.sources.contracts import FileContract, PageContract, SchemaDrift
 from orestrata.sources.delimited import read_delimited, require_headers
@@ -190,3 +194,34 @@ def test_very_long_tags_and_cells(spark, tmp_path):
     cell = 'x""y' * 20_000
     (row,) = parse(spark, tmp_path, f'key\tvalue\na\t"{cell}"\n').lines.collect()
     assert row.problem is None and row.fields["value"] == 'x"y' * 20_000
+
+
+def some_references(dice):
+    names = sorted(html5)
+    parts = [
+        lambda: "&" + dice.choice(names),
+        lambda: "&" + dice.choice(names).rstrip(";") + dice.choice(["", "x", "it;", "=", "1;", " "]),
+        lambda: f"&#{dice.choice([0, 1, 9, 10, 12, 13, 38, 65, 127, 128, 129, 150, 159, 160, 55296, 64976, 65534, 65535, 128512, 1114111, 1114112, 10**12])}{dice.choice([';', '', 'a'])}",
+        lambda: f"&#{dice.choice('xX')}{dice.choice(['0', '000041', '9f', '81', '1F600', 'FFFE', '110000', 'd800', 'FFFFFFFFFF', '7'])}{dice.choice([';', '', 'g'])}",
+        lambda: dice.choice(["&", "&&", "&;", "&#;", "&#x;", "&amp;lt;", "&unknown;", "a", ";", " ", "&notit;", "&\u00e9", "plain"]),
+    ]
+    return "".join(dice.choice(parts)() for _ in range(dice.randint(1, 5)))
+
+
+def test_character_references_agree_with_the_standard_library(spark):
+    dice = random.Random(8)
+    texts = [some_references(dice) for _ in range(3000)] + [f"&{name}" for name in html5] + ["", "none"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").select("t", without_references(F.col("t")).alias("plain")).collect()
+    assert [(r["t"], r["plain"]) for r in rows if r["plain"] != html.unescape(r["t"])] == []
+
+
+def test_exported_files_are_in_order(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        export_csv(spark.range(2000).select((F.col("id") * 7919 % 2000).alias("n")), str(tmp_path / "out"), ["n"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    files = sorted((tmp_path / "out").glob("*.csv"))
+    assert len(files) > 1
+    assert [int(line) for f in files for line in f.read_text().splitlines()[1:]] == list(range(2000))
