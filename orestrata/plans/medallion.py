@@ -63,12 +63,13 @@ def build_series(records: DataFrame, lookups: DataFrame, spec: MedallionSpec) ->
     return enrich_dimension(with_versions(rows, spec.series_columns[0], "series_versions"), lookups, spec.links, spec.label())
 
 
-def collapse_observations(valid: DataFrame) -> DataFrame:
+def collapse_observations(valid: DataFrame, typed: DataFrame | None = None) -> DataFrame:
     return collapse_overlaps(
         valid,
         ["series_id", "year", "period"],
         "value",
         evidence={"footnotes": "footnote_codes", "source_files": "source_name"},
+        values_from=typed,
     )
 
 
@@ -134,7 +135,7 @@ def refresh(
         run.set_aside("quarantine_observations", typed, "typed_observations", spec.observation_rules)
         return run.save(
             "silver_observations",
-            collapse_observations(keep_valid(typed, spec.observation_rules)).sortWithinPartitions("series_id", "year", "period"),
+            collapse_observations(keep_valid(typed, spec.observation_rules), typed).sortWithinPartitions("series_id", "year", "period"),
             [
                 Rule("non_null_keys", "series_id IS NOT NULL AND year IS NOT NULL AND period IS NOT NULL"),
                 Rule("consistent_overlap", "value_versions = 1"),

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from orestrata.functions.text import joined_label, prefixed_unless_missing, strip
 from orestrata.operators.answers import align_left, best_period, latest_per_key, period_stats
-from orestrata.operators.collapse import collapse_lookups, collapse_overlaps, duplicate_keys, universe
+from orestrata.operators.collapse import (
+    DICTIONARY, _collapse_with_sets, collapse_lookups, collapse_overlaps, duplicate_keys, evidence_dictionary, universe,
+)
 from orestrata.operators.compare import keyed_diff, row_diff
 from orestrata.operators.conform import conform
 from orestrata.operators.enrich import Link, enrich_dimension, lookup_table, with_versions
@@ -183,6 +185,33 @@ def test_one_key_with_a_third_of_all_rows(spark):
     assert len(out) == 20_001 and out[0] == (999, 1000) and out[1] == (1, 1)
 
 
+@pytest.mark.parametrize("different", [1, 3, 64, 65, 200, 300])
+def test_evidence_as_bits_is_the_evidence_as_sets(spark, different):
+    """One word of bits, its borders, several words, and more values than the dictionary takes; NULL evidence and values, a key
+    without any evidence, evidence of two types."""
+    n = F.col("id")
+    df = spark.range(3000).select(
+        F.when(n % 3 == 0, 0).when(n % 50 == 1, None).otherwise(n % 97).alias("k"),
+        F.when(n % 11 == 0, None).otherwise((n * 7 % 13).cast("decimal(20,2)")).alias("v"),
+        F.when((n % 97 != 5) & (n % 7 != 0), F.concat(F.lit("s"), (n * 31 % different).cast("string"))).alias("a"),
+        F.when(n % 5 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (n % 40).cast("int"))).alias("b"),
+    ).filter("k IS NULL OR k <> 5 OR a IS NULL")
+    evidence = {"names": "a", "days": "b", "again": "a"}
+    assert (evidence_dictionary(df, ["a", "b"]) is None) == (different > DICTIONARY - 40)
+    for null_is_version in (True, False):
+        found = collapse_overlaps(df, ["k"], "v", evidence, "versions", null_is_version)
+        sets = _collapse_with_sets(df, ["k"], "v", evidence, "versions", null_is_version)
+        assert found.dtypes == sets.dtypes and rows(found) == rows(sets)
+    wider = df.unionByName(spark.range(1).select(F.lit(1).alias("k"), F.lit(None).cast("decimal(20,2)").alias("v"), F.lit("zz").alias("a"), F.lit(None).cast("date").alias("b")))
+    assert rows(collapse_overlaps(df, ["k"], "v", evidence, values_from=wider)) == rows(collapse_overlaps(df, ["k"], "v", evidence))
+    assert collapse_overlaps(df.limit(0), ["k"], "v", evidence).collect() == []
+
+
+def test_evidence_that_is_always_missing(frame):
+    df = frame([("a", 1, None), ("a", 2, None)], "k STRING, v INT, e STRING")
+    assert rows(collapse_overlaps(df, ["k"], "v", {"names": "e"})) == [("a", 2, 2, [])]
+
+
 def test_lookups_and_sets(frame):
     df = frame([("1", "x"), ("1", "y"), ("1", "x"), ("2", None), ("2", "z")], "code STRING, label STRING")
     assert rows(collapse_lookups(df, ["code"], "label")) == [("1", "y", 2), ("2", "z", 2)]
