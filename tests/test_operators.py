@@ -1,4 +1,5 @@
 """Each operator on small hand-made tables, edge cases first."""
+import random
 from decimal import Decimal
 
 import pytest
@@ -355,6 +356,69 @@ def test_keyed_diff_compares_copies_and_maps(frame):
     assert rows(keyed_diff(left, left.filter("k <> 3"), ["k"])) == [(3, "only_left")]
 
 
+def paired(left, right, near):
+    """Whether the rows can be paired one to one, by augmenting paths."""
+    partner = {}
+
+    def place(i, seen):
+        for j, row in enumerate(right):
+            if j not in seen and near(left[i], row):
+                seen.add(j)
+                if j not in partner or place(partner[j], seen):
+                    partner[j] = i
+                    return True
+        return False
+
+    return len(left) == len(right) and all(place(i, set()) for i in range(len(left)))
+
+
+def compared_by_brute_force(left, right, near):
+    found = []
+    for k in sorted({r[0] for r in left + right}):
+        a, b = ([r[1:] for r in side if r[0] == k] for side in (left, right))
+        problem = "only_left" if not b else "only_right" if not a else "copies" if len(a) != len(b) else None if paired(a, b, near) else "values"
+        found += [(k, problem)] if problem else []
+    return found
+
+
+def test_repeated_keys_are_paired_by_any_pairing_that_fits(frame):
+    """Chains of numbers one tolerance apart, where neither cancelling equal rows nor taking the nearest one would do."""
+    rng, schema = random.Random(7), "k INT, x DOUBLE, t STRING"
+    left, right = [], []
+    for k in range(250):
+        rows_ = [(k, rng.randrange(6) * 0.75, rng.choice("ab")) for _ in range(rng.randrange(1, 6))]
+        moved = [(k, x + rng.choice((-1, -0.5, 0, 0.5, 1)), t) for _, x, t in rows_]
+        if k % 5 == 0:
+            moved[0] = (k, moved[0][1] + 1.25, moved[0][2])
+        left, right = left + rows_, right + rng.sample(moved, len(moved))
+    near = lambda a, b: a[1] == b[1] and abs(a[0] - b[0]) <= 1 + 0.125 * abs(b[0])
+    expected = compared_by_brute_force(left, right, near)
+    assert 10 < len(expected) < 60
+    assert rows(keyed_diff(frame(left, schema), frame(right, schema), ["k"], rtol=0.125, atol=1)) == sorted(expected, key=repr)
+
+
+def test_noise_in_the_first_of_several_numbers_does_not_exchange_partners(frame):
+    rng, schema = random.Random(3), "k INT, x DOUBLE, y DOUBLE"
+    left = [(k, float(rng.randrange(3)), float(rng.randrange(3))) for k in range(60) for _ in range(4)]
+    noise = lambda: rng.choice((-4e-7, 0, 4e-7))
+    right = [(k, x + noise(), y + noise() + (k % 4 == 0) * rng.randrange(2)) for k, x, y in left]
+    near = lambda a, b: all(abs(x - y) <= 1e-6 + 1e-9 * abs(y) for x, y in zip(a, b))
+    expected = compared_by_brute_force(left, right, near)
+    assert len(expected) > 5
+    rng.shuffle(right)
+    assert rows(keyed_diff(frame(left, schema), frame(right, schema), ["k"])) == sorted(expected, key=repr)
+
+
+def test_numbers_that_are_not_finite_agree_with_themselves_only(spark):
+    kinds = {"null": "NULL", "nan": "'NaN'", "inf": "'Infinity'", "minus": "'-Infinity'", "one": "1.0"}
+    names = [(a, b) for a in kinds for b in kinds]
+    side = lambda at: " UNION ALL ".join(f"SELECT '{p[0]} {p[1]}' AS k, CAST({kinds[p[at]]} AS DOUBLE) AS x" for p in names)
+    found = {r.k for r in keyed_diff(spark.sql(side(0)), spark.sql(side(1)), ["k"]).collect()}
+    assert found == {f"{a} {b}" for a, b in names if a != b}
+    empty = spark.sql(side(0)).limit(0)
+    assert keyed_diff(empty, empty, ["k"]).collect() == []
+
+
 # --- inventories and records -----------------------------------------------------------------------
 
 
