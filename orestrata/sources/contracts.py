@@ -29,19 +29,22 @@ def told(what: str, cases: DataFrame, *columns: str) -> str:
 @dataclass(frozen=True)
 class FileContract:
     """Delimited files whose whole name matches ``pattern`` hold ``kind`` records with at least the
-    ``required`` columns; further columns are kept."""
+    ``required`` columns; further columns are kept. ``in_parts``: the files are parts of one table, as tasks write them; a part
+    may hold its header alone, and only all landed parts together may not be empty."""
 
     kind: str
     pattern: str
     required: tuple[str, ...]
     may_be_empty: bool = False
+    in_parts: bool = False
 
 
 @dataclass(frozen=True)
 class PageContract:
     """JSON page files: ``required`` keys of each element of ``data``; ``columns`` maps an output cell to the
     accepted spellings of its key, the first present one wins; ``defaults`` fills absent keys. ``in_splits``: a document may be
-    larger than a task should hold, and is read by many (at the price of shuffles)."""
+    larger than a task should hold, and is read by many (at the price of shuffles). ``in_parts``: the files are parts of one
+    publication, as tasks write them; a part without a byte has no document, and only not all landed parts may be so."""
 
     kind: str
     pattern: str
@@ -49,6 +52,7 @@ class PageContract:
     columns: tuple[tuple[str, tuple[str, ...]], ...]
     defaults: tuple[tuple[str, str], ...] = ()
     in_splits: bool = False
+    in_parts: bool = False
 
 
 def kind_of(name: Column, contracts: Sequence[FileContract | PageContract]) -> Column:

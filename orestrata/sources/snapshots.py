@@ -279,7 +279,7 @@ def ingest(
 
     batch = time_ordered_id()
     if not todo.isEmpty():
-        rows = _store_rows(spark, store, batch, todo, files, pages)
+        rows = _store_rows(spark, store, batch, new, todo, files, pages)
         _require_unmoved(spark, landing, new)
         # from here on the rows count
         registry = todo.join(rows, "object_id", "left").select(
@@ -312,15 +312,15 @@ def ingest(
     return IngestResult(True, batch, counts, repaired)
 
 
-def _store_rows(spark, store, batch, todo, files, pages) -> DataFrame:
+def _store_rows(spark, store, batch, landed, todo, files, pages) -> DataFrame:
     """Parse the objects of ``todo`` under their contracts and write their rows -> (object_id, n_rows, checksum).
 
     Each object is parsed once, in the pass that writes its rows; problems are counted in that pass. Any error stops the
     run and takes the batch's rows away again; the frame of a broken contract's problems stays readable."""
     target = f"{store}/records/batch={batch}"
     try:
-        parts = [_store_delimited(spark, store, batch, todo, files)] if files else []
-        parts += [_store_pages(spark, target, todo.filter(F.col("kind") == c.kind), c) for c in pages]
+        parts = [_store_delimited(spark, store, batch, landed, todo, files)] if files else []
+        parts += [_store_pages(spark, store, target, landed, todo.filter(F.col("kind") == c.kind), c) for c in pages]
     except BaseException:
         for folder in (target, f"{store}/splits/batch={batch}"):
             delete_folder(spark, folder)
@@ -331,7 +331,18 @@ def _store_rows(spark, store, batch, todo, files, pages) -> DataFrame:
     return rows
 
 
-def _store_delimited(spark, store, batch, todo, files) -> DataFrame | None:
+def _require_rows(spark, store, landed, found, bare, contracts) -> None:
+    """Raise for the objects ``bare``, which hold no row, unless they are parts of a table that has rows in other landed files:
+    in those of this batch, ``found``, or in those that are stored already."""
+    in_parts = F.col("kind").isin(*[c.kind for c in contracts if c.in_parts])
+    known = found.select("object_id", "n_rows").unionByName(stored_objects(spark, store).select("object_id", "n_rows"))
+    filled = landed.filter(in_parts).join(known.filter("n_rows > 0"), "object_id", "left_semi").select("kind").distinct()
+    hollow = staged(spark, bare.join(filled, "kind", "left_anti"), "hollow")
+    if not hollow.isEmpty():
+        raise SchemaDrift(told("empty tables", hollow, "source_name"), hollow)
+
+
+def _store_delimited(spark, store, batch, landed, todo, files) -> DataFrame | None:
     """Write the rows of delimited objects and the beginnings of their splits -> (object_id, n_rows, checksum)."""
     objects = todo.filter(F.col("kind").isin(*[c.kind for c in files]))
     target = f"{store}/records/batch={batch}"
@@ -374,11 +385,11 @@ def _store_delimited(spark, store, batch, todo, files) -> DataFrame | None:
     filled = F.col("kind").isin(*[c.kind for c in files if not c.may_be_empty])
     bare = staged(spark, objects.filter(filled).join(per_object, "object_id", "left_anti"), "bare")
     if not bare.isEmpty():
-        raise SchemaDrift(told("empty tables", bare, "source_name"), bare)
+        _require_rows(spark, store, landed, per_object, bare, files)
     return per_object
 
 
-def _store_pages(spark, target, objects, contract) -> DataFrame | None:
+def _store_pages(spark, store, target, landed, objects, contract) -> DataFrame | None:
     """Write the rows of paged JSON objects -> (object_id, n_rows, checksum)."""
     ids = objects.select("path", "object_id", "source_name")
 
@@ -402,7 +413,11 @@ def _store_pages(spark, target, objects, contract) -> DataFrame | None:
         F.count(F.lit(1)).alias("n_rows"), checksum(F.col("row_hash")).alias("checksum"), F.count_if(F.col("row_number") == 1).alias("_documents")
     )
     found = staged(spark, found, "pages")
-    odd = objects.join(found, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
+    hollow = (F.col("bytes") == 0) & F.lit(contract.in_parts)
+    odd = objects.filter(~hollow).join(found, "object_id", "left").filter(F.coalesce("_documents", F.lit(0)) != 1)
+    bare = objects.filter(hollow)
+    if not bare.isEmpty():
+        _require_rows(spark, store, landed, found, bare, [contract])
     if not odd.isEmpty():
         raise SchemaDrift(told("not one JSON document", odd, "source_name"), odd)
     return found.select("object_id", "n_rows", "checksum")
