@@ -672,9 +672,8 @@ def ingested_pages(spark, sf_dir):
     pages = dealt.groupBy("_page").agg(F.collect_list(row).alias("data"))
     total = F.struct(F.size("data").cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("offset"))
     pages.select("_page", total.alias("page"), "data").write.option("maxRecordsPerFile", 1).json(f"{landing}/pages")
-    files = (FileContract("orders", r"part-.*\.csv", ORDER_COLUMNS),)
-    paged = PageContract("paged", r"part-.*\.json", ORDER_PAGES.required, ORDER_PAGES.columns, ORDER_PAGES.defaults)
-    ingest(spark, landing, store, files, (paged,))
+    paged = PageContract("paged", r"part-.*\.json", ORDER_PAGES.required, ORDER_PAGES.columns, ORDER_PAGES.defaults, in_parts=True)
+    ingest(spark, landing, store, ORDER_FILES, (paged,))
     types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "decimal(14,2)"}
     spec = [Text(c) for c in types] + [Cast(c, of=c, to=kind) for c, kind in types.items()]
     return conform(snapshot_records(spark, store), spec, keep=["kind"])
