@@ -587,7 +587,7 @@ def quoted_orders(spark, sf_dir):
     note = F.when(F.col("o_orderkey") % 3 == 0, broken).when(F.col("o_orderkey") % 3 == 1, comment).otherwise(F.col("o_orderpriority"))
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", note.alias("note"))
     orders.write.option("header", "true").option("sep", "\t").option("escape", '"').csv(landing)
-    files = (FileContract("orders", r"part-.*\.csv", ("o_orderkey", "o_custkey", "note")),)
+    files = (FileContract("orders", r"part-.*\.csv", ("o_orderkey", "o_custkey", "note"), in_parts=True),)
     ingest(spark, landing, store, files)
     types = {"o_orderkey": "bigint", "o_custkey": "bigint"}
     spec = [Text(c) for c in (*types, "note")] + [Cast(c, of=c, to=kind) for c, kind in types.items()]

@@ -12,7 +12,7 @@ FILES = (FileContract("points", r"points.*", ("key", "value"), in_parts=True),)
 PAGES = (PageContract("pages", r"page.*\.json", ("Key",), (("key", ("Key",)),), in_parts=True),)
 
 
-@pytest.mark.parametrize("name", ["ingested_orders", "ingested_pages"])
+@pytest.mark.parametrize("name", ["ingested_orders", "ingested_pages", "quoted_orders"])
 def test_ingests_of_tables_whose_first_task_has_no_rows(spark, sf_dir, name):
     # one row group in three splits: its rows are read where its middle lies
     third = os.path.getsize(f"{sf_dir}/orders.parquet") // 3 + 1
