@@ -5,15 +5,16 @@ are one class; classes are what is joined. A shingle is a token, held as its 64-
 
 1. **Groups.** Classes whose min-hashes agree (four pairs of them) are compared with the first of their group; those that
    truly link become one group of similar documents. All other classes are groups of their own.
-2. **Matrix.** Tokens are put in one order for all documents: from rare to frequent as far as counts are known (the
-   ``ORDERED`` most frequent tokens, by counts of batches of distinct sets), by hash otherwise. Sets of n and m <= n tokens
+2. **Matrix.** Tokens are put in one order for all documents: from rare to frequent by counts of tokens with the same hash in
+   ``ORDERED`` places, which don't depend on how documents are dealt to tasks but for copies, and by hash where counts are equal. Sets of n and m <= n tokens
    that link share at least 3 (n + m) / 7 tokens, so the first that they share stands at a place i of the one and j of the
    other (from 0) with 7 i <= 4 n - 3 m and 7 j <= 4 m - 3 n: within the first quarter of the larger and the first seventh of
    the smaller. Only these places are stored, and only tokens that at least two classes have.
 3. **Rounds.** Groups grow before they are compared with each other. In a round each token that several groups have names one
    holder, of the largest of them and in which the token stands first; every other class that has the token within reach is
    compared with that one holder, links merge groups, and tokens of one group only are put aside. A round makes at most as
-   many pairs as there are rows. Rounds go on as long as they merge enough to leave clearly fewer rows.
+   many pairs as there are rows. Rounds go on as long as they merge groups, and leave clearly fewer rows or more meetings of
+   classes with other groups in step 4 than there are rows.
 4. **Bound and open.** For the groups that are left the matrix stores the union of their members' first sevenths, with the
    least size and the furthest reach 4 m - 7 j of a token. A class asks with its own first quarter. If none of it lies within
    reach in a group's union, its overlap with any member stays below what a link needs, and the group stays shut. A group
@@ -36,6 +37,7 @@ should two sets share the first hash, all is done again with other hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +50,9 @@ from orestrata.session import in_arrow, staged
 from orestrata.sources.sizing import broadcast_within
 
 WORDS = 5
-#: Tokens whose frequency orders them; 16 bytes each in every task.
-ORDERED = 262_144
+#: Places in which tokens are counted by hash, in as many slices; four bytes each in every task.
+ORDERED = 1 << 21
+SLICES = 64
 #: Least bits of the sketch of a set; a set of more tokens has the next power of two.
 SKETCH_BITS = 2048
 SIGNATURES = 4
@@ -58,7 +61,7 @@ LEFT = 0.9
 #: Bits of the filter that spares texts nobody asks for; its size is fixed, a full one only lets more through.
 FILTER_BITS = 1 << 23
 CACHED_WORDS = 150_000
-#: Characters of text that are split into words at once, and tokens that are counted at once.
+#: Characters of text that are split into words at once, and tokens after which a task forgets the sets it has counted.
 CHUNK_CHARS = 1_000_000
 COUNTED_TOKENS = 1_500_000
 #: Pairs of sets that are compared at once.
@@ -87,6 +90,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+#: Factors of the words of a shingle by their place: odd, without a pattern.
+FACTORS = [_mixed(np.array([2 * i + 3], U))[0] | U(1) for i in range(WORDS)]
+
+
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     own_caches("words")
@@ -94,12 +101,14 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
         _WORDS.clear()
     split = [(t or "").encode().lower().split() for t in texts]
     ends = np.cumsum([len(w) for w in split])
-    flat = np.fromiter((_WORDS[w] for words in split for w in words), U, int(ends[-1]) if len(ends) else 0)
+    flat = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(split)), U, int(ends[-1]) if len(ends) else 0)
     padded = np.concatenate([flat, np.zeros(WORDS, U)])
     with np.errstate(over="ignore"):
+        # words are mixed once, places by odd factors
+        mixed = _mixed(padded + U(1))
         total = np.zeros(len(flat), U)
-        for i in range(WORDS):
-            total += _mixed(padded[i : i + len(flat)] + U(i + 1))* U(2 * i + 3)
+        for i, factor in enumerate(FACTORS):
+            total += mixed[i : i + len(flat)] * factor
         whole = _mixed(total)
         sets = []
         for words, end in zip(split, ends.tolist(), strict=True):
@@ -107,7 +116,7 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
             if n >= WORDS:
                 sets.append(np.unique(whole[end - n : end - WORDS + 1]))
             else:
-                short = sum((_mixed(flat[end - n + i : end - n + i + 1] + U(i + 1)) * U(2 * i + 3) for i in range(n)), np.full(1, n, U))
+                short = sum((mixed[end - n + i : end - n + i + 1] * FACTORS[i] for i in range(n)), np.full(1, n, U))
                 sets.append(_mixed(short) if n else np.zeros(0, U))
     return sets
 
@@ -157,9 +166,9 @@ def _apart(a: bytes, b: bytes) -> int:
 
 def described(docs: DataFrame, row: str | None = None, seed: int = 0) -> DataFrame:
     """Stored: of each document doc_id, row (null unless ``row`` names its column), n_shingles, key (its class), second (another hash of its
-    set) and min-hash signatures; besides, rows with ``token`` and ``count`` for tokens that several sets of one batch hold."""
-    schema = "doc_id long, row long, n int, key long, second long, sigs array<long>, sketch binary, token long, count long"
-    names = ["doc_id", "row", "n", "key", "second", "sigs", "sketch", "token", "count"]
+    set) and min-hash signatures; besides, for each task, rows with a ``slice`` of the places and its ``counts`` of tokens in the task's distinct sets."""
+    schema = "doc_id long, row long, n int, key long, second long, sigs array<long>, sketch binary, slice int, counts binary"
+    names = ["doc_id", "row", "n", "key", "second", "sigs", "sketch", "slice", "counts"]
     sig_list = pa.list_(pa.int64())
 
     def one_chunk(ids: pa.Array, numbers: pa.Array, sets: list[np.ndarray], keys: np.ndarray) -> pa.RecordBatch:
@@ -172,27 +181,18 @@ def described(docs: DataFrame, row: str | None = None, seed: int = 0) -> DataFra
             with np.errstate(over="ignore"):
                 for s in range(SIGNATURES):
                     seeds = (U(0x9E3779B97F4A7C15 * (2 * s + k + 1) & (2**64 - 1)) for k in (0, 1))
-                    a, b = (np.minimum.reduceat(_mixed(tokens ^ seed), starts[:-1]) for seed in seeds)
+                    # tokens are mixed already: another factor gives another order
+                    a, b = (np.minimum.reduceat((tokens ^ by) * (_mixed(np.array([by]))[0] | U(1)), starts[:-1]) for by in seeds)
                     sigs[some, s] = _mixed(a * U(3) + b)
         n = len(sets)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * SIGNATURES, SIGNATURES, dtype=np.int32)), _signed(sigs.ravel()))
         sketches = pa.array(list(_sketches(sets)), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [ids, numbers, pa.array(sizes), _signed(keys), _signed(second), lists, sketches, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names
+            [ids, numbers, pa.array(sizes), _signed(keys), _signed(second), lists, sketches, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names
         )
 
-    def counted(own: list[np.ndarray]) -> pa.RecordBatch:
-        found = np.concatenate([*own, np.zeros(0, U)])
-        found.sort()
-        begins = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, np.int64)
-        counts = np.diff(np.concatenate([begins, [len(found)]]))
-        often = counts > 1
-        m = int(often.sum())
-        nothing = [pa.nulls(m, kind) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), sig_list, pa.binary())]
-        return pa.RecordBatch.from_arrays([*nothing, _signed(found[begins[often]]), pa.array(counts[often])], names)
-
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: list[np.ndarray] = []
+        counts = np.zeros(ORDERED, np.uint32)
         met: set[int] = set()
         n = 0
         for batch in batches:
@@ -200,29 +200,49 @@ def described(docs: DataFrame, row: str | None = None, seed: int = 0) -> DataFra
                 sets = shingle_sets(batch.column(2)[at:stop].to_pylist())
                 keys = [class_key(s, seed) for s in sets]
                 yield one_chunk(batch.column(0)[at:stop], batch.column(1)[at:stop], sets, np.array(keys, U))
-                own += [s for s, k in zip(sets, keys, strict=True) if not (k in met or met.add(k))]
+                own = [s for s, k in zip(sets, keys, strict=True) if not (k in met or met.add(k))]
+                where, times = np.unique(np.concatenate([*own, np.zeros(0, U)]) % U(ORDERED), return_counts=True)
+                counts[where.astype(np.int64)] += times.astype(np.uint32)
                 n += sum(map(len, sets))
                 if n > COUNTED_TOKENS:
-                    yield counted(own)
-                    own, n = [], 0
+                    n = 0
                     met.clear()
-        yield counted(own)
+        some = [(i, c) for i, c in enumerate(np.split(counts, SLICES)) if c.any()]
+        m = len(some)
+        nothing = [pa.nulls(m, kind) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), sig_list, pa.binary())]
+        small = [np.minimum(c, 65_535).astype("<u2").tobytes() for _, c in some]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([i for i, _ in some], pa.int32()), pa.array(small, pa.binary())], names)
 
     number = (F.col(row) if row else F.lit(None)).cast("long").alias("row")
     return staged(docs.sparkSession, docs.select("doc_id", number, "text").transform(in_arrow, describe, schema), "shingles")
 
 
 def frequent_tokens(rows: DataFrame, most: int = ORDERED) -> np.ndarray:
-    """The most frequent tokens, from rare to frequent; bounded by ``most``."""
-    counted = rows.filter("token IS NOT NULL").groupBy("token").agg(F.sum("count").alias("n"))
-    top = counted.orderBy(F.desc("n"), "token").limit(most).select("token").toArrow().column(0).to_numpy()
-    return top[::-1].astype(np.int64).view(U) if len(top) else np.zeros(0, U)
+    """How many tokens fall into each place of their hash, with ``most`` places. Tasks add up slices, which are then put side by side."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[i] = sums.get(i, 0) + np.frombuffer(counts, "<u2").astype(np.uint64)
+        whole = [np.minimum(c, U(2**32 - 1)).astype("<u4").tobytes() for c in sums.values()]
+        yield pa.RecordBatch.from_pydict({"slice": pa.array(list(sums), pa.int32()), "counts": pa.array(whole, pa.binary())})
+
+    places = np.zeros(ORDERED, np.uint32)
+    width = ORDERED // SLICES
+    by_slice = rows.filter("slice IS NOT NULL").select("slice", "counts").repartition("slice")
+    for row in by_slice.transform(in_arrow, add_up, "slice int, counts binary").toLocalIterator():
+        places[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], "<u4")
+    if most == ORDERED:
+        return places
+    folded = np.bincount(np.arange(ORDERED) % most, weights=places, minlength=most)
+    return np.minimum(folded, 2**32 - 1).astype(np.uint32)
 
 
 def matrix_rows(docs: DataFrame, frequent: np.ndarray, seed: int = 0) -> DataFrame:
     """(token, key, packed) of every document's tokens that decide; packed: the set's size above 32 bits, the place below."""
-    by_hash = np.argsort(frequent)
-    ordered, rank = frequent[by_hash], by_hash.astype(np.int64)
+    # a fold of ORDERED places to fewer keeps the place of the place
+    places, most = U(ORDERED), U(len(frequent))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in (batch.column(0)[at:stop] for batch in batches for at, stop in _chunks(batch.column(0))):
@@ -236,13 +256,8 @@ def matrix_rows(docs: DataFrame, frequent: np.ndarray, seed: int = 0) -> DataFra
             tokens, starts = _flat(own)
             sizes = np.diff(starts)
             of = np.repeat(np.arange(len(own)), sizes)
-            place = np.full(len(tokens), -1, np.int64)
-            if len(ordered):
-                at = np.minimum(np.searchsorted(ordered, tokens), len(ordered) - 1)
-                known = ordered[at] == tokens
-                place[known] = rank[at[known]]
-            # within a set: unknown tokens by hash, then known ones from rare to frequent
-            order = np.lexsort((tokens, place, of))
+            # within a set from rare to frequent, and by hash where counts are equal
+            order = np.lexsort((tokens, frequent[(tokens % places % most).astype(np.int64)], of))
             nth = np.arange(len(tokens)) - np.repeat(starts[:-1], sizes)
             chosen = 4 * nth <= np.repeat(sizes, sizes)
             picked = order[chosen]
@@ -435,13 +450,24 @@ def holder_pairs(asks: DataFrame) -> DataFrame:
     return other.select(F.least("key", "holder.v").alias("u"), F.greatest("key", "holder.v").alias("v")).distinct()
 
 
-def hits_of(asks: DataFrame) -> DataFrame:
-    """Stored hits (u, grp, g): tokens of class u of group grp hit the union of another group g within reach."""
+def meetings(asks: DataFrame) -> DataFrame:
+    """Stored (token, grp, g, low, reach, asking): tokens at which a group meets the union of another group g, as far as the sizes and
+    places of its ``asking`` classes that have the token, taken together, tell."""
     spark = asks.sparkSession
+    own = asks.groupBy("token", "grp").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.expr("4 * n - 7 * at")).alias("gives"), F.count("*").alias("asking")
+    )
     union = asks.filter("7 * at <= n").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max(F.expr("4 * n - 7 * at")).alias("reach"))
     union = staged(spark, union.withColumnRenamed("grp", "g"), "unions")
-    within = "grp <> g AND low <= n AND 3 * n <= reach AND 3 * low <= 4 * n - 7 * at"
-    return staged(spark, asks.join(union, "token").filter(within).select(F.col("key").alias("u"), "grp", "g").distinct(), "hits")
+    within = "grp <> g AND low <= most AND 3 * least <= reach AND 3 * low <= gives"
+    return staged(spark, own.join(union, "token").filter(within).select("token", "grp", "g", "low", "reach", "asking"), "meetings")
+
+
+def hits_of(asks: DataFrame, met: DataFrame) -> DataFrame:
+    """Stored hits (u, grp, g, token, n, at): tokens of class u of group grp hit the union of another group g within reach."""
+    within = "low <= n AND 3 * n <= reach AND 3 * low <= 4 * n - 7 * at"
+    hits = asks.select(F.col("key").alias("u"), "grp", "token", "n", "at").join(met, ["token", "grp"]).filter(within)
+    return staged(asks.sparkSession, hits.select("u", "grp", "g", "token", "n", "at"), "hits")
 
 
 def some_members(hits: DataFrame, asks: DataFrame) -> DataFrame:
@@ -450,16 +476,16 @@ def some_members(hits: DataFrame, asks: DataFrame) -> DataFrame:
     few = asks.groupBy(F.col("grp").alias("g")).agg(
         F.array_distinct(F.array(F.min("key"), F.max("key"), F.max(own)["key"], F.min(own)["key"])).alias("few")
     )
-    pairs = hits.join(few, "g").select("u", F.explode("few").alias("v"))
+    pairs = hits.select("u", "g").distinct().join(few, "g").select("u", F.explode("few").alias("v"))
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def opened(hits: DataFrame, asks: DataFrame) -> DataFrame:
-    """Pairs (u, v) of each asking class with every member that has one of its tokens within reach, of the groups it hits."""
-    asking = asks.select(F.col("key").alias("u"), "token", "n", "at").join(hits.select("u", "g"), "u")
+    """Pairs (u, v) of each asking class with every member that has one of its tokens within reach, of the groups it hits. Only
+    tokens that hit the group can be such."""
     inside = asks.filter("7 * at <= n").select(F.col("grp").alias("g"), "token", F.col("key").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"))
     fits = "m <= n AND " + WITHIN.format(i="at", n="n", j="j", m="m")
-    pairs = asking.join(inside, ["g", "token"]).filter(fits)
+    pairs = hits.join(inside, ["g", "token"]).filter(fits)
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
@@ -484,7 +510,7 @@ def all_links(docs: DataFrame, classes: DataFrame, rows: DataFrame, seed: int =
 
     links, tried = compared("similar", similar_pairs(classes), None)
     asks = labelled(rows, links)
-    left = asks.count()
+    left, met = asks.count(), None
     while left:
         found, tried = compared("round", holder_pairs(asks), tried)
         if found.isEmpty():
@@ -493,10 +519,14 @@ def all_links(docs: DataFrame, classes: DataFrame, rows: DataFrame, seed: int =
         asks = labelled(asks, links)
         before, left = left, asks.count()
         if left > LEFT * before:
-            break
+            # what would hit is more than another round compares: it may merge groups that hit each other
+            met = meetings(asks)
+            if (met.agg(F.sum("asking")).first()[0] or 0) <= left:
+                break
+            met = None
     if not left:
         return links
-    hits = hits_of(asks)
+    hits = hits_of(asks, meetings(asks) if met is None else met)
     found, tried = compared("few", some_members(hits, asks), tried)
     links = links.union(found)
     found, tried = compared("opened", opened(unsettled(hits, links), asks), tried)
@@ -510,7 +540,7 @@ def described_classes(docs: DataFrame, row: str | None = None) -> tuple[DataFram
     while True:
         rows = described(docs, row, seed)
         sizes = F.struct("n", "second")
-        classes = rows.filter("token IS NULL AND n > 0").groupBy("key").agg(
+        classes = rows.filter("slice IS NULL AND n > 0").groupBy("key").agg(
             F.min("doc_id").alias("rep"), F.min(first_of).alias("best"), F.first("n").alias("n"), F.first("sigs").alias("sigs"),
             F.first("sketch").alias("sketch"), (F.min(sizes) != F.max(sizes)).alias("clash"),
         )
@@ -525,7 +555,7 @@ def near_components(docs: DataFrame, numbered: DataFrame | None = None, row: str
     with_rows(), also row and kept: of each component one row stays, of the smallest doc_id and then of the smallest number."""
     spark = docs.sparkSession
     rows, classes, seed = described_classes(docs if numbered is None else numbered, row)
-    own = rows.filter("token IS NULL").drop("token", "count")
+    own = rows.filter("slice IS NULL").drop("slice", "counts")
     shared = shared_rows(matrix_rows(docs, frequent_tokens(rows), seed))
     whole = components(all_links(docs, classes, shared, seed, tally))
     firsts = staged(
